@@ -11,7 +11,6 @@ import ast
 import re
 import sys
 import warnings
-from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -32,10 +31,15 @@ AXES_NAMES = ("ax", "axs", "axes", "axis")
 FACT = "struct<name:string,value:bigint,times:bigint>"
 RESULT = "struct<error:string," + ",".join(f"`{k}`:array<{FACT}>" for k in KINDS) + ">"
 
-_BLOCKS = (ast.If, ast.For, ast.AsyncFor, ast.While, ast.With, ast.AsyncWith, ast.Try,
-           ast.Match, ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
-_MARKS = (ast.expr_context, ast.operator, ast.unaryop, ast.boolop, ast.cmpop)
+_BLOCKS = frozenset((
+    ast.If, ast.For, ast.AsyncFor, ast.While, ast.With, ast.AsyncWith, ast.Try, ast.Match,
+    ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef))
 _LITERAL_PARTS = (ast.Constant, ast.List, ast.Tuple, ast.Set, ast.Dict, ast.expr_context)
+# Parts of a syntax node that hold marks or plain values, nothing to walk into.
+_PLAIN = {"ctx", "op", "ops", "id", "attr", "asname", "module", "level", "kind", "type_comment",
+          "conversion", "simple", "is_async", "kwd_attrs", "rest", "names"}
+_PARTS = {node: tuple(part for part in node._fields if part not in _PLAIN)
+          for node in vars(ast).values() if isinstance(node, type) and issubclass(node, ast.AST)}
 
 
 @dataclass(frozen=True)
@@ -96,136 +100,182 @@ def _plot_aliases(node):
             yield "seaborn", "seaborn"
 
 
-def _operators(node):
-    kind = lambda part: type(part).__name__
-    match node:
-        case ast.BoolOp():
-            return [kind(node.op)] * (len(node.values) - 1)
-        case ast.BinOp() | ast.UnaryOp():
-            return [kind(node.op)]
-        case ast.Compare():
-            return [kind(op) for op in node.ops]
-        case ast.Assign():
-            return ["Assign"] * len(node.targets)
-        case ast.AugAssign():
-            return [f"AugAssign_{kind(node.op)}"]
-        case ast.NamedExpr():
-            return ["NamedExpr"]
-    return []
-
-
-def _inner_depth(node, part: str, children: list, depth):
-    """Block depth handed to the statements in one part of ``node`` (None hides them)."""
-    if depth is None or (isinstance(node, ast.TryStar) and part == "handlers"):
-        return None
-    if not isinstance(node, _BLOCKS):
+def _depth_below(node, part: str, value, depth):
+    """Block depth of the statements in one part of a block (None hides them)."""
+    if depth is None or type(node) is ast.TryStar:
+        return None if part == "handlers" else depth
+    if type(node) is ast.If and part == "orelse" and len(value) == 1 and type(value[0]) is ast.If:
         return depth
-    chained = isinstance(node, ast.If) and part == "orelse" and len(children) == 1
-    return depth if chained and isinstance(children[0], ast.If) else depth + 1
+    return depth + 1
 
 
-def cell_facts(code: str, vocab: Vocabulary):
-    """(error, {kind: Counter of (name, value)}) for one cell, in one walk from the top."""
-    tree, error = _parse(code)
-    facts = defaultdict(Counter)
-    if tree is None:
-        return error, facts
+class _Cell:
+    """What is known so far about one cell while its tree is walked."""
+
+    __slots__ = ("vocab", "facts", "plot_bases", "in_chain", "in_index")
 
-    def saw(kind, name=None, value=None):
-        facts[kind][name, value] += 1
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.facts = {kind: {} for kind in KINDS}
+        self.plot_bases = {("mpl", "plt"), ("seaborn", "sns"),
+                           *(("mpl", name) for name in AXES_NAMES)}
+        self.in_chain, self.in_index = set(), set()
 
-    def is_op(node):
-        return (isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute)
-                and node.func.attr in vocab.pandas)
+    def saw(self, kind, name=None, value=None, times=1):
+        seen = self.facts[kind]
+        seen[name, value] = seen.get((name, value), 0) + times
 
-    def op_below(call):
+    def is_op(self, node) -> bool:
+        return (type(node) is ast.Call and type(node.func) is ast.Attribute
+                and node.func.attr in self.vocab.pandas)
+
+    def op_below(self, call):
         base = _past(call.func.value, ACCESSORS)
-        return base if is_op(base) else None
-
-    def index_below(subscript):
-        base = _past(subscript.value, INDEXERS)
-        return base if isinstance(base, ast.Subscript) else None
-
-    def on_call(node):
-        func = node.func
-        called = getattr(func, "attr", None) or getattr(func, "id", None)
-        if called in TRAINING and isinstance(func, (ast.Attribute, ast.Name)):
-            saw("train", called)
-        if isinstance(func, ast.Name):
-            plots = func.id in vocab.seaborn or func.id in vocab.mpl
-        else:
-            base = getattr(getattr(func, "value", None), "id", None)
-            plots = isinstance(func, ast.Attribute) and any(
-                (library, base) in plot_bases and func.attr in getattr(vocab, library)
-                for library in ("mpl", "seaborn"))
-        if plots:
-            saw("visual", called)
-        if not is_op(node):
-            return
-        saw("op", called)
-        if id(node) not in inside_chain:
-            saw("chain", None, _chain_length(node, op_below))
-        # A call below one of these attributes does not end a chain, even as an argument.
-        for part in (func, *node.args):
-            if isinstance(part, ast.Attribute) and part.attr not in ACCESSORS:
-                inside_chain.add(id(_past(part.value, ACCESSORS)))
-
-    def on_def(node):
-        args = node.args
-        named = [*args.posonlyargs, *args.args, *args.kwonlyargs,
-                 *filter(None, (args.vararg, args.kwarg))]
-        saw("def", node.name, len(named))
-        for one in named:
-            saw("ident", one.arg)
-
-    plot_bases = {("mpl", "plt"), ("seaborn", "sns"), *(("mpl", name) for name in AXES_NAMES)}
-    inside_chain: set[int] = set()
-    inside_index: set[int] = set()
-    pending = [(tree, 0)]
+        return base if self.is_op(base) else None
+
+
+def _index_below(subscript):
+    base = _past(subscript.value, INDEXERS)
+    return base if type(base) is ast.Subscript else None
+
+
+# What each kind of node adds. A true result ends the walk at that node.
+
+
+def _note_constant(cell, node):
+    cell.saw("operand", f"CONST:{_constant_text(node.value)}")
+
+
+def _note_container(cell, node):
+    if all(isinstance(part, _LITERAL_PARTS) for part in ast.walk(node)):
+        cell.saw("operand", type(node).__name__)
+        return True
+
+
+def _note_name(cell, node):
+    cell.saw("ident", node.id)
+
+
+def _note_attribute(cell, node):
+    cell.saw("ident", node.attr)
+
+
+def _note_import(cell, node):
+    cell.saw("import", type(node).__name__)
+    for item in node.names:
+        cell.saw("ident", item.asname or item.name.split(".")[-1])
+    cell.plot_bases.update(_plot_aliases(node))
+
+
+def _note_class(cell, node):
+    cell.saw("ident", node.name)
+
+
+def _note_def(cell, node):
+    args = node.args
+    named = [*args.posonlyargs, *args.args, *args.kwonlyargs,
+             *filter(None, (args.vararg, args.kwarg))]
+    cell.saw("def", node.name, len(named))
+    for name in (node.name, *(one.arg for one in named)):
+        cell.saw("ident", name)
+
+
+def _note_call(cell, node):
+    func, vocab = node.func, cell.vocab
+    if type(func) is ast.Name:
+        called = func.id
+        plots = called in vocab.seaborn or called in vocab.mpl
+    elif type(func) is ast.Attribute:
+        called = func.attr
+        base = func.value.id if type(func.value) is ast.Name else None
+        plots = any((library, base) in cell.plot_bases and called in getattr(vocab, library)
+                    for library in ("mpl", "seaborn"))
+    else:
+        return
+    if called in TRAINING:
+        cell.saw("train", called)
+    if plots:
+        cell.saw("visual", called)
+    if not cell.is_op(node):
+        return
+    cell.saw("op", called)
+    if id(node) not in cell.in_chain:
+        cell.saw("chain", None, _chain_length(node, cell.op_below))
+    # A call below one of these attributes does not end a chain, even as an argument.
+    for part in (func, *node.args):
+        if type(part) is ast.Attribute and part.attr not in ACCESSORS:
+            cell.in_chain.add(id(_past(part.value, ACCESSORS)))
+
+
+def _note_subscript(cell, node):
+    if id(node) not in cell.in_index:
+        cell.saw("index", None, _chain_length(node, _index_below))
+    cell.in_index.add(id(_index_below(node)))
+
+
+def _note_operation(cell, node):
+    cell.saw("operator", type(node.op).__name__)
+
+
+def _note_boolean(cell, node):
+    cell.saw("operator", type(node.op).__name__, None, len(node.values) - 1)
+
+
+def _note_comparison(cell, node):
+    for op in node.ops:
+        cell.saw("operator", type(op).__name__)
+
+
+def _note_assignment(cell, node):
+    cell.saw("operator", "Assign", None, len(node.targets))
+
+
+def _note_update(cell, node):
+    cell.saw("operator", f"AugAssign_{type(node.op).__name__}")
+
+
+def _note_walrus(cell, node):
+    cell.saw("operator", "NamedExpr")
+
+
+_NOTES = {
+    ast.Constant: _note_constant, ast.List: _note_container, ast.Tuple: _note_container,
+    ast.Set: _note_container, ast.Dict: _note_container, ast.Name: _note_name,
+    ast.Attribute: _note_attribute, ast.Import: _note_import, ast.ImportFrom: _note_import,
+    ast.ClassDef: _note_class, ast.FunctionDef: _note_def, ast.AsyncFunctionDef: _note_def,
+    ast.Call: _note_call, ast.Subscript: _note_subscript, ast.BinOp: _note_operation,
+    ast.UnaryOp: _note_operation, ast.BoolOp: _note_boolean, ast.Compare: _note_comparison,
+    ast.Assign: _note_assignment, ast.AugAssign: _note_update, ast.NamedExpr: _note_walrus,
+}
+
+
+def cell_facts(code: str, vocab: Vocabulary):
+    """(error, {kind: {(name, value): times}}) for one cell, in one walk from the top."""
+    tree, error = _parse(code)
+    cell = _Cell(vocab)
+    pending = [(tree, 0)] if tree is not None else []
     while pending:
         node, depth = pending.pop()
+        kind = type(node)
+        note = _NOTES.get(kind)
+        if note is not None and note(cell, node):
+            continue
+        nests = kind in _BLOCKS
         if isinstance(node, ast.stmt):
-            saw("stmt", type(node).__name__)
-        if isinstance(node, _BLOCKS) and depth is not None:
-            saw("block", type(node).__name__, depth + 1)
-        for name in _operators(node):
-            saw("operator", name)
-        match node:
-            case ast.Constant():
-                saw("operand", f"CONST:{_constant_text(node.value)}")
-                continue
-            case ast.List() | ast.Tuple() | ast.Set() | ast.Dict():
-                if all(isinstance(part, _LITERAL_PARTS) for part in ast.walk(node)):
-                    saw("operand", type(node).__name__)
-                    continue
-            case ast.Name():
-                saw("ident", node.id)
-            case ast.Attribute():
-                saw("ident", node.attr)
-            case ast.Import() | ast.ImportFrom():
-                saw("import", type(node).__name__)
-                for item in node.names:
-                    saw("ident", item.asname or item.name.split(".")[-1])
-                plot_bases.update(_plot_aliases(node))
-            case ast.ClassDef():
-                saw("ident", node.name)
-            case ast.FunctionDef() | ast.AsyncFunctionDef():
-                saw("ident", node.name)
-                on_def(node)
-            case ast.Call():
-                on_call(node)
-            case ast.Subscript():
-                if id(node) not in inside_index:
-                    saw("index", None, _chain_length(node, index_below))
-                inside_index.add(id(index_below(node)))
+            cell.saw("stmt", kind.__name__)
+            if nests and depth is not None:
+                cell.saw("block", kind.__name__, depth + 1)
+        nests = nests or kind is ast.TryStar
         children = []
-        for part, value in ast.iter_fields(node):
-            parts = value if isinstance(value, list) else [value]
-            inner = _inner_depth(node, part, parts, depth)
-            children += [(child, inner) for child in parts
-                         if isinstance(child, ast.AST) and not isinstance(child, _MARKS)]
+        for part in _PARTS[kind]:
+            value = getattr(node, part)
+            inner = _depth_below(node, part, value, depth) if nests else depth
+            for child in value if type(value) is list else (value,):
+                if isinstance(child, ast.AST):
+                    children.append((child, inner))
+        # The last one pushed is the next one walked: children in the order of the text.
         pending.extend(reversed(children))
-    return None, facts
+    return error, cell.facts
 
 
 def _constant_text(value) -> str:

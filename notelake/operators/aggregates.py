@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from notelake.operators.ordering import exact_quantiles, value_summary
+from notelake.operators.quantiles import column_stats, exact_quantiles
 from notelake.schemas import METRICS, PEAK_METRICS
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -14,8 +14,9 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def op_counts(cells: DataFrame) -> DataFrame:
     """(function, count) over all cells; ``cells`` carries ``facts`` (see ``cell_facts``)."""
+    # The outer form keeps Spark from testing the facts once more, which would parse cells twice.
     return (
-        cells.select(F.explode("facts.op").alias("fact"))
+        cells.select(F.explode_outer("facts.op").alias("fact")).where("fact IS NOT NULL")
         .groupBy(F.col("fact.name").alias("function"))
         .agg(F.sum("fact.times").alias("count"))
     )
@@ -54,43 +55,39 @@ def notebook_rollup(
 
 def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """One row per column: count, mean, std, min, q25, q50, q75, max (optionally rounded)."""
-    # Written once and read by both sides of the join: one pass over ``df``.
-    summary = value_summary(df, cols, QUARTILES)
-    found = exact_quantiles(df, cols, QUARTILES, summary)
-    quartiles = found.groupBy("column").agg(*[
-        F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"q{int(p * 100)}")
-        for p in QUARTILES
-    ])
-    stats = summary.join(F.broadcast(quartiles), "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
-    if digits is None:
-        return stats
-    return stats.select(
-        "column", "count", *[F.bround(c, digits).alias(c) for c in stats.columns[2:]]
-    )
+    stats = column_stats(df, cols)
+    found = exact_quantiles(df, cols, QUARTILES, stats)
+    shown = lambda x: x if digits is None or x is None else round(x, digits)
+    rows = [
+        (c, s["count"], *map(shown, (s["mean"], s["std"], s["min"], *found[c], s["max"])))
+        for c, s in stats.items()
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count long, mean double, std double, min double, q25 double, "
+              "q50 double, q75 double, max double")
 
 
 def describe_wide(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """``describe`` with one row per statistic and one column per input column."""
     stats = describe(df, cols, digits).withColumn("count", F.col("count").cast("double"))
-    names = stats.columns[1:]
-    long = stats.unpivot("column", names, "statistic", "value")
+    long = stats.unpivot("column", stats.columns[1:], "statistic", "value")
     return long.groupBy("statistic").pivot("column", list(cols)).agg(F.first("value"))
 
 
 def quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, p, value) at 25, 50 and 75 %, interpolated linearly."""
-    return exact_quantiles(df, cols, QUARTILES)
+    found = exact_quantiles(df, cols, QUARTILES)
+    rows = [(c, p, v) for c in cols for p, v in zip(QUARTILES, found[c])]
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
 
 def iqr_fences(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """One row: quartiles, the fences k interquartile ranges away, and the shown lower fence."""
-    at = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
+    q25, q50, q75 = exact_quantiles(df, [col], QUARTILES)[col]
+    schema = "q25 double, q50 double, q75 double"
     spread = F.col("q75") - F.col("q25")
     return (
-        quartiles(df, [col])
-        .agg(at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+        df.sparkSession.createDataFrame([(q25, q50, q75)], schema)
         .withColumn("lower", F.col("q25") - k * spread)
         .withColumn("upper", F.col("q75") + k * spread)
         .withColumn("lower_shown", F.greatest("lower", F.lit(0.0)))
@@ -99,10 +96,8 @@ def iqr_fences(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
 
 def iqr_filter(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Rows of ``df`` whose ``col`` lies within the fences."""
-    fences = iqr_fences(df, col, k)
-    return df.where(
-        F.col(col).between(fences.select("lower").scalar(), fences.select("upper").scalar())
-    )
+    fences = iqr_fences(df, col, k).first()
+    return df.where(F.col(col).between(fences["lower"], fences["upper"]))
 
 
 def positive_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -57,9 +57,12 @@ def source_text(source: Column) -> Column:
 
 def explode_cells(nb: DataFrame, key: str = "notebook_hash", content: str = "content") -> DataFrame:
     """(notebook_hash, cell_id, cell_pos, cell_type, source): one row per cell of ``nb``."""
+    # The outer form keeps Spark from testing ``doc`` first, which would parse it several times.
+    exploded = F.posexplode_outer("doc.cells").alias("cell_pos", "c")
     return (
         parse_notebooks(nb, content)
-        .select(F.col(key).alias("notebook_hash"), F.posexplode("doc.cells").alias("cell_pos", "c"))
+        .select(F.col(key).alias("notebook_hash"), exploded)
+        .where(F.col("cell_pos").isNotNull())
         .select(
             "notebook_hash",
             F.coalesce(F.nullif(F.col("c.id"), F.lit("")), F.col("cell_pos").cast("string"))

@@ -209,8 +209,8 @@ def csv_counts(trees: DataFrame, found_at: Column | None = None) -> DataFrame:
 def csv_files(trees: DataFrame) -> DataFrame:
     """(repo_name, file_url): one row per CSV file of the chosen trees."""
     return trees.select(
-        "repo_name", "ref", F.explode(_csv_entries()).alias("entry")
-    ).select(
+        "repo_name", "ref", F.explode_outer(_csv_entries()).alias("entry")
+    ).where("entry IS NOT NULL").select(
         "repo_name",
         blob_url(F.col("repo_name"), F.col("ref"), F.col("entry.path")).alias("file_url"),
     )

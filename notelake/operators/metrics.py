@@ -8,7 +8,9 @@ import keyword
 from pyspark.sql import Column, DataFrame, functions as F
 
 from notelake.functions.cellsyntax import KINDS, Vocabulary, facts_udf
-from notelake.functions.text import is_blank, is_magic, split_lines
+from notelake.functions.text import (
+    is_blank, is_magic, split_lines, unify_breaks, without_last_break,
+)
 from notelake.schemas import METRICS
 
 # Names that never count as identifiers, as the driver's interpreter knows them.
@@ -22,13 +24,15 @@ def line_metrics(cells: DataFrame, source: str = "source") -> DataFrame:
     """Add LOC, BLC, MSC and ``code`` (the source without magic and shell lines)."""
     text = F.coalesce(F.col(source), F.lit(""))
     return (
-        cells.withColumn("_lines", split_lines(text))
+        cells.withColumn("_text", unify_breaks(text))
+        .withColumn("_closed", without_last_break(F.col("_text")))
+        .withColumn("_lines", split_lines(F.col("_closed"), F.col("_text")))
         .withColumn("LOC", F.size("_lines").cast("bigint"))
         .withColumn("BLC", F.size(F.filter("_lines", is_blank)).cast("bigint"))
-        .withColumn("_kept", F.filter("_lines", lambda line: ~is_magic(line)))
-        .withColumn("MSC", F.col("LOC") - F.size("_kept"))
-        .withColumn("code", F.array_join("_kept", "\n"))
-        .drop("_lines", "_kept")
+        .withColumn("MSC", F.size(F.filter("_lines", is_magic)).cast("bigint"))
+        .withColumn("code", F.when(F.col("MSC") == 0, F.col("_closed")).otherwise(
+            F.array_join(F.filter("_lines", lambda line: ~is_magic(line)), "\n")))
+        .drop("_text", "_closed", "_lines")
     )
 
 
@@ -65,7 +69,9 @@ def cell_fact_rows(facts: DataFrame, keys=("notebook_hash", "cell_id")) -> DataF
             F.lit(kind).alias("kind"), fact["name"].alias("name"),
             fact["value"].alias("value"), fact["times"].alias("times")))
 
-    return facts.select(*keys, F.inline(F.concat(*map(tagged, KINDS))))
+    # The outer form keeps Spark from testing the facts once more, which would parse cells twice.
+    rows = facts.select(*keys, F.inline_outer(F.concat(*map(tagged, KINDS))))
+    return rows.where(F.col("kind").isNotNull())
 
 
 def _fold(kind: str, step) -> Column:

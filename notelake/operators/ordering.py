@@ -1,4 +1,4 @@
-"""Exact row numbers and quantiles without ever sorting a whole group in one task."""
+"""Exact row numbers, globally and per group, without ever sorting a group in one task."""
 
 from __future__ import annotations
 
@@ -78,94 +78,3 @@ def number_in_group(
         .withColumn("position", F.col("_before") + F.col("_rank") - 1)
         .drop("_block", "_rank", "_before")
     )
-
-
-def unpivot_numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value double) rows of the named columns, without NULLs."""
-    return df.unpivot(
-        [], [F.col(c).cast("double").alias(c) for c in cols], "column", "value"
-    ).where(F.col("value").isNotNull())
-
-
-def value_summary(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """One row per column: count, mean, std, min, max and ``cuts``.
-
-    ``cuts`` brackets each wanted quantile by two sketch quantiles close to it. All of it is one
-    pass with partial aggregates of bounded size.
-    """
-    near = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-0.001, 0.001)})
-    marks = F.array(*map(F.lit, near))
-    one_row = df.agg(*[
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-            F.percentile_approx(F.col(c).cast("double"), marks, 10_000).alias("cuts"),
-        ).alias(c)
-        for c in cols
-    ])
-    return one_row.select(F.inline(F.array(*[F.col(f"`{c}`") for c in cols])))
-
-
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probabilities: Sequence[float],
-    summary: DataFrame | None = None,
-) -> DataFrame:
-    """(column, p, value): quantiles with linear interpolation, exact at any size.
-
-    1. The cuts of ``value_summary`` split each column's values into a few intervals.
-    2. Counting rows per interval tells which interval holds each wanted rank, whatever the
-       error of the sketch.
-    3. Only values of those narrow intervals are grouped and ranked.
-    """
-    summary = value_summary(df, cols, probabilities) if summary is None else summary
-    cuts = F.broadcast(summary.where(F.col("count") > 0).select("column", "cuts"))
-    interval = F.aggregate(
-        "cuts", F.lit(0), lambda n, cut: n + (F.col("value") > cut).cast("int")
-    )
-    # ``cuts`` has one row per requested column, so this broadcast is bounded by the schema.
-    values = (
-        unpivot_numbers(df, cols).join(cuts, "column")
-        .select("column", "value", interval.alias("interval"))
-    )
-    sizes = values.groupBy("column", "interval").agg(F.count(F.lit(1)).alias("size"))
-    per_column = Window.partitionBy("column")
-    running = per_column.orderBy("interval").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    ends = F.explode(F.array(F.floor("rank"), F.ceil("rank")))
-    # At most two rows per column and probability.
-    targets = (
-        sizes.select(
-            "column", "interval",
-            (F.sum("size").over(running) - F.col("size")).alias("first"),
-            F.sum("size").over(running).alias("last"),
-            F.sum("size").over(per_column).alias("n"),
-        )
-        .select("*", wanted.alias("p"))
-        .withColumn("rank", F.col("p") * (F.col("n") - 1))
-        .select("*", ends.alias("index"))
-        .where((F.col("index") >= F.col("first")) & (F.col("index") < F.col("last")))
-        .select("column", "interval", "p", "rank", "index",
-                (F.col("index") - F.col("first")).alias("offset"))
-        .distinct()
-    )
-    held = (
-        values.join(F.broadcast(targets.select("column", "interval").distinct()),
-                    ["column", "interval"], "left_semi")
-        .groupBy("column", "interval", "value").agg(F.count(F.lit(1)).alias("times"))
-    )
-    in_order = (Window.partitionBy("column", "interval").orderBy("value")
-                .rowsBetween(Window.unboundedPreceding, 0))
-    spans = held.withColumn("upto", F.sum("times").over(in_order))
-    found = spans.join(F.broadcast(targets), ["column", "interval"]).where(
-        (F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col("times"))
-    )
-    low = F.min(F.struct("index", "value"))["value"]
-    high = F.max(F.struct("index", "value"))["value"]
-    part = F.max(F.col("rank") - F.floor("rank"))
-    return found.groupBy("column", "p").agg((low + (high - low) * part).alias("value"))

@@ -19,7 +19,7 @@ def _sampled_bins(cells: DataFrame, bins: int) -> DataFrame:
     return (
         numbered.select("flag", first.alias("first"), after.alias("after"))
         .where(F.col("first") < F.col("after"))
-        .select("flag", F.explode(F.sequence("first", F.col("after") - 1)).alias("bin"))
+        .select("flag", F.explode_outer(F.sequence("first", F.col("after") - 1)).alias("bin"))
     )
 
 

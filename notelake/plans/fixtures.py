@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from notelake.session import spread
+
 # The vocabularies used by the derived cells.
 PANDAS_OPS = {"read_csv": "io", "head": "select", "groupby": "group", "sum": "math",
               "merge": "join", "replace": "value", "dropna": "missing", "pivot": "reshape"}
@@ -61,6 +63,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _columns(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, spread over the cores when the table is one small file."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def pandas_vocab(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(PANDAS_OPS.items()), "function string, category string")
 
@@ -79,7 +86,8 @@ def part_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = _pick([source for source, _, _ in CELL_CASES], case)
     for mark, col in (("$x", "p_brand"), ("$y", "p_type")):
         filled = F.replace(filled, F.lit(mark), F.col(col))
-    return table(spark, sf_dir, "part").select(
+    parts = _columns(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type")
+    return parts.select(
         F.col("p_brand").alias("notebook_hash"), F.col("p_partkey").cast("string").alias("cell_id"),
         F.col("p_partkey").alias("cell_pos"), filled.alias("source"),
     )
@@ -90,7 +98,8 @@ def sized_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     many = lambda text: F.repeat(F.lit(text), F.col("p_size"))
     index = F.repeat(F.concat(F.lit("['"), "p_brand", F.lit("']")), F.col("p_size"))
     source = F.concat(many("x = 1\n"), F.lit("df"), many(".head()"), F.lit(".dropna()\na"), index)
-    return table(spark, sf_dir, "part").select(
+    parts = _columns(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type", "p_size")
+    return parts.select(
         F.col("p_type").alias("notebook_hash"), F.col("p_partkey").cast("string").alias("cell_id"),
         source.alias("source"),
     )
@@ -101,7 +110,9 @@ def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.format_string(
         "df = pd.read_csv('%s')\nif df['price'].sum() > %d:\n    df.groupby('%s').head(%d)",
         "o_orderpriority", F.floor("o_totalprice"), "o_orderstatus", "o_custkey")
-    return table(spark, sf_dir, "orders").select(
+    orders = _columns(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                      "o_totalprice", "o_orderpriority")
+    return orders.select(
         F.col("o_custkey").cast("string").alias("notebook_hash"),
         F.col("o_orderkey").cast("string").alias("cell_id"),
         F.col("o_orderkey").alias("cell_pos"), source.alias("source"),

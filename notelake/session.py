@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,3 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan of few partitions one per core, ahead of work that is heavy on the CPU.
+
+    Meant for frames read straight from files (their plan has no shuffle, so counting partitions
+    runs nothing). A large table has more partitions than cores and is returned as it is.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() * 2 > cores else scan.repartition(cores)
