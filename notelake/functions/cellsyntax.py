@@ -39,7 +39,9 @@ _LITERAL_PARTS = (ast.Constant, ast.List, ast.Tuple, ast.Set, ast.Dict, ast.expr
 _PLAIN = {"ctx", "op", "ops", "id", "attr", "asname", "module", "level", "kind", "type_comment",
           "conversion", "simple", "is_async", "kwd_attrs", "rest", "names"}
 _PARTS = {node: tuple(part for part in node._fields if part not in _PLAIN)
-          for node in vars(ast).values() if isinstance(node, type) and issubclass(node, ast.AST)}
+          for node in vars(ast).values()
+          if isinstance(node, type) and issubclass(node, ast.AST)
+          and (node is ast.Constant or not issubclass(node, ast.Constant))}
 
 
 @dataclass(frozen=True)

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Only the members we use are materialised; cell outputs are skipped while parsing. Sources are
-# variants because a source is text or a list of texts.
-NOTEBOOK = (
-    "struct<cells:array<struct<cell_type:string,id:string,source:variant>>,"
-    "metadata:struct<kernelspec:map<string,variant>,language_info:map<string,variant>>,"
-    "nbformat:variant,nbformat_minor:variant,orig_nbformat:variant,_malformed:string>"
-)
+# Only the members in use are materialised; cell outputs are skipped while parsing. Variants stand
+# for what may have several forms: a source is text or a list of texts.
+CELLS_MEMBER = "cells:array<struct<cell_type:string,id:string,source:variant>>"
+OTHER_MEMBERS = "metadata:variant,nbformat:variant,nbformat_minor:variant,orig_nbformat:variant"
 CELLS_PER_PART = 1024
 
 # Metadata of a rebuilt notebook.
@@ -22,17 +19,20 @@ SLIM_KERNEL = ("name", "display_name")
 SLIM_LANGUAGE = ("name", "version")
 
 
-def parse_notebooks(nb: DataFrame, content: str = "content") -> DataFrame:
-    """Add ``doc``: the parsed notebook, or NULL where the text is no JSON object."""
+def parse_notebooks(
+    nb: DataFrame, content: str = "content", members: str = CELLS_MEMBER
+) -> DataFrame:
+    """Add ``doc``: the wanted members of the notebook, or NULL where the text is no JSON object."""
     text = F.col(content)
     if dict(nb.dtypes)[content] == "binary":
         text = F.try_validate_utf8(text.cast("string"))
-    options = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"}
     closed = text.rlike(r"\}\s*\z")
-    return nb.withColumn("_doc", F.from_json(F.when(closed, text), NOTEBOOK, options)).withColumn(
-        "doc", F.when(F.col("_doc").isNotNull() & F.col("_doc._malformed").isNull(),
-                      F.col("_doc"))
-    ).drop("_doc")
+    document = F.from_json(
+        F.when(closed, text), f"struct<{members},_malformed:string>",
+        {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"})
+    readable = F.col("_doc").isNotNull() & F.col("_doc._malformed").isNull()
+    return nb.withColumn("_doc", document).withColumn(
+        "doc", F.when(readable, F.col("_doc"))).drop("_doc")
 
 
 def _kind(value: Column) -> Column:
@@ -116,9 +116,11 @@ def _slim_cell(cell: Column) -> Column:
     )
 
 
-def _allowed(members: str, names: tuple[str, ...]) -> Column:
-    kept = F.map_filter(F.col(members), lambda k, _: k.isin(*names))
-    return F.when(F.size(kept) > 0, kept)
+def _allowed(group: str, names: tuple[str, ...]) -> Column:
+    """The named entries of a metadata group; NULL when it has none or is no object."""
+    entries = F.try_variant_get("doc.metadata", f"$.{group}", "map<string,variant>")
+    kept = F.map_filter(entries, lambda name, _: name.isin(*names))
+    return F.when(F.size(kept) > 0, kept).alias(group)
 
 
 def slim_notebooks(nb: DataFrame, content: str = "content") -> DataFrame:
@@ -132,14 +134,13 @@ def slim_notebooks(nb: DataFrame, content: str = "content") -> DataFrame:
         number("nbformat", "4"),
         number("nbformat_minor", "2"),
         F.struct(
-            _allowed("doc.metadata.kernelspec", SLIM_KERNEL).alias("kernelspec"),
-            _allowed("doc.metadata.language_info", SLIM_LANGUAGE).alias("language_info"),
+            _allowed("kernelspec", SLIM_KERNEL), _allowed("language_info", SLIM_LANGUAGE),
             F.col("doc.orig_nbformat").alias("orig_nbformat"),
         ).alias("metadata"),
         F.coalesce(F.transform("doc.cells", _slim_cell), F.array()).alias("cells"),
     )
     return (
-        parse_notebooks(nb, content)
+        parse_notebooks(nb, content, f"{CELLS_MEMBER},{OTHER_MEMBERS}")
         .withColumn("slim", F.when(F.col("doc").isNotNull(), F.to_json(body)))
         .drop("doc")
     )

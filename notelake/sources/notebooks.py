@@ -8,10 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 FILE_ROWS = "path string, modificationTime timestamp, length long, content binary"
 
 
-def relative_name(file_path: Column, root: str) -> Column:
+def relative_name(path: Column, root: str) -> Column:
     """Path below ``root``; the base name where the file lies elsewhere."""
-    # Only percent escapes are undone, a plus sign stands for itself.
-    path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     folder = "/" + root.split(":", 1)[-1].strip("/") + "/"
     below = F.substring(path, F.position(F.lit(folder), path) + len(folder), F.length(path))
     return F.when(F.contains(path, F.lit(folder)), below).otherwise(

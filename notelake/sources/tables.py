@@ -11,9 +11,10 @@ from notelake.operators.ordering import global_index
 
 # CSV dialect (minimal quoting, doubled quotes) that returns every text unchanged.
 DIALECT = {
-    "header": True, "quote": '"', "escape": '"', "nullValue": r"\N", "emptyValue": "",
+    "header": True, "quote": '"', "escape": '"', "nullValue": r"\N",
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
+READING = {**DIALECT, "emptyValue": "", "multiLine": True}
 # Up to here a sorted limit keeps only a small heap per task.
 SMALL_PAGE = 10_000
 
@@ -24,7 +25,7 @@ def _schema(schema: T.StructType | str) -> T.StructType:
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names in the header line of a CSV table."""
-    return spark.read.options(**DIALECT, multiLine=True).csv(path).columns
+    return spark.read.options(**READING).csv(path).columns
 
 
 def read_csv_table(
@@ -44,7 +45,7 @@ def read_csv_table(
     as_stored = T.StructType([
         T.StructField(name, types.get(name, T.StringType())) for name in header
     ])
-    table = spark.read.schema(as_stored).options(**DIALECT, multiLine=True).csv(path)
+    table = spark.read.schema(as_stored).options(**READING).csv(path)
     return table.select(*[
         F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
         for f in wanted.fields
