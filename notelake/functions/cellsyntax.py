@@ -34,11 +34,13 @@ RESULT = "struct<error:string," + ",".join(f"`{k}`:array<{FACT}>" for k in KINDS
 _BLOCKS = frozenset((
     ast.If, ast.For, ast.AsyncFor, ast.While, ast.With, ast.AsyncWith, ast.Try, ast.Match,
     ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef))
+_NESTING = _BLOCKS | {ast.TryStar}
 _LITERAL_PARTS = (ast.Constant, ast.List, ast.Tuple, ast.Set, ast.Dict, ast.expr_context)
 # Parts of a syntax node that hold marks or plain values, nothing to walk into.
 _PLAIN = {"ctx", "op", "ops", "id", "attr", "asname", "module", "level", "kind", "type_comment",
           "conversion", "simple", "is_async", "kwd_attrs", "rest", "names"}
-_PARTS = {node: tuple(part for part in node._fields if part not in _PLAIN)
+# Per node type the other parts, last one first.
+_PARTS = {node: tuple(part for part in reversed(node._fields) if part not in _PLAIN)
           for node in vars(ast).values()
           if isinstance(node, type) and issubclass(node, ast.AST)
           and (node is ast.Constant or not issubclass(node, ast.Constant))}
@@ -262,21 +264,21 @@ def cell_facts(code: str, vocab: Vocabulary):
         note = _NOTES.get(kind)
         if note is not None and note(cell, node):
             continue
-        nests = kind in _BLOCKS
+        nests = kind in _NESTING
         if isinstance(node, ast.stmt):
             cell.saw("stmt", kind.__name__)
-            if nests and depth is not None:
+            if nests and depth is not None and kind in _BLOCKS:
                 cell.saw("block", kind.__name__, depth + 1)
-        nests = nests or kind is ast.TryStar
-        children = []
+        # The last one pushed is the next one walked: children come in the order of the text.
         for part in _PARTS[kind]:
             value = getattr(node, part)
             inner = _depth_below(node, part, value, depth) if nests else depth
-            for child in value if type(value) is list else (value,):
-                if isinstance(child, ast.AST):
-                    children.append((child, inner))
-        # The last one pushed is the next one walked: children in the order of the text.
-        pending.extend(reversed(children))
+            if type(value) is list:
+                for child in reversed(value):
+                    if isinstance(child, ast.AST):
+                        pending.append((child, inner))
+            elif isinstance(value, ast.AST):
+                pending.append((value, inner))
     return error, cell.facts
 
 

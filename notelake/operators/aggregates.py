@@ -57,7 +57,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> D
     """One row per column: count, mean, std, min, q25, q50, q75, max (optionally rounded)."""
     stats = column_stats(df, cols)
     found = exact_quantiles(df, cols, QUARTILES, stats)
-    shown = lambda x: x if digits is None or x is None else round(x, digits)
+    shown = lambda x: x if digits is None or x is None else round(x * 10**digits) / 10**digits
     rows = [
         (c, s["count"], *map(shown, (s["mean"], s["std"], s["min"], *found[c], s["max"])))
         for c, s in stats.items()
@@ -125,8 +125,10 @@ def distinct_count(df: DataFrame, col: str, name: str) -> DataFrame:
 
 def share_of_total(df: DataFrame, col: str, digits: int | None = 2) -> DataFrame:
     """Add ``percentage``: the share of ``col`` in its total, in percent."""
-    share: Column = 100 * F.col(col) / df.agg(F.sum(col)).scalar()
-    return df.withColumn("percentage", share if digits is None else F.bround(share, digits))
+    share: Column = F.col(col) / df.agg(F.sum(col)).scalar() * 100
+    # Scaled, rounded half to even and scaled back, as numpy does.
+    shown = share if digits is None else F.rint(share * 10**digits) / 10**digits
+    return df.withColumn("percentage", shown)
 
 
 def cell_type_counts(cells: DataFrame) -> DataFrame:
@@ -139,8 +141,7 @@ def histogram(df: DataFrame, col: str) -> DataFrame:
     The last bin is closed. No rows come out when the maximum is below 1.
     """
     number = F.col(col).cast("double")
-    low = df.agg(F.min(number)).scalar()
-    high = df.agg(F.max(number)).scalar()
+    ends = df.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high"))).scalar()
     slot = F.least(
         F.floor((F.col("x") - F.col("low")) * F.col("bins") / (F.col("high") - F.col("low"))),
         F.col("bins") - 1,
@@ -148,8 +149,8 @@ def histogram(df: DataFrame, col: str) -> DataFrame:
     width = (F.col("high") - F.col("low")) / F.col("bins")
     return (
         df.where(F.col(col).isNotNull())
-        .select(number.alias("x"), low.alias("low"), high.alias("high"),
-                F.floor(high).alias("bins"))
+        .select(number.alias("x"), ends["low"].alias("low"), ends["high"].alias("high"))
+        .withColumn("bins", F.floor("high"))
         .where(F.col("bins") >= 1)
         # A constant column is one unit wide around its value.
         .withColumn("flat", F.col("high") == F.col("low"))

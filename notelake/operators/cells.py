@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # for what may have several forms: a source is text or a list of texts.
 CELLS_MEMBER = "cells:array<struct<cell_type:string,id:string,source:variant>>"
 OTHER_MEMBERS = "metadata:variant,nbformat:variant,nbformat_minor:variant,orig_nbformat:variant"
+# Strict JSON, texts of any length.
+PARSING = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false",
+           "maxStringLen": "2147483647"}
 CELLS_PER_PART = 1024
 
 # Metadata of a rebuilt notebook.
@@ -26,10 +29,9 @@ def parse_notebooks(
     text = F.col(content)
     if dict(nb.dtypes)[content] == "binary":
         text = F.try_validate_utf8(text.cast("string"))
-    closed = text.rlike(r"\}\s*\z")
-    document = F.from_json(
-        F.when(closed, text), f"struct<{members},_malformed:string>",
-        {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"})
+    # Spark would read past a byte order mark and over text behind the document.
+    whole = text.rlike(r"\}\s*\z") & ~F.startswith(text, F.lit("\ufeff"))
+    document = F.from_json(F.when(whole, text), f"struct<{members},_malformed:string>", PARSING)
     readable = F.col("_doc").isNotNull() & F.col("_doc._malformed").isNull()
     return nb.withColumn("_doc", document).withColumn(
         "doc", F.when(readable, F.col("_doc"))).drop("_doc")

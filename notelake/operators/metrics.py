@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import builtins
 import keyword
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -125,12 +126,12 @@ def metric_columns() -> dict[str, Column]:
     }
 
 
-def metrics_of(facts: DataFrame) -> DataFrame:
+def metrics_of(facts: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     """All metric columns of a ``cell_facts`` frame; keys and ``parse_error`` are kept."""
     computed = metric_columns()
     kept = [c for c in ("notebook_hash", "cell_id", "cell_pos") if c in facts.columns]
     return facts.select(
-        *kept, *[computed.get(m, F.col(m)).alias(m) for m in METRICS], "parse_error"
+        *kept, *[computed.get(m, F.col(m)).alias(m) for m in METRICS], "parse_error", *extra
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from notelake.session import shared_dir
+from notelake.session import fresh_path
 
 BLOCK = 4096
 
@@ -15,16 +15,13 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str = "index") ->
     """Add the 0-based rank of each row under ``order`` as a long column.
 
     The sort is range-partitioned, so no task holds more than its range. The sorted rows are
-    checkpointed because both the range sizes and the ranks are read from them. Only the range
-    sizes (one row per partition) meet in one task and are broadcast.
+    written to the shared folder, because both the range sizes and the ranks are read from them
+    and have to agree. Only the range sizes (one row per partition) meet in one task and are
+    broadcast.
     """
-    shared_dir(df.sparkSession)
-    ranged = (
-        df.orderBy(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_range", F.shiftright("_id", 33))
-    )
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, "ranked")
+    df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    ranged = spark.read.parquet(path).withColumn("_range", F.shiftright("_id", 33))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -61,7 +58,9 @@ def number_in_group(
     are ranked inside their block only, and block offsets come from pre-aggregated block sizes:
     a group with a third of all rows spreads over as many tasks as it has blocks.
     """
-    blocked = df.withColumn("_block", F.expr(f"cast({pos} as bigint) div {block}"))
+    # Rows without a position come first, as in a plain sort.
+    blocked = df.withColumn(
+        "_block", F.coalesce(F.expr(f"cast({pos} as bigint) div {block}"), F.lit(-1)))
     sizes = blocked.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_size"))
     group = Window.partitionBy(key)
     running = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)

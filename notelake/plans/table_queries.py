@@ -210,13 +210,10 @@ def describe_notebooks_wide(spark, sf_dir):
     return wide.where(~F.col("statistic").isin("mean", "std"))
 
 
-@query("""
-SELECT 'price' AS "column", p, quantile_cont(l_extendedprice, p) AS value FROM lineitem,
-  (VALUES (0.25), (0.5), (0.75)) t(p) GROUP BY p""".replace(
-    "quantile_cont(l_extendedprice, p)", """CASE p WHEN 0.25 THEN quantile_cont(l_extendedprice, 0.25)
-  WHEN 0.5 THEN quantile_cont(l_extendedprice, 0.5) ELSE quantile_cont(l_extendedprice, 0.75) END"""
-).replace("p, CASE", "cast(p AS DOUBLE) AS p, CASE").replace("AS value", "AS value").replace(
-    "CASE p", "round(CASE p").replace("0.75) END", "0.75) END, 6)"))
+@query(" UNION ALL ".join(f"""
+SELECT 'price' AS "column", cast({p} AS DOUBLE) AS p,
+       round(quantile_cont(l_extendedprice, {p}), 6) AS value FROM lineitem"""
+                          for p in agg.QUARTILES))
 def price_quartiles(spark, sf_dir):
     prices = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("price"))
     return agg.quartiles(prices, ["price"]).withColumn("value", F.round("value", 6))
@@ -285,10 +282,12 @@ def part_counts(spark, sf_dir):
 
 
 @query(f"""
-SELECT "function", "count", 100 * "count" / (SELECT sum("count") FROM {_PART_COUNTS}) AS percentage
+SELECT "function", "count",
+       round_even("count" / (SELECT sum("count") FROM {_PART_COUNTS}) * 100 * 100, 0) / 100
+         AS percentage
 FROM {_PART_COUNTS}""")
 def share_of_calls(spark, sf_dir):
-    return agg.share_of_total(part_counts(spark, sf_dir), "count", digits=None)
+    return agg.share_of_total(part_counts(spark, sf_dir), "count")
 
 
 @query("""

@@ -148,6 +148,8 @@ def page(hits: DataFrame, limit: int | None = None, offset: int = 0) -> DataFram
 
     Rows without a link are dropped after paging; other NULL texts become "".
     """
+    texts = ["repo_name", "file_url", "keyword"]
+    hits = hits.select("id", *texts)
     bounded = limit is not None and limit > 0
     if bounded and limit + offset <= SMALL_PAGE:
         rows = hits.orderBy("id").offset(offset).limit(limit)
@@ -158,7 +160,6 @@ def page(hits: DataFrame, limit: int | None = None, offset: int = 0) -> DataFram
         at = F.col("_index")
         inside = (at >= offset) & (at < offset + limit) if bounded else at >= offset
         rows = global_index(hits, [F.col("id")], "_index").where(inside).drop("_index")
-    texts = ["repo_name", "file_url", "keyword"]
     return rows.select(
         "id", *[F.coalesce(t, F.lit("")).alias(t) for t in texts]
     ).where("file_url != ''")

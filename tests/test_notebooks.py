@@ -20,6 +20,7 @@ SOURCES = {
 TEXTS = {name: json.dumps(nb) for name, nb in SOURCES.items()} | {
     "broken": '{"cells": [{"cell_type": "code"}', "empty": "", "list": "[1,2]",
     "trailing": '{"cells": [{"cell_type": "code", "source": "a"}]} x',
+    "bom": '\ufeff{"cells": [{"cell_type": "code", "source": "a"}]}',
     "single": "{'cells': [{'cell_type': 'code', 'source': 'a'}]}",
 }
 
@@ -38,6 +39,14 @@ def test_flatten(spark):
     assert list(map(tuple, md.collect())) == [("quoted", "0", 0, '["a"]')]
 
 
+def test_long_sources_and_outputs_are_kept(spark):
+    big = "x" * 25_000_000
+    nb = {"cells": [{"cell_type": "code", "source": big, "outputs": [big]}]}
+    row = cellops.explode_cells(frame(spark, {"n": json.dumps(nb)})).select(
+        F.length("source").alias("n")).first()
+    assert row.n == len(big)
+
+
 def test_scan_finds_nested_files_and_drops_bad_bytes(spark, tmp_path):
     text = TEXTS["quoted"]
     names = ["a.ipynb", "d/e f/b+c%20.ipynb", "d/note.txt"]
