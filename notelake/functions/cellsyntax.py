@@ -12,6 +12,7 @@ import re
 import sys
 import warnings
 from dataclasses import dataclass, field
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -26,9 +27,12 @@ KINDS = ("stmt", "import", "def", "block", "operand", "operator", "ident", "op",
 ACCESSORS = ("str", "dt", "cat")
 INDEXERS = ("loc", "iloc", "at", "iat")
 TRAINING = ("fit", "fit_transform", "partial_fit", "train", "fit_generator")
-AXES_NAMES = ("ax", "axs", "axes", "axis")
+PLOT_BASES = (("mpl", "plt"), ("mpl", "ax"), ("mpl", "axs"), ("mpl", "axes"), ("mpl", "axis"),
+              ("seaborn", "sns"))
 
 FACT = "struct<name:string,value:bigint,times:bigint>"
+# Cells up to this length are worth remembering.
+SHORT = 200
 RESULT = "struct<error:string," + ",".join(f"`{k}`:array<{FACT}>" for k in KINDS) + ">"
 
 _BLOCKS = frozenset((
@@ -121,8 +125,7 @@ class _Cell:
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.facts = {kind: {} for kind in KINDS}
-        self.plot_bases = {("mpl", "plt"), ("seaborn", "sns"),
-                           *(("mpl", name) for name in AXES_NAMES)}
+        self.plot_bases = set(PLOT_BASES)
         self.in_chain, self.in_index = set(), set()
 
     def saw(self, kind, name=None, value=None, times=1):
@@ -192,15 +195,15 @@ def _note_call(cell, node):
     elif type(func) is ast.Attribute:
         called = func.attr
         base = func.value.id if type(func.value) is ast.Name else None
-        plots = any((library, base) in cell.plot_bases and called in getattr(vocab, library)
-                    for library in ("mpl", "seaborn"))
+        plots = ((called in vocab.mpl and ("mpl", base) in cell.plot_bases)
+                 or (called in vocab.seaborn and ("seaborn", base) in cell.plot_bases))
     else:
         return
     if called in TRAINING:
         cell.saw("train", called)
     if plots:
         cell.saw("visual", called)
-    if not cell.is_op(node):
+    if type(func) is ast.Name or called not in vocab.pandas:
         return
     cell.saw("op", called)
     if id(node) not in cell.in_chain:
@@ -289,35 +292,40 @@ def _constant_text(value) -> str:
         return hex(value)
 
 
+def _facts_of_batch(codes: pa.Array, remembered, fresh) -> pa.Array:
+    errors, columns = [], {kind: ([0], [], [], []) for kind in KINDS}
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for code in codes.to_pylist():
+            code = code or ""
+            error, facts = (remembered if len(code) <= SHORT else fresh)(code)
+            errors.append(error)
+            for kind, (offsets, names, values, times) in columns.items():
+                for (name, value), count in facts[kind].items():
+                    names.append(name)
+                    values.append(value)
+                    times.append(count)
+                offsets.append(len(times))
+    lists = [
+        pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()),
+            pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(values, pa.int64()),
+                 pa.array(times, pa.int64())], ["name", "value", "times"]))
+        for offsets, names, values, times in columns.values()
+    ]
+    return pa.StructArray.from_arrays(
+        [pa.array(errors, pa.string()), *lists], ["error", *columns])
+
+
 def facts_udf(vocab: Vocabulary):
     """Arrow UDF ``code -> RESULT``; the vocabulary travels with the closure."""
-    result_type = pa.struct([pa.field("error", pa.string())] + [
-        pa.field(kind, pa.list_(pa.struct([
-            pa.field("name", pa.string()), pa.field("value", pa.int64()),
-            pa.field("times", pa.int64())]))) for kind in KINDS])
+    per_task = {}  # short cells such as ``df.head()`` come up again and again
 
     def analyse(codes: pa.Array) -> pa.Array:
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
-        errors, columns = [], {kind: ([0], [], [], []) for kind in KINDS}
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            for code in codes:
-                error, facts = cell_facts(code.as_py() or "", vocab)
-                errors.append(error)
-                for kind, (offsets, names, values, times) in columns.items():
-                    for (name, value), count in facts[kind].items():
-                        names.append(name)
-                        values.append(value)
-                        times.append(count)
-                    offsets.append(len(times))
-        lists = []
-        for kind in KINDS:
-            offsets, names, values, times = columns[kind]
-            items = pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(values, pa.int64()),
-                 pa.array(times, pa.int64())], ["name", "value", "times"])
-            lists.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items))
-        return pa.StructArray.from_arrays(
-            [pa.array(errors, pa.string()), *lists], fields=list(result_type))
+        if not per_task:
+            per_task["facts"] = lru_cache(20_000)(partial(cell_facts, vocab=vocab))
+        return _facts_of_batch(codes, per_task["facts"], partial(cell_facts, vocab=vocab))
 
     return F.arrow_udf(analyse, RESULT)

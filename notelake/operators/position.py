@@ -2,52 +2,70 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from notelake.operators.ordering import number_in_group, with_cell_pos
 
 
-def _sampled_bins(cells: DataFrame, bins: int) -> DataFrame:
-    """One row per cell and bin it represents.
+def _sampled_bins(cells: DataFrame, flags: Sequence[str], bins: int) -> DataFrame:
+    """One row (bin, flags) per cell and bin it represents.
 
     Bin b looks at cell floor(b * N / bins) of a notebook with N cells, hence the cell at
     position p stands for bins ceil(p * bins / N) up to (not with) ceil((p + 1) * bins / N).
     """
-    numbered = number_in_group(cells, "notebook_hash", "cell_pos", ["flag"])
+    numbered = number_in_group(cells, "notebook_hash", "cell_pos", flags)
     first = F.expr(f"(position * {bins} + n_cells - 1) div n_cells")
     after = F.expr(f"((position + 1) * {bins} + n_cells - 1) div n_cells")
     return (
-        numbered.select("flag", first.alias("first"), after.alias("after"))
+        numbered.select(*flags, first.alias("first"), after.alias("after"))
         .where(F.col("first") < F.col("after"))
-        .select("flag", F.explode_outer(F.sequence("first", F.col("after") - 1)).alias("bin"))
+        .select(*flags, F.explode_outer(F.sequence("first", F.col("after") - 1)).alias("bin"))
     )
 
 
-def _flagged(code: DataFrame, md: DataFrame, code_flag: Column, md_flag: int) -> DataFrame:
-    keep = ["notebook_hash", "cell_pos"]
-    if "cell_pos" not in code.columns or "cell_pos" not in md.columns:
-        both = code.select("notebook_hash", "cell_id", code_flag.alias("flag")).unionByName(
-            md.select("notebook_hash", "cell_id", F.lit(md_flag).alias("flag")))
-        return with_cell_pos(both).select(*keep, "flag")
-    return code.select(*keep, code_flag.alias("flag")).unionByName(
-        md.select(*keep, F.lit(md_flag).alias("flag")))
+def _all_cells(
+    code: DataFrame, md: DataFrame, code_flags: dict[str, Column], md_flag: int
+) -> DataFrame:
+    """Code and markdown cells of the notebooks with their 0/1 flags."""
+    ordered = all("cell_pos" in df.columns for df in (code, md))
+    keys = ["notebook_hash", "cell_pos" if ordered else "cell_id"]
+    cells = code.select(*keys, *[flag.alias(n) for n, flag in code_flags.items()]).unionByName(
+        md.select(*keys, *[F.lit(md_flag).alias(n) for n in code_flags]))
+    return with_cell_pos(cells)
 
 
-def position_curve(code: DataFrame, md: DataFrame, col: str, bins: int = 100) -> DataFrame:
-    """(bin, hits, notebooks, pct): share of notebooks whose sampled cell has ``col`` > 0."""
-    flag = F.coalesce((F.col(col) > 0).cast("int"), F.lit(0))
-    return (
-        _sampled_bins(_flagged(code, md, flag, 0), bins)
+def position_curves(
+    code: DataFrame, md: DataFrame, cols: Sequence[str], bins: int = 100
+) -> DataFrame:
+    """(metric, bin, hits, notebooks, pct): share of notebooks whose sampled cell has a positive
+    metric, for several metrics in one pass."""
+    names = {f"_f{i}": c for i, c in enumerate(cols)}
+    flags = {n: F.coalesce((F.col(c) > 0).cast("int"), F.lit(0)) for n, c in names.items()}
+    per_bin = (
+        _sampled_bins(_all_cells(code, md, flags, 0), list(flags), bins)
         .groupBy("bin")
-        .agg(F.sum("flag").alias("hits"), F.count(F.lit(1)).alias("notebooks"))
-        .withColumn("pct", F.col("hits") / F.col("notebooks") * 100)
+        .agg(F.count(F.lit(1)).alias("notebooks"), *[F.sum(n).alias(n) for n in flags])
+    )
+    hits = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(n).alias("hits"))
+                     for n, c in names.items()])
+    return (
+        per_bin.select("bin", "notebooks", F.inline(hits))
+        .select("metric", "bin", "hits", "notebooks",
+                (F.col("hits") / F.col("notebooks") * 100).alias("pct"))
     )
 
 
+def position_curve(code: DataFrame, md: DataFrame, col: str, bins: int = 100) -> DataFrame:
+    """(bin, hits, notebooks, pct) of one metric."""
+    return position_curves(code, md, [col], bins).drop("metric")
+
+
 def type_ratio_curve(code: DataFrame, md: DataFrame, bins: int = 100) -> DataFrame:
     """(bin, text_count, code_count, text_pct): text against code cells per bin."""
     return (
-        _sampled_bins(_flagged(code, md, F.lit(0), 1), bins)
+        _sampled_bins(_all_cells(code, md, {"flag": F.lit(0)}, 1), ["flag"], bins)
         .groupBy("bin")
         .agg(F.sum("flag").alias("text_count"), F.sum(1 - F.col("flag")).alias("code_count"))
         .withColumn(

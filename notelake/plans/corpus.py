@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from notelake.operators.aggregates import describe, notebook_rollup, op_summary
 from notelake.operators.cells import explode_cells
 from notelake.operators.metrics import cell_facts, metrics_of, vocabulary
-from notelake.operators.position import position_curve, type_ratio_curve
+from notelake.operators.position import position_curves, type_ratio_curve
 from notelake.schemas import METRICS
 from notelake.sources.notebooks import scan_notebooks
 from notelake.sources.tables import write_csv
@@ -56,11 +56,8 @@ def summarise(spark: SparkSession, out: str, mode: str = "errorifexists") -> Non
         describe(notebooks, ["n_cells", *METRICS], 2).withColumn("per", F.lit("notebook")))
     write_csv(stats, f"{out}/statistics.csv", mode)
     md = cells_of(spark, out, "markdown")
-    curves = [position_curve(measured, md, c).withColumn("metric", F.lit(c)) for c in CURVES]
-    for_all = curves[0]
-    for curve in curves[1:]:
-        for_all = for_all.unionByName(curve)
-    write_csv(for_all.orderBy("metric", "bin"), f"{out}/position_curves.csv", mode)
+    curves = position_curves(measured, md, CURVES)
+    write_csv(curves.orderBy("metric", "bin"), f"{out}/position_curves.csv", mode)
     ratio = type_ratio_curve(cells_of(spark, out, "code"), md)
     write_csv(ratio.orderBy("bin"), f"{out}/type_ratio.csv", mode)
 

@@ -176,11 +176,14 @@ def skip_existing(
 
 def skipped_count(df: DataFrame, target: DataFrame, key: str = "hash") -> DataFrame:
     """How many rows were already there and how many are new."""
-    known = target.select(key, F.lit(True).alias("_known")).dropDuplicates([key])
-    return df.join(known, key, "left").agg(
-        F.count_if("_known").alias("skipped"),
-        F.count_if(F.col("_known").isNull()).alias("written"),
-    )
+    # One row per key on both sides of the join, however often a key occurs.
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    known = target.select(key).distinct().withColumn("known", F.lit(True))
+    sums = {"skipped": F.col("known"), "written": F.col("known").isNull()}
+    return per_key.join(known, key, "left").agg(*[
+        F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)).alias(name)
+        for name, which in sums.items()
+    ])
 
 
 def missing_names(wanted: DataFrame, present: DataFrame, col: str) -> DataFrame:

@@ -7,7 +7,11 @@ the caller names, which has to be shared by all executors.
 from __future__ import annotations
 
 import hashlib
+import sys
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,15 +24,16 @@ from notelake.operators.curate import insert_or_ignore
 from notelake.operators.metrics import cell_facts, metrics_of
 from notelake.sources.notebooks import scan_notebooks
 
+# Functions that run on the executors travel by value, the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _write(df: DataFrame, target: str, checkpoint: str, **partitioned) -> StreamingQuery:
-    writer = (
-        df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-        .option("path", target).outputMode("append").trigger(availableNow=True)
+
+def _write(df: DataFrame, target: str, checkpoint: str, *folders: str) -> StreamingQuery:
+    return (
+        df.writeStream.format("parquet").partitionBy(*folders).outputMode("append")
+        .option("path", target).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
-    if partitioned.get("by"):
-        writer = writer.partitionBy(partitioned["by"])
-    return writer.start()
 
 
 def ingest_stream(
@@ -38,7 +43,7 @@ def ingest_stream(
     """New notebook files -> cells, in folders by cell type (code and markdown only)."""
     cells = explode_cells(scan_notebooks(spark, directory, True, max_files, pattern))
     kept = cells.where(F.col("cell_type").isin("code", "markdown"))
-    return _write(kept, target, checkpoint, by="cell_type")
+    return _write(kept, target, checkpoint, "cell_type")
 
 
 def metrics_stream(
@@ -48,6 +53,13 @@ def metrics_stream(
     return _write(metrics_of(cell_facts(cells, vocab)), target, checkpoint)
 
 
+def _first_of_each_hash(batches):
+    for batch in batches:
+        numbered = pa.table({"hash": batch.column("hash"), "row": np.arange(batch.num_rows)})
+        first = numbered.group_by("hash", use_threads=False).aggregate([("row", "min")])
+        yield batch.take(first.column("row_min").combine_chunks())
+
+
 def first_seen_stream(
     links: DataFrame, target: str, checkpoint: str, delay: str | None = None
 ) -> StreamingQuery:
@@ -56,7 +68,10 @@ def first_seen_stream(
     State keeps every hash. With ``delay`` hashes are forgotten once ``found_at`` is that far
     behind.
     """
-    keyed = links.withColumn("hash", link_key(F.col("file_url")))
+    hashed = links.withColumn("hash", link_key(F.col("file_url")))
+    # A link that fills much of the input is thinned out before it meets the one task that keeps
+    # its state.
+    keyed = hashed.mapInArrow(_first_of_each_hash, hashed.schema)
     if delay is None:
         first = keyed.dropDuplicates(["hash"])
     else:
