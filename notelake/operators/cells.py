@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from notelake.functions.once import add_once
+from notelake.operators.ordering import with_cell_pos
+
 # Only the members in use are materialised; cell outputs are skipped while parsing. Variants stand
 # for what may have several forms: a source is text or a list of texts.
 CELLS_MEMBER = "cells:array<struct<cell_type:string,id:string,source:variant>>"
@@ -33,8 +36,8 @@ def parse_notebooks(
     whole = text.rlike(r"\}\s*\z") & ~F.startswith(text, F.lit("\ufeff"))
     document = F.from_json(F.when(whole, text), f"struct<{members},_malformed:string>", PARSING)
     readable = F.col("_doc").isNotNull() & F.col("_doc._malformed").isNull()
-    return nb.withColumn("_doc", document).withColumn(
-        "doc", F.when(readable, F.col("_doc"))).drop("_doc")
+    parsed = nb.withColumn("_doc", document)
+    return add_once(parsed, "doc", F.when(readable, F.col("_doc"))).drop("_doc")
 
 
 def _kind(value: Column) -> Column:
@@ -59,12 +62,9 @@ def source_text(source: Column) -> Column:
 
 def explode_cells(nb: DataFrame, key: str = "notebook_hash", content: str = "content") -> DataFrame:
     """(notebook_hash, cell_id, cell_pos, cell_type, source): one row per cell of ``nb``."""
-    # The outer form keeps Spark from testing ``doc`` first, which would parse it several times.
-    exploded = F.posexplode_outer("doc.cells").alias("cell_pos", "c")
     return (
         parse_notebooks(nb, content)
-        .select(F.col(key).alias("notebook_hash"), exploded)
-        .where(F.col("cell_pos").isNotNull())
+        .select(F.col(key).alias("notebook_hash"), F.posexplode("doc.cells").alias("cell_pos", "c"))
         .select(
             "notebook_hash",
             F.coalesce(F.nullif(F.col("c.id"), F.lit("")), F.col("cell_pos").cast("string"))
@@ -186,8 +186,6 @@ def rebuild_notebooks(
     joined in order are the document, so no task ever gathers more than ``cells_per_part``
     positions.
     """
-    from notelake.operators.ordering import with_cell_pos
-
     tagged = [df.withColumn("cell_type", F.lit(kind)) for df, kind in ((code, "code"),
                                                                       (md, "markdown"))]
     names = ["notebook_hash", "cell_id", "cell_pos", "cell_type", "source"]

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from notelake.functions.cellsyntax import KINDS, Vocabulary, facts_udf
+from notelake.functions.once import add_once
 from notelake.functions.text import (
     is_blank, is_magic, split_lines, unify_breaks, without_last_break,
 )
@@ -55,9 +56,9 @@ def vocabulary(
 
 def cell_facts(cells: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Line metrics plus ``facts``: one row per cell, no shuffle, one Arrow round trip."""
+    lines = line_metrics(cells)
     return (
-        line_metrics(cells)
-        .withColumn("facts", facts_udf(vocab)(F.col("code")))
+        add_once(lines, "facts", facts_udf(vocab)(F.col("code")))
         .drop("code")
         .withColumn("parse_error", F.col("facts.error"))
     )
@@ -70,9 +71,7 @@ def cell_fact_rows(facts: DataFrame, keys=("notebook_hash", "cell_id")) -> DataF
             F.lit(kind).alias("kind"), fact["name"].alias("name"),
             fact["value"].alias("value"), fact["times"].alias("times")))
 
-    # The outer form keeps Spark from testing the facts once more, which would parse cells twice.
-    rows = facts.select(*keys, F.inline_outer(F.concat(*map(tagged, KINDS))))
-    return rows.where(F.col("kind").isNotNull())
+    return facts.select(*keys, F.inline(F.concat(*map(tagged, KINDS))))
 
 
 def _fold(kind: str, step) -> Column:

@@ -37,7 +37,7 @@ def measure(spark: SparkSession, out: str, pandas: DataFrame, mpl: DataFrame, se
     measured = metrics_of(facts, extra=[F.col("facts.op").alias("ops")])
     measured.write.mode(mode).parquet(f"{out}/code_cells_metrics")
     counts = (
-        metrics_table(spark, out).select(F.explode_outer("ops").alias("op")).where("op IS NOT NULL")
+        metrics_table(spark, out).select(F.explode("ops").alias("op"))
         .groupBy(F.col("op.name").alias("function")).agg(F.sum("op.times").alias("count"))
     )
     write_csv(op_summary(pandas, counts), f"{out}/pandas_ops_count.csv", mode)
