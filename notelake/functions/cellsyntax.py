@@ -151,6 +151,7 @@ def _index_below(subscript):
 
 def _note_constant(cell, node):
     cell.saw("operand", f"CONST:{_constant_text(node.value)}")
+    return True
 
 
 def _note_container(cell, node):
@@ -161,6 +162,7 @@ def _note_container(cell, node):
 
 def _note_name(cell, node):
     cell.saw("ident", node.id)
+    return True
 
 
 def _note_attribute(cell, node):

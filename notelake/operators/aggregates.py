@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -56,7 +57,8 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> D
     """One row per column: count, mean, std, min, q25, q50, q75, max (optionally rounded)."""
     stats = column_stats(df, cols)
     found = exact_quantiles(df, cols, QUARTILES, stats)
-    shown = lambda x: x if digits is None or x is None else round(x * 10**digits) / 10**digits
+    shown = lambda x: (x if digits is None or x is None or not isfinite(x)
+                       else round(x * 10**digits) / 10**digits)
     rows = [
         (c, s["count"], *map(shown, (s["mean"], s["std"], s["min"], *found[c], s["max"])))
         for c, s in stats.items()
@@ -141,28 +143,30 @@ def histogram(df: DataFrame, col: str) -> DataFrame:
     """
     number = F.col(col).cast("double")
     ends = df.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high"))).scalar()
-    slot = F.least(
-        F.floor((F.col("x") - F.col("low")) * F.col("bins") / (F.col("high") - F.col("low"))),
-        F.col("bins") - 1,
+    low, high, bins = F.col("low"), F.col("high"), F.col("bins")
+    edge = lambda i: low + i * ((high - low) / bins)
+    slot = F.least(F.floor((F.col("x") - low) / (high - low) * bins), bins - 1)
+    # A value belongs to the bin whose edges, as computed, enclose it.
+    fitted = (
+        F.when(F.col("x") < edge(F.col("slot")), F.col("slot") - 1)
+        .when((F.col("x") >= edge(F.col("slot") + 1)) & (F.col("slot") < bins - 1),
+              F.col("slot") + 1)
+        .otherwise(F.col("slot"))
     )
-    width = (F.col("high") - F.col("low")) / F.col("bins")
-    return (
+    bounded = (
         df.where(F.col(col).isNotNull())
         .select(number.alias("x"), ends["low"].alias("low"), ends["high"].alias("high"))
         .withColumn("bins", F.floor("high"))
-        .where(F.col("bins") >= 1)
-        # A constant column is one unit wide around its value.
-        .withColumn("flat", F.col("high") == F.col("low"))
-        .withColumn("low", F.when(F.col("flat"), F.col("low") - 0.5).otherwise(F.col("low")))
-        .withColumn("high", F.when(F.col("flat"), F.col("high") + 0.5).otherwise(F.col("high")))
-        .groupBy(slot.cast("bigint").alias("bin"), "low", "high", "bins")
+        .where(bins >= 1)
+    )
+    # A constant column is one unit wide around its value.
+    flat = F.when(low == high, 0.5).otherwise(0.0)
+    return (
+        bounded.select("x", "bins", (low - flat).alias("low"), (high + flat).alias("high"))
+        .withColumn("slot", slot)
+        .groupBy(fitted.cast("bigint").alias("bin"), "low", "high", "bins")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "bin",
-            (F.col("low") + F.col("bin") * width).alias("left"),
-            (F.col("low") + (F.col("bin") + 1) * width).alias("right"),
-            "n",
-        )
+        .select("bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"), "n")
     )
 
 

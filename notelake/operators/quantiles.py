@@ -22,10 +22,20 @@ FEW_ROWS = 1_000_000
 WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 
 
+def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Only the named columns, with NaN as missing."""
+    types = dict(df.dtypes)
+    missing = F.lit(float("nan"))
+    return df.select(*[
+        F.nullif(F.col(c), missing).alias(c) if types[c] in ("float", "double") else F.col(c)
+        for c in cols
+    ])
+
+
 def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
     """count, mean, std, min and max per column, in one pass."""
     number = lambda c: F.col(c).cast("double")
-    row = df.agg(*[
+    row = _numbers(df, cols).agg(*[
         F.struct(
             F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
             F.min(number(c)).alias("min"), F.max(number(c)).alias("max"),
@@ -45,6 +55,7 @@ def exact_quantiles(
     one entry per distinct value. For other columns the needed ranks are searched by value ranges.
     """
     stats = column_stats(df, cols) if stats is None else stats
+    df = _numbers(df, cols)
     found: dict[str, list] = {c: [None] * len(probabilities) for c in cols}
     types = dict(df.dtypes)
     filled = [c for c in cols if stats[c]["count"]]

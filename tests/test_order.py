@@ -116,6 +116,16 @@ def test_quantiles_of_few_and_no_rows(spark):
     assert found == {"a": [1.75, 2.5], "b": [None, None]}
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (nan,), (3.0,), (None,)], "x double")
+    assert exact_quantiles(df, ["x"], (0.0, 0.5, 1.0)) == {"x": [1.0, 2.0, 3.0]}
+    row = agg.describe(df, ["x"], 2).first()
+    assert (row["count"], row["mean"], row["std"], row["max"]) == (2, 2.0, 1.41, 3.0)
+    infinite = spark.createDataFrame([(1.0,), (float("inf"),)], "x double")
+    assert agg.describe(infinite, ["x"], 2).first()["max"] == float("inf")
+
+
 def test_describe_matches_pandas(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([(rng.randrange(40), rng.random()) for _ in range(501)],
@@ -142,6 +152,17 @@ def test_histogram_matches_numpy(spark):
     assert agg.histogram(spark.createDataFrame([(0,)], "v int"), "v").count() == 0
 
 
+def test_histogram_edges_fall_as_in_numpy(spark):
+    rng = random.Random(8)
+    for _ in range(12):
+        low, high = sorted(rng.sample(range(1, 200), 2))
+        values = list(range(low, high + 1))
+        counts, _ = np.histogram(values, bins=high)
+        df = spark.createDataFrame([(v,) for v in values], "v int")
+        rows = {r.bin: r.n for r in agg.histogram(df, "v").collect()}
+        assert rows == {i: n for i, n in enumerate(counts) if n}, (low, high)
+
+
 def test_shares_and_ratios(spark):
     df = spark.createDataFrame([("a", 1, 2), ("b", 2, 1), ("c", 0, 0)], "f string, n long, d long")
     assert [r.percentage for r in agg.share_of_total(df, "n").orderBy("f").collect()] == [
