@@ -33,7 +33,8 @@ def parse_notebooks(
     if dict(nb.dtypes)[content] == "binary":
         text = F.try_validate_utf8(text.cast("string"))
     # Spark would read past a byte order mark and over text behind the document.
-    whole = text.rlike(r"\}\s*\z") & ~F.startswith(text, F.lit("\ufeff"))
+    ends = F.endswith(F.rtrim(text, F.lit(" \t\r\n")), F.lit("}"))
+    whole = ends & ~F.startswith(text, F.lit("\ufeff"))
     document = F.from_json(F.when(whole, text), f"struct<{members},_malformed:string>", PARSING)
     readable = F.col("_doc").isNotNull() & F.col("_doc._malformed").isNull()
     parsed = nb.withColumn("_doc", document)

@@ -216,11 +216,6 @@ def csv_files(trees: DataFrame) -> DataFrame:
     )
 
 
-def csv_links(df: DataFrame) -> DataFrame:
-    """Tree entries in long form that are CSV files."""
-    return df.where((F.col("type") == "blob") & F.endswith(F.lower("path"), F.lit(".csv")))
-
-
 def link_cells(cells: DataFrame, links: DataFrame, counts: DataFrame) -> DataFrame:
     """Cells with the repository of their notebook and its CSV count (0 when unknown)."""
     sourced = links.select(F.col("hash").alias("notebook_hash"), "repo_name", "file_link")

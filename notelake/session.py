@@ -15,14 +15,11 @@ def shared_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder would not survive the loss of an executor.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = getattr(context, "_notelake_shared_dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="notelake-")
-        context._notelake_shared_dir = named
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
