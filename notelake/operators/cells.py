@@ -192,26 +192,26 @@ def rebuild_notebooks(
     names = ["notebook_hash", "cell_id", "cell_pos", "cell_type", "source"]
     shared = [n for n in names if all(n in df.columns for df in tagged)]
     cells = with_cell_pos(tagged[0].select(shared).unionByName(tagged[1].select(shared)))
+    part = F.expr(f"cast(cell_pos as bigint) div {cells_per_part}").alias("part")
+    keys = ["notebook_hash", "part"]
+    # Which parts open and close a document: found on the keys alone, then joined by part, so that
+    # the texts of a large notebook never meet in one task.
+    notebook = Window.partitionBy("notebook_hash")
+    ends = cells.select("notebook_hash", part).distinct().select(
+        *keys,
+        (F.col("part") == F.min("part").over(notebook)).alias("first"),
+        (F.col("part") == F.max("part").over(notebook)).alias("last"),
+    )
+    texts = F.transform(F.array_sort(F.collect_list("cell")), lambda c: c["json"])
     parts = (
-        cells.select(
-            "notebook_hash", F.expr(f"cast(cell_pos as bigint) div {cells_per_part}").alias("part"),
-            F.struct("cell_pos", "cell_type", _rebuilt_cell().alias("json")).alias("cell"),
-        )
-        .groupBy("notebook_hash", "part")
-        .agg(F.array_sort(F.collect_list("cell")).alias("cells"))
+        cells.select("notebook_hash", part, F.struct(
+            "cell_pos", "cell_type", _rebuilt_cell().alias("json")).alias("cell"))
+        .groupBy(*keys).agg(F.array_join(texts, ",").alias("json"))
     )
-    # One row per part from here on.
-    notebook = Window.partitionBy("notebook_hash")
-    texts = F.array_join(F.transform("cells", lambda c: c["json"]), ",")
-    return (
-        parts.withColumn("json", texts).drop("cells")
-        .withColumn("first", F.col("part") == F.min("part").over(notebook))
-        .withColumn("last", F.col("part") == F.max("part").over(notebook))
-        .select(
-            "notebook_hash", "part", "last",
-            F.concat(
-                F.when(F.col("first"), '{"cells":[').otherwise(","), "json",
-                F.when(F.col("last"), REBUILT_TAIL).otherwise(""),
-            ).alias("json"),
-        )
+    return parts.join(ends, keys).select(
+        *keys, "last",
+        F.concat(
+            F.when(F.col("first"), '{"cells":[').otherwise(","), "json",
+            F.when(F.col("last"), REBUILT_TAIL).otherwise(""),
+        ).alias("json"),
     )

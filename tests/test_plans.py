@@ -55,6 +55,17 @@ def test_no_window_over_whole_groups(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_rebuilt_texts_of_a_notebook_do_not_meet(spark):
+    code, md = cells.split_cells(fx.conversation_cells(spark, SF))
+    text = plan(cells.rebuild_notebooks(code, md))
+    assert text.count("Window [") == 1
+    lines = text[text.index("Window ["):].splitlines()
+    shuffled = next(line for line in lines if "Exchange hashpartitioning(notebook_hash" in line)
+    assert "part#" not in shuffled
+    below = "\n".join(lines[lines.index(shuffled):])
+    assert "collect_list" not in below and "to_json" not in below
+
+
 def test_no_cross_joins_in_any_query(spark):
     from notelake.plans.queries import QUERIES
 
