@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from notelake.llm import byte_bpe
+from notelake.llm import byte_bpe, token_counts
 
 QUERIES = {}
 ORACLES = {}
@@ -29,3 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7_byte_bpe(spark, sf_dir):
     return byte_bpe.digest_texts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op1_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
