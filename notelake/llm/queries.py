@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from notelake.llm import byte_bpe, token_counts
+from notelake.llm import byte_bpe, quality, token_counts
 
 QUERIES = {}
 ORACLES = {}
@@ -35,3 +35,9 @@ def op7_byte_bpe(spark, sf_dir):
 def op1_token_counts(spark, sf_dir):
     return token_counts.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op4_quality_rules(spark, sf_dir):
+    return quality.assess(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
