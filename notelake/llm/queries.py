@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from notelake.llm import byte_bpe, quality, token_counts
+from notelake.llm import byte_bpe, quality, token_counts, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -41,3 +41,9 @@ def op1_token_counts(spark, sf_dir):
 def op4_quality_rules(spark, sf_dir):
     return quality.assess(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
