@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -90,6 +91,37 @@ class Bags:
         return (sums[last] - sums[first]) / np.maximum(counts[last] - counts[first], 1), at, first
 
 
+    def choose(self, weight: np.ndarray, width: int, toxic: np.ndarray, rng):
+        """(text, bag) of the windows to train on: of a toxic text the one that looks worst, of
+        another the four that look worst and four more."""
+        means, at, first = self.window_means(weight, width)
+        grams = self.bucket[np.argsort(self.word, kind="stable")]
+        gram_at = np.concatenate([[0], np.cumsum(np.bincount(self.word, minlength=self.n_words))])
+        for i in np.flatnonzero(at[1:] > at[:-1]):
+            own = means[at[i]:at[i + 1]]
+            if toxic[i]:
+                picks = {int(own.argmax())}
+            else:
+                few = min(4, len(own))
+                picks = {*np.argpartition(own, -few)[-few:].tolist(),
+                         *rng.integers(0, len(own), 4).tolist()}
+            for pick in sorted(picks):
+                word = first[at[i] + pick]
+                last = min(word + width, self.at[i + 1])
+                if gram_at[last] > gram_at[word]:
+                    yield i, grams[gram_at[word]:gram_at[last]].copy()
+
+
+def slices(texts: list[str], limit: int = 1 << 20):
+    """Runs of texts of about ``limit`` characters, which bounds the arrays of n-grams."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= limit or i + 1 == len(texts):
+            yield begin, i + 1
+            begin, size = i + 1, 0
+
+
 @dataclass
 class Model:
     """Logit of a window: the mean weight of its n-grams plus the bias."""
@@ -149,36 +181,28 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 2, rounds: int = 3,
     toxic = np.asarray(toxic, np.int64)
     if not len(texts) or toxic.min() == toxic.max():
         return Model(np.zeros(1 << BITS, np.float32), -50.0, width)
-    bags = Bags(texts)
-    text_of_word = np.repeat(np.arange(len(texts)), np.diff(bags.at))
     # Log odds of a bucket in toxic documents, to begin with.
-    pairs = np.unique(text_of_word[bags.word] * (1 << BITS) + bags.bucket)
-    where, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    found = [np.bincount(bucket[toxic[where] == k], minlength=1 << BITS) for k in (0, 1)]
-    share = [(f + 0.5) / (np.count_nonzero(toxic == k) + 1) for k, f in enumerate(found)]
+    found = [np.full(1 << BITS, 0.5), np.full(1 << BITS, 0.5)]
+    for begin, end in slices(texts):
+        bags = Bags(texts[begin:end])
+        text = np.repeat(np.arange(end - begin), np.diff(bags.at))
+        pairs = np.unique((text[bags.word].astype(np.int64) << BITS) + bags.bucket)
+        where, bucket = toxic[begin:end][pairs >> BITS], pairs & ((1 << BITS) - 1)
+        for k in (0, 1):
+            found[k] += np.bincount(bucket[where == k], minlength=1 << BITS)
+    share = [f / (np.count_nonzero(toxic == k) + 1) for k, f in enumerate(found)]
     weight, bias = np.log(share[1] / share[0]), 0.0
     weight[found[1] < 3] = 0
-    order = np.argsort(bags.word, kind="stable")
-    grams = bags.bucket[order]
-    gram_at = np.concatenate([[0], np.cumsum(np.bincount(bags.word, minlength=bags.n_words))])
     for _ in range(rounds):
-        means, at, first = bags.window_means(weight, width)
-        chosen, labels = [], []
-        for i in np.flatnonzero(at[1:] > at[:-1]):
-            own = means[at[i]:at[i + 1]]
-            if toxic[i]:
-                picks = [int(own.argmax())]
-            else:
-                worst = np.argpartition(own, -min(4, len(own)))[-min(4, len(own)):]
-                picks = {*worst.tolist(), *rng.integers(0, len(own), 4).tolist()}
-            for pick in picks:
-                word = first[at[i] + pick]
-                last = min(word + width, bags.at[i + 1])
-                bag = grams[gram_at[word]:gram_at[last]]
-                if len(bag):
-                    chosen.append(bag)
-                    labels.append(toxic[i])
-        weight, bias = fit_softmax(chosen, np.array(labels), rng, epochs, rate)
+        chosen: list[np.ndarray] = []
+        kinds: list[int] = []
+        for begin, end in slices(texts):
+            bags = Bags(texts[begin:end])
+            for i, bag in bags.choose(weight, width, toxic[begin:end], rng):
+                chosen.append(bag)
+                kinds.append(toxic[begin + i])
+        if len(set(kinds)) == 2:
+            weight, bias = fit_softmax(chosen, np.array(kinds), rng, epochs, rate)
     return Model(weight, bias, width)
 
 
@@ -212,7 +236,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch):
-        found = sent.value.score([t or "" for t in batch.column(1).to_pylist()])
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        found = np.concatenate([sent.value.score(texts[a:b]) for a, b in slices(texts)] or [[]])
         return batch.column(0), found, pa.array((found >= 0.5).astype(np.int32))
 
     kind = docs.schema[key].dataType.simpleString()
@@ -226,14 +251,8 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("boolean")
     def clean(texts):
-        import pandas as pd
-
-        out, begin, size = [], 0, texts.str.len().fillna(0).cumsum().to_numpy()
-        while begin < len(texts):  # slices of a few MB bound the arrays
-            done = size[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(size, done + (2 << 20))))
-            out.append(sent.value.score([t or "" for t in texts.iloc[begin:end]]) < 0.5)
-            begin = end
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+        texts = [t or "" for t in texts.tolist()]
+        parts = [sent.value.score(texts[a:b]) < 0.5 for a, b in slices(texts)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0, bool))
 
     return docs.where(clean(F.col(text).cast("string")))
