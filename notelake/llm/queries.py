@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from notelake.llm import byte_bpe, quality, token_counts, toxicity
+from notelake.llm import byte_bpe, near_dup, quality, token_counts, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -47,3 +47,8 @@ def op4_quality_rules(spark, sf_dir):
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op3_near_duplicates(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
