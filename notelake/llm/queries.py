@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from notelake.llm import byte_bpe, near_dup, quality, token_counts, toxicity
+from notelake.llm import (
+    byte_bpe, decontaminate, near_dup, quality, token_counts, toxicity,
+)
 
 QUERIES = {}
 ORACLES = {}
@@ -52,3 +54,9 @@ def op5_toxicity(spark, sf_dir):
 @query()
 def op3_near_duplicates(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.find_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -116,6 +116,16 @@ def pieces(batch: pa.RecordBatch, text: int = 1, limit: int = PIECE) -> Iterator
         begin = end
 
 
+def slices(texts: list[str], limit: int = 1 << 20):
+    """Runs of texts of about ``limit`` characters, which bounds the arrays made of them."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= limit or i + 1 == len(texts):
+            yield begin, i + 1
+            begin, size = i + 1, 0
+
+
 def map_texts(df: DataFrame, key: str, text: str, schema: str,
               work: Callable[[pa.RecordBatch], Sequence | Iterator[Sequence]],
               extra: Sequence[str] = ()) -> DataFrame:

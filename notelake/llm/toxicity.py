@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from notelake.llm.texts import held_out, map_texts, mix
+from notelake.llm.texts import held_out, map_texts, mix, slices
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -112,16 +112,6 @@ class Bags:
                     yield i, grams[gram_at[word]:gram_at[last]].copy()
 
 
-def slices(texts: list[str], limit: int = 1 << 20):
-    """Runs of texts of about ``limit`` characters, which bounds the arrays of n-grams."""
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= limit or i + 1 == len(texts):
-            yield begin, i + 1
-            begin, size = i + 1, 0
-
-
 @dataclass
 class Model:
     """Logit of a window: the mean weight of its n-grams plus the bias."""
