@@ -128,20 +128,26 @@ def encode_texts(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "
     return map_texts(docs, key, text, f"{key} {kind}, ids binary, decoded string", work)
 
 
-def digest_texts(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of ``encode_texts``, hashed where they arise."""
+def digest_texts(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "text",
+                 with_ids: bool = False) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of ``encode_texts``, hashed where they arise.
+
+    ``with_ids`` adds the ids themselves.
+    """
 
     def work(batch: pa.RecordBatch):
-        codec, counts, ids_sha, decoded_sha = bpe(vocab), [], [], []
+        codec, counts, ids_sha, decoded_sha, all_ids = bpe(vocab), [], [], [], []
         for t in batch.column(1).to_pylist():
             ids = codec.encode(t or "")
             counts.append(len(ids) // 4)
             ids_sha.append(hashlib.sha256(ids).hexdigest())
             decoded_sha.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+            if with_ids:
+                all_ids.append(ids)
         return (batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
-                pa.array(decoded_sha, pa.string()))
+                pa.array(decoded_sha, pa.string()),
+                *([pa.array(all_ids, pa.binary())] if with_ids else []))
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_texts(
-        docs, key, text,
-        f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", work)
+    schema = f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return map_texts(docs, key, text, schema + ", ids binary" * with_ids, work)
