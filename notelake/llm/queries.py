@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from notelake.llm import (
-    byte_bpe, decontaminate, near_dup, quality, token_counts, toxicity,
+    byte_bpe, chats, decontaminate, near_dup, quality, sharding, token_counts, toxicity,
 )
 
 QUERIES = {}
@@ -60,3 +60,53 @@ def op3_near_duplicates(spark, sf_dir):
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.find_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("""
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+rolled AS (
+  SELECT *, row_number() OVER w AS position, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+         md5(CAST(list({'t': turn, 'r': role, 'x': text}) OVER w AS VARCHAR)) AS prefix
+  FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+               ROWS UNBOUNDED PRECEDING)),
+whole AS (
+  SELECT prefix, min(conv_id) AS conv_id, count(*) AS copies FROM rolled
+  WHERE position = n_turns GROUP BY prefix),
+kept AS (
+  SELECT * FROM whole
+  WHERE prefix NOT IN (SELECT prefix FROM rolled WHERE position < n_turns))
+SELECT r.conv_id, r.position, CAST(r.n_turns AS BIGINT) AS n_turns, k.copies,
+       '<|' || coalesce(r.role, 'unknown') || '|>' || chr(10) || coalesce(r.text, '') || chr(10)
+       || '<|end|>' || chr(10) AS rendered
+FROM rolled r JOIN kept k ON r.conv_id IS NOT DISTINCT FROM k.conv_id""")
+def op2_chat_formatting(spark, sf_dir):
+    return chats.format_chats(table(spark, sf_dir, "conversations"))
+
+
+SHARDS = [f"shard-{i:02}" for i in range(48)]
+
+
+def plain_owners(names: list[str]) -> list[str]:
+    """The table by its definition, with whole orders of preference, for the SQL below."""
+    size = 4801
+    orders = [[(sharding.number_of(f"{n}:offset") + j * (sharding.number_of(f"{n}:step")
+                % (size - 1) + 1)) % size for j in range(size)] for n in names]
+    orders = [iter(order) for order in orders]
+    owner: dict[int, str] = {}
+    while len(owner) < size:
+        for name, order in zip(names, orders):
+            if (slot := next((s for s in order if s not in owner), None)) is not None:
+                owner[slot] = name
+    return [owner[slot] for slot in range(size)]
+
+
+@query(f"""
+WITH owners AS (SELECT unnest(range(4801)) AS slot,
+                       unnest([{','.join(str(int(n[-2:])) for n in plain_owners(SHARDS))}]) AS owner),
+placed AS (SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT)
+                          % 4801 AS slot FROM documents)
+SELECT doc_id, slot, 'shard-' || lpad(CAST(owner AS VARCHAR), 2, '0') AS shard
+FROM placed JOIN owners USING (slot)""")
+def op9_sharding(spark, sf_dir):
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
