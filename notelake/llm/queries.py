@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from notelake.llm import (
-    byte_bpe, chats, decontaminate, near_dup, quality, sharding, token_counts, toxicity,
+    byte_bpe, chats, decontaminate, katz, near_dup, quality, sharding, token_counts, toxicity,
 )
 
 QUERIES = {}
@@ -110,3 +110,8 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner AS VARCHAR), 2, '0') AS shard
 FROM placed JOIN owners USING (slot)""")
 def op9_sharding(spark, sf_dir):
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+@query()
+def op10_katz_scores(spark, sf_dir):
+    return katz.score(table(spark, sf_dir, "documents"))
