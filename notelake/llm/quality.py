@@ -22,6 +22,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
+from notelake.llm.components import stored
 from notelake.llm.texts import SPACES, Texts, Words, map_texts, pieces, window_hashes
 from notelake.session import fresh_path
 
@@ -33,6 +34,8 @@ IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(SYMBOLS)] = True
 
 CACHE = 300_000
+# So many bands are broadcast (some 50 bytes each).
+FEW_BANDS = 20_000
 # The smallest deviation that a band assumes, in units of its measure.
 FLOOR = {"chars_per_token": 0.03, "byte_share": 0.01, "entropy": 0.1}
 MEASURES = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -156,7 +159,9 @@ def with_octave(measured: DataFrame) -> DataFrame:
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add ``kept``. The limits are a few rows per language; Spark broadcasts them if small."""
+    """Add ``kept``. The limits, a few rows per language, are broadcast if they are few indeed."""
+    limits = stored(limits, "bands")
+    limits = F.broadcast(limits) if limits.count() <= FEW_BANDS else limits
     inside = (
         (F.col("chars_per_token") >= F.col("least_chars"))
         & (F.col("byte_share") <= F.col("most_bytes"))
