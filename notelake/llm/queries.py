@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from notelake.llm import (
-    byte_bpe, chats, decontaminate, katz, near_dup, quality, sharding, token_counts, toxicity,
+    byte_bpe, chats, decontaminate, html_text, katz, near_dup, quality, sharding, token_counts,
+    toxicity,
 )
 
 QUERIES = {}
@@ -115,3 +116,8 @@ def op9_sharding(spark, sf_dir):
 @query()
 def op10_katz_scores(spark, sf_dir):
     return katz.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_html_extraction(spark, sf_dir):
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
