@@ -36,8 +36,8 @@ K = 5
 HALF = 0.5
 START, END = 1, 2  # no hash of a word is as small, but by chance
 HEAVY = 1000
-FLUSH = 3_000_000  # tokens that a task gathers before it sends them on
-BUCKET = 5_000_000  # tokens per partition of the table, about
+FLUSH = 1_200_000  # tokens that a task gathers before it sends them on
+BUCKET = 2_500_000  # tokens per partition of the table, about
 
 
 class Tokens:
@@ -160,10 +160,11 @@ def planes(values: np.ndarray, width: int) -> bytes:
 
 
 def unplanes(data: bytes, width: int) -> np.ndarray:
+    """Of up to four bytes: 32-bit integers, which saves memory."""
     flat = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((flat.shape[1], 8), np.uint8)
+    out = np.zeros((flat.shape[1], 4 if width <= 4 else 8), np.uint8)
     out[:, :width] = flat.T
-    return out.reshape(-1).view("<u8").astype(np.int64)
+    return out.reshape(-1).view("<i4" if width <= 4 else "<i8")
 
 
 SENT = ("bucket int, w binary, h binary, docs binary, doc binary, times binary, "
@@ -238,26 +239,26 @@ FOUND = ("kind int, key bigint, content bigint, x double, y double, many bigint,
 
 def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     """All that one partition of the table knows; see FOUND."""
-    columns = {name: table.column(name).to_pylist() for name in table.column_names}
 
     def joined(name: str, width: int) -> list[np.ndarray]:
-        return [unplanes(x, width) for x in columns[name]]
+        return [unplanes(x.as_buffer(), width) for x in table.column(name)]
 
     w, h = np.concatenate(joined("w", 7)), np.concatenate(joined("h", 7))
     contents = joined("content", 8)
-    shift = np.cumsum([0, *map(len, contents)])
+    shift = np.cumsum([0, *map(len, contents)]).astype(np.int32)
     doc = np.concatenate([x + s for x, s in zip(joined("doc", 4), shift)])
     content = np.concatenate(contents)
     train = np.concatenate(joined("train", 4))
     times = np.concatenate(joined("times", 4))
-    entry = np.repeat(np.arange(len(w)), np.concatenate(joined("docs", 4)))
+    entry = np.repeat(np.arange(len(w), dtype=np.int32), np.concatenate(joined("docs", 4)))
     count = np.bincount(entry, times * train[doc], len(w)).astype(np.int64)
     # Entries of one bigram, then of one word.
     order = np.lexsort((h, w))
     new_w = np.append(True, np.diff(w[order]) != 0)
     new = new_w | np.append(True, np.diff(h[order]) != 0)
-    pair, word = np.empty(len(w), np.int64), np.empty(len(w), np.int64)
+    pair, word = np.empty(len(w), np.int32), np.empty(len(w), np.int32)
     pair[order], word[order] = np.cumsum(new) - 1, np.cumsum(new_w) - 1
+    del order, new, new_w
     c_pair = np.bincount(pair, count).astype(np.int64)
     c_word = np.bincount(word, count).astype(np.int64)[word]
     heavy = words.count_heavy(w)
@@ -281,13 +282,13 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     def whole(values: np.ndarray) -> np.ndarray:
         return np.rint(per_doc(values)).astype(np.int64)
 
-    parts = [[np.zeros(n, np.int64), contents, contents, per_doc(base), per_doc(own),
+    parts = [[np.zeros(n, np.int64), contents, np.zeros(n, np.int64), per_doc(base), per_doc(own),
               whole(c_word > 0), whole(w == END), *(whole(c == r) for r in range(1, K + 1))]]
     # Histories of the bigrams seen.
     some = first[c_pair > 0]
     histories, of = np.unique(h[some], return_inverse=True)
     m, cs = len(histories), c[some]
-    parts.append([np.ones(m, np.int64), histories, histories, np.bincount(of, p_word[some], m),
+    parts.append([np.ones(m, np.int64), histories, np.zeros(m, np.int64), np.bincount(of, p_word[some], m),
                   np.bincount(of, np.where(cs > K, cs - HALF, 0.0), m),
                   np.bincount(of, cs, m).astype(np.int64), np.zeros(m, np.int64),
                   *(np.bincount(of, cs == r, m).astype(np.int64) for r in range(1, K + 1))])
@@ -333,7 +334,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", of: int = 10
     weights = totals.select("key", F.log10(F.col("c") * alpha).alias("weight"))
     backed = found.where("kind = 2").groupBy("key", "content").agg(F.sum("many").alias("many")).join(
         weights, "key").groupBy("content").agg(F.sum(F.col("many") * F.col("weight")).alias("off"))
-    scores = found.where("kind = 0").groupBy("content").agg(
+    scores = found.where("kind = 0").groupBy(F.col("key").alias("content")).agg(
         F.sum("x").alias("x"), F.sum("y").alias("y"), F.sum("many").alias("known"),
         F.sum("ends").alias("ends"), *(F.sum(c).alias(c) for c in COUNTS))
     start = -float(np.log10(words.texts)) if words.texts else 0.0
