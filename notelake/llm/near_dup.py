@@ -8,11 +8,10 @@ smallest value thrown into its bin, so none stays empty, and all are filled afte
 throws as a few passes over the set.
 
 Classes that agree in a band meet in a bucket. First every class is checked against the smallest
-class of each of its buckets. That joins nearly all that belong together; only classes outside the
-largest component of a bucket are then checked against the members of other components, so a
-bucket of n near copies costs about n checks, not n * n, and still no pair of a bucket that could
-join two components goes unchecked. A pair at the threshold shares no band with probability
-(1 - 0.75**4)**32 = 5e-6.
+class of each of its buckets. That joins nearly all that belong together. Classes outside the largest
+component of a bucket are then checked, in tiles, against all members of their buckets: no pair that
+could join two components goes unchecked, and no table holds pairs other than links. A pair at the
+threshold shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 
 Edge cases: a null or empty text, or one without words, has an empty set, is linked with nothing and
 is its own component. With fewer than five words the whole sequence is the one shingle. Rows without
@@ -36,6 +35,9 @@ COORDINATES = ROWS * BANDS
 BIN_SHIFT = np.uint64(64 - COORDINATES.bit_length() + 1)
 PERCENT = 75
 
+# Shingles of the classes that one tile asks for (2.4 MB).
+TILE = 300_000
+
 # Bits of the filter that tells which sets are needed (4 MB, whatever the number of documents; more
 # documents make it let more sets through than needed, never fewer).
 FILTER_BITS = 25
@@ -194,34 +196,82 @@ def class_links(docs: DataFrame, classes: DataFrame, text: str) -> DataFrame:
     sets = stored(needed_sets(docs, keys, text), "sets")
     links = stored(linked(first, sets), "links")
     so_far = connected_components(links)
-    # Members of other components than the largest of their bucket.
-    placed = stored(
-        members.select("band", "key", "size").join(so_far, "key", "left").select(
-            "band", "key", "size", F.coalesce("component", "key").alias("component")),
-        "placed")
+    more = stored(remaining_links(members.join(so_far, "key", "left").select(
+        "band", "key", "size", "lead", F.coalesce("component", "key").alias("component")), sets),
+        "links")
+    return connected_components(links.unionByName(more))
+
+
+def remaining_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of one bucket that are still in different components.
+
+    Those outside the largest component of a bucket ask, in tiles of about ``TILE`` shingles (by
+    the smallest lead they have, so that members of one group share tiles); every member of their
+    buckets is sent once to each tile, not once to each that asks. Pairs are formed in the tiles
+    only, and of the links found one for each component is returned.
+    """
+    placed = stored(placed, "placed")
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = parts.groupBy("band").agg(
         F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    open_ = largest.where("parts > 1").select("band", F.col("top.component").alias("top"))
-    open_members = placed.join(open_, "band")
-    outside = open_members.where("component <> top")
-    other = open_members.select(
-        "band", F.col("key").alias("b"), F.col("size").alias("size_b"),
-        F.col("component").alias("component_b"), F.col("top").alias("top_b"))
-    # Of two members outside the largest component, the smaller one asks.
-    asked = (F.col("component_b") == F.col("top_b")) | (F.col("key") < F.col("b"))
-    second = (
-        outside.join(other, "band")
-        .where((F.col("component") != F.col("component_b")) & asked
-               & similar_sizes("size", "size_b"))
-        .select(F.col("key").alias("a"), "b").distinct()
+    open_ = placed.join(
+        largest.where("parts > 1").select("band", F.col("top.component").alias("top")), "band")
+    outside = stored(open_.where("component <> top"), "outside")
+    asking = outside.groupBy("key").agg(
+        F.first("size").alias("size"), F.first("component").alias("component"),
+        F.min("lead").alias("home"))
+    asking = in_parts(asking, ["home"], TILE, "part")
+    asking = stored(asking, "asking")
+    tile = ["home", "part"]
+    reached = (
+        outside.join(asking.select("key", *tile), "key").select("band", *tile).distinct()
+        .join(open_.select("band", "key", "size", "component"), "band")
+        .select(*tile, "key", "size", "component").distinct()
     )
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = stored(
-        second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = stored(linked(second, sets), "links")
-    return connected_components(links.unionByName(more))
+    reached = stored(in_parts(reached, tile, 4 * TILE, "split"), "reached")
+    splits = reached.select(*tile, "split").distinct()
+    keys = [*tile, "split"]
+    columns = [*keys, "key", "component", "set"]
+    left = asking.join(sets, "key").join(splits, tile).select(columns)
+    # Renamed, as both sides come from the same tables.
+    right = reached.join(sets, "key").select(columns).toDF(*columns)
+    left = left.toDF(*columns)
+    return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(
+        tile_links, "a binary, b binary").distinct()
+
+
+def in_parts(rows: DataFrame, group: list[str], limit: int, name: str) -> DataFrame:
+    """Number parts of each group, of about ``limit`` shingles, by the hash of the key."""
+    sums = rows.groupBy(*group).agg(
+        F.ceil(F.sum("size") / limit).cast("int").alias("_parts"))
+    return rows.join(sums, group).withColumn(
+        name, F.pmod(F.xxhash64("key"), F.col("_parts")).cast("int")).drop("_parts")
+
+
+def tile_links(asking: pa.Table, reached: pa.Table) -> pa.Table:
+    """Links between two small tables of (key, component, set), one per key and component."""
+    mine, theirs = (t.select(["key", "component", "set"]).combine_chunks() for t in (asking, reached))
+    keys, own = mine.column("key").to_pylist(), mine.column("component").to_pylist()
+    lists = [np.asarray(x.values) for x in mine.column("set")]
+    sizes = np.array([len(x) for x in lists])
+    values = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+    order = np.argsort(values)
+    values, owner = values[order], np.repeat(np.arange(len(lists)), sizes)[order]
+    found = {}
+    for name, component, hashes in zip(theirs.column("key").to_pylist(),
+                                       theirs.column("component").to_pylist(), theirs.column("set")):
+        hashes = np.asarray(hashes.values)
+        begin = np.searchsorted(values, hashes, "left")
+        times = np.searchsorted(values, hashes, "right") - begin
+        ends = np.cumsum(times)
+        hits = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + times, times)
+        common = np.bincount(owner[hits], minlength=len(lists))
+        union = sizes + len(hashes) - common
+        for i in np.flatnonzero(common * 100 >= union * PERCENT):
+            if own[i] != component:
+                found.setdefault((keys[i], component), name)
+    pairs = [(a, b) for (a, _), b in found.items()]
+    return pa.table([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
