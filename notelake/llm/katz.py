@@ -36,8 +36,8 @@ K = 5
 HALF = 0.5
 START, END = 1, 2  # no hash of a word is as small, but by chance
 HEAVY = 1000
-FLUSH = 1_200_000  # tokens that a task gathers before it sends them on
-BUCKET = 2_500_000  # tokens per partition of the table, about
+FLUSH = 1_000_000  # tokens that a task gathers before it sends them on
+BUCKET = 2_000_000  # tokens per partition of the table, about
 
 
 class Tokens:
@@ -303,7 +303,8 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
                   *(one + np.count_nonzero(c_pair == r) for r in range(1, K + 1))])
     names = [part.split()[0] for part in FOUND.split(", ")]
     arrays = [np.concatenate(x) for x in zip(*parts)]
-    return pa.table([pa.array(arrays[0], pa.int32()), *map(pa.array, arrays[1:])], names)
+    found = pa.table([pa.array(arrays[0], pa.int32()), *map(pa.array, arrays[1:])], names)
+    return pa.Table.from_batches(found.to_batches(max_chunksize=20_000))  # small messages
 
 
 def log_sum(factors: list[float]) -> Column:

@@ -16,7 +16,7 @@ IS_SPACE[list(SPACES)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
