@@ -7,8 +7,8 @@ from pyspark.sql import Column, functions as F
 from notelake.functions.text import strip_blanks
 
 # The link forms that are understood.
-FILE_LINK = r"^https?://github\.com/([^/]+)/([^/]+)/blob/([^/]+)/(.+)$"
-REPO_LINK = r"^https?://github\.com/([^/]+)/([^/]+?)(?:\.git)?/?$"
+FILE_LINK = r"(?d)^https?://github\.com/([^/]+)/([^/]+)/blob/([^/]+)/(.+)$"
+REPO_LINK = r"(?d)^https?://github\.com/([^/]+)/([^/]+?)(?:\.git)?/?$"
 HOST = "https://github.com"
 API_HOST = "https://api.github.com/repos"
 

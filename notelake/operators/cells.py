@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from notelake.functions.once import add_once
-from notelake.operators.ordering import with_cell_pos
+from notelake.operators.ordering import number_in_notebook
 
 # Only the members in use are materialised; cell outputs are skipped while parsing. Variants stand
 # for what may have several forms: a source is text or a list of texts.
 CELLS_MEMBER = "cells:array<struct<cell_type:string,id:string,source:variant>>"
-OTHER_MEMBERS = "metadata:variant,nbformat:variant,nbformat_minor:variant,orig_nbformat:variant"
+OTHER_MEMBERS = {
+    "metadata": "struct<kernelspec:variant,language_info:variant>", "nbformat": "variant",
+    "nbformat_minor": "variant", "orig_nbformat": "variant"}
 # Strict JSON, texts of any length.
 PARSING = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false",
            "maxStringLen": "2147483647"}
-CELLS_PER_PART = 1024
+# A variant holds at most 128 MiB, which a shorter document cannot reach. Sources of a longer one
+# are read as texts and as lists of texts, which hold what a value of a row can hold.
+VARIANT_SAFE = 1 << 24
 
 # Metadata of a rebuilt notebook.
 REBUILT_TAIL = (
@@ -25,42 +31,89 @@ SLIM_KERNEL = ("name", "display_name")
 SLIM_LANGUAGE = ("name", "version")
 
 
-def parse_notebooks(
-    nb: DataFrame, content: str = "content", members: str = CELLS_MEMBER
-) -> DataFrame:
-    """Add ``doc``: the wanted members of the notebook, or NULL where the text is no JSON object."""
-    text = F.col(content)
-    if dict(nb.dtypes)[content] == "binary":
-        text = F.try_validate_utf8(text.cast("string"))
-    # Spark would read past a byte order mark and over text behind the document.
-    ends = F.endswith(F.rtrim(text, F.lit(" \t\r\n")), F.lit("}"))
-    whole = ends & ~F.startswith(text, F.lit("\ufeff"))
-    document = F.from_json(F.when(whole, text), f"struct<{members},_malformed:string>", PARSING)
-    readable = F.col("_doc").isNotNull() & F.col("_doc._malformed").isNull()
-    parsed = nb.withColumn("_doc", document)
-    return add_once(parsed, "doc", F.when(readable, F.col("_doc"))).drop("_doc")
+def _wrapped(text: Column, members: str) -> Column:
+    """The text as the one element of a list: whatever stands behind it is an error or an element."""
+    return F.from_json(F.concat(F.lit('{"d":['), text, F.lit("]}")),
+                       f"struct<d:array<struct<{members}>>,_malformed:string>", PARSING)
+
+
+def _document(parsed: str) -> Column:
+    """The one object, NULL for anything else."""
+    whole = F.col(f"{parsed}._malformed").isNull() & (F.size(f"{parsed}.d") == 1)
+    return F.when(whole, F.element_at(f"{parsed}.d", 1))
 
 
 def _kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def _is_list(value: Column) -> Column:
-    return F.coalesce(_kind(value).startswith("ARRAY"), F.lit(False))
+def _number_text(value: Column) -> Column:
+    """A number as Python prints it: 5.0 stays 5.0, 1e20 is 1e+20."""
+    plain = F.try_variant_get(value, "$", "string")
+    exponent = F.regexp_replace(plain, r"(\.0)?E(-?)(\d+)$", "e$2$3")
+    signed = F.regexp_replace(F.regexp_replace(exponent, r"e(\d)", "e+$1"), r"e([+-])(\d)$", "e$10$2")
+    fraction = _kind(value).startswith("DECIMAL") & ~F.contains(plain, F.lit("."))
+    return F.when(fraction, F.concat(plain, F.lit(".0"))).otherwise(signed)
 
 
-def source_text(source: Column) -> Column:
-    """Text of a cell source: null is empty, a list is joined, any other value as text."""
-    joined = F.array_join(F.try_variant_get(source, "$", "array<string>"), "")
+def _from_variant(cell: Column) -> Column:
+    source, kind = cell["source"], _kind(cell["source"])
     plain = F.try_variant_get(source, "$", "string")
-    return F.coalesce(
-        F.when(_is_list(source), joined)
-        .when(_kind(source) == "BOOLEAN", F.initcap(plain))
-        .otherwise(plain),
-        F.lit(""),
+    return F.struct(
+        cell["cell_type"].alias("cell_type"), cell["id"].alias("id"),
+        F.when(kind.startswith("ARRAY"), "list").when(kind == "STRING", "text")
+        .when(source.isNull(), "none").otherwise("other").alias("form"),
+        F.when(kind == "BOOLEAN", F.initcap(plain))
+        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), _number_text(source))
+        .when(~kind.startswith("ARRAY"), plain).alias("text"),
+        F.when(kind.startswith("ARRAY"), F.try_variant_get(source, "$", "array<string>"))
+        .alias("lines"),
     )
 
 
+def _from_texts(cell: Column, listed: Column) -> Column:
+    lines, text = listed["source"], cell["source"]
+    return F.struct(
+        cell["cell_type"].alias("cell_type"), cell["id"].alias("id"),
+        F.when(lines.isNotNull(), "list").when(text.isNotNull(), "text").otherwise("none")
+        .alias("form"),
+        F.when(lines.isNull(), text).alias("text"), lines.alias("lines"))
+
+
+def parse_notebooks(
+    nb: DataFrame, content: str = "content", members: Mapping[str, str] = {}
+) -> DataFrame:
+    """Add ``doc``: the cells and the named members, or NULL where the text is no JSON object.
+
+    A cell has its cell_type, id, and source: ``form`` (list, text, none, other), ``text``, ``lines``.
+    """
+    text = F.col(content)
+    if dict(nb.dtypes)[content] == "binary":
+        text = F.try_validate_utf8(text.cast("string"))
+    rest = "".join(f",{name}:{kind}" for name, kind in members.items())
+    small = F.length(text) < VARIANT_SAFE
+    long = F.when(~small, text)
+    texts = "cells:array<struct<cell_type:string,id:string,source:string>>"
+    steps = nb.withColumns({
+        "_short": _wrapped(F.when(small, text), CELLS_MEMBER + rest),
+        "_long": _wrapped(long, texts + rest),
+        "_lists": F.from_json(long, "struct<cells:array<struct<source:array<string>>>>", PARSING),
+    }).withColumns({"_short": _document("_short"), "_long": _document("_long")})
+    others = [F.coalesce(F.col(f"_short.{n}"), F.col(f"_long.{n}")).alias(n) for n in members]
+    doc = F.when(F.col("_short").isNotNull() | F.col("_long").isNotNull(), F.struct(
+        F.coalesce(
+            F.transform("_short.cells", _from_variant),
+            F.zip_with("_long.cells", "_lists.cells", _from_texts)).alias("cells"), *others))
+    return add_once(steps, "doc", doc).drop("_short", "_long", "_lists")
+
+
+def source_text(cell: Column) -> Column:
+    """Text of a cell source: null is empty, a list is joined, any other value as text."""
+    return F.coalesce(
+        F.when(cell["form"] == "list", F.array_join(cell["lines"], "")).otherwise(cell["text"]),
+        F.lit(""))
+
+
 def explode_cells(nb: DataFrame, key: str = "notebook_hash", content: str = "content") -> DataFrame:
     """(notebook_hash, cell_id, cell_pos, cell_type, source): one row per cell of ``nb``."""
     return (
@@ -72,7 +125,7 @@ def explode_cells(nb: DataFrame, key: str = "notebook_hash", content: str = "con
             .alias("cell_id"),
             "cell_pos",
             F.col("c.cell_type").alias("cell_type"),
-            source_text(F.col("c.source")).alias("source"),
+            source_text(F.col("c")).alias("source"),
         )
     )
 
@@ -84,12 +137,8 @@ def split_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _code_cells(doc: str) -> Column:
-    readable = lambda c: _is_list(c["source"]) | c["source"].isNull() | (
-        _kind(c["source"]) == "STRING")
     return F.filter(
-        F.col(f"{doc}.cells"),
-        lambda c: (c["cell_type"] == "code") & F.coalesce(readable(c), F.lit(False)),
-    )
+        F.col(f"{doc}.cells"), lambda c: (c["cell_type"] == "code") & (c["form"] != "other"))
 
 
 def code_text(nb: DataFrame, content: str = "content") -> DataFrame:
@@ -97,31 +146,34 @@ def code_text(nb: DataFrame, content: str = "content") -> DataFrame:
     return (
         parse_notebooks(nb, content)
         .withColumn("code_text", F.array_join(
-            F.transform(_code_cells("doc"), lambda c: source_text(c["source"])), "\n"))
+            F.transform(_code_cells("doc"), source_text), "\n"))
         .withColumn("code_text", F.when(F.col("doc").isNotNull(),
                                         F.coalesce("code_text", F.lit(""))))
         .drop("doc")
     )
 
 
+def _json_text(text: Column) -> Column:
+    return F.regexp_replace(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", "$1")
+
+
 def _slim_cell(cell: Column) -> Column:
-    # Only list and text sources stay; a missing one is an empty list.
-    source = cell["source"]
-    kept = (
-        F.when(source.isNull(), F.parse_json(F.lit("[]")))
-        .when(_is_list(source) | (_kind(source) == "STRING"), source)
-        .otherwise(F.parse_json(F.lit('""')))
-    )
-    outputs = F.when(cell["cell_type"] == "code", F.array().cast("array<string>"))
-    return F.struct(
-        cell["cell_type"].alias("cell_type"), kept.alias("source"),
-        F.create_map().cast("map<string,string>").alias("metadata"), outputs.alias("outputs"),
+    """A cell as JSON; only list and text sources stay, a missing one is an empty list."""
+    source = (
+        F.when(cell["form"] == "list", F.to_json(cell["lines"]))
+        .when(cell["form"] == "text", _json_text(cell["text"]))
+        .when(cell["form"] == "none", "[]").otherwise('""')
     )
+    outputs = F.when(cell["cell_type"] == "code", ',"outputs":[]').otherwise("")
+    kind = F.coalesce(F.concat(F.lit('"cell_type":'), _json_text(cell["cell_type"]), F.lit(",")),
+                      F.lit(""))
+    return F.concat(F.lit("{"), kind, F.lit('"source":'), source, F.lit(',"metadata":{}'), outputs,
+                    F.lit("}"))
 
 
 def _allowed(group: str, names: tuple[str, ...]) -> Column:
     """The named entries of a metadata group; NULL when it has none or is no object."""
-    entries = F.try_variant_get("doc.metadata", f"$.{group}", "map<string,variant>")
+    entries = F.try_variant_get(f"doc.metadata.{group}", "$", "map<string,variant>")
     kept = F.map_filter(entries, lambda name, _: name.isin(*names))
     return F.when(F.size(kept) > 0, kept).alias(group)
 
@@ -133,18 +185,20 @@ def slim_notebooks(nb: DataFrame, content: str = "content") -> DataFrame:
     """
     number = lambda name, default: F.coalesce(
         F.col(f"doc.{name}"), F.parse_json(F.lit(default))).alias(name)
-    body = F.struct(
+    head = F.struct(
         number("nbformat", "4"),
         number("nbformat_minor", "2"),
         F.struct(
             _allowed("kernelspec", SLIM_KERNEL), _allowed("language_info", SLIM_LANGUAGE),
             F.col("doc.orig_nbformat").alias("orig_nbformat"),
         ).alias("metadata"),
-        F.coalesce(F.transform("doc.cells", _slim_cell), F.array()).alias("cells"),
     )
+    cells = F.array_join(F.coalesce(F.transform("doc.cells", _slim_cell), F.array()), ",")
+    opening = F.regexp_replace(F.to_json(head), r"\}$", "")
     return (
-        parse_notebooks(nb, content, f"{CELLS_MEMBER},{OTHER_MEMBERS}")
-        .withColumn("slim", F.when(F.col("doc").isNotNull(), F.to_json(body)))
+        parse_notebooks(nb, content, OTHER_MEMBERS)
+        .withColumn("slim", F.when(F.col("doc").isNotNull(), F.concat(
+            opening, F.lit(',"cells":['), cells, F.lit("]}"))))
         .drop("doc")
     )
 
@@ -178,40 +232,25 @@ def _rebuilt_cell() -> Column:
     ).otherwise(F.to_json(text, {"ignoreNullFields": "false"}))
 
 
-def rebuild_notebooks(
-    code: DataFrame, md: DataFrame, cells_per_part: int = CELLS_PER_PART
-) -> DataFrame:
-    """(notebook_hash, part, last, json): each notebook as JSON text in ordered parts.
+def rebuild_notebooks(code: DataFrame, md: DataFrame) -> DataFrame:
+    """(notebook_hash, line, json): each notebook as the lines of its JSON text.
 
-    A notebook of ordinary size is one row. A larger one continues in further parts whose texts
-    joined in order are the document, so no task ever gathers more than ``cells_per_part``
-    positions.
+    Line 0 opens the document, every cell is a line, the last line closes it; joined in order they
+    are the document. Nothing is gathered, whatever the size of a notebook.
     """
     tagged = [df.withColumn("cell_type", F.lit(kind)) for df, kind in ((code, "code"),
                                                                       (md, "markdown"))]
     names = ["notebook_hash", "cell_id", "cell_pos", "cell_type", "source"]
-    shared = [n for n in names if all(n in df.columns for df in tagged)]
-    cells = with_cell_pos(tagged[0].select(shared).unionByName(tagged[1].select(shared)))
-    part = F.expr(f"cast(cell_pos as bigint) div {cells_per_part}").alias("part")
-    keys = ["notebook_hash", "part"]
-    # Which parts open and close a document: found on the keys alone, then joined by part, so that
-    # the texts of a large notebook never meet in one task.
-    notebook = Window.partitionBy("notebook_hash")
-    ends = cells.select("notebook_hash", part).distinct().select(
-        *keys,
-        (F.col("part") == F.min("part").over(notebook)).alias("first"),
-        (F.col("part") == F.max("part").over(notebook)).alias("last"),
-    )
-    texts = F.transform(F.array_sort(F.collect_list("cell")), lambda c: c["json"])
-    parts = (
-        cells.select("notebook_hash", part, F.struct(
-            "cell_pos", "cell_type", _rebuilt_cell().alias("json")).alias("cell"))
-        .groupBy(*keys).agg(F.array_join(texts, ",").alias("json"))
-    )
-    return parts.join(ends, keys).select(
-        *keys, "last",
-        F.concat(
-            F.when(F.col("first"), '{"cells":[').otherwise(","), "json",
-            F.when(F.col("last"), REBUILT_TAIL).otherwise(""),
-        ).alias("json"),
-    )
+    shared = [n for n in names if any(n in df.columns for df in tagged)]
+    cells = tagged[0].unionByName(tagged[1], allowMissingColumns=True).select(shared)
+    numbered = number_in_notebook(cells, ["cell_type", "source"]).withColumn("json", F.concat(
+        _rebuilt_cell(), F.when(F.col("position") + 1 < F.col("n_cells"), ",").otherwise("")))
+    line = lambda number, text: F.struct(
+        number.cast("bigint").alias("line"), text.alias("json"))
+    lines = F.filter(F.array(
+        F.when(F.col("position") == 0, line(F.lit(0), F.lit('{"cells":['))),
+        line(F.col("position") + 1, F.col("json")),
+        F.when(F.col("position") + 1 == F.col("n_cells"),
+               line(F.col("n_cells") + 1, F.lit(REBUILT_TAIL))),
+    ), lambda x: x.isNotNull())
+    return numbered.select("notebook_hash", F.inline(lines))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from notelake.functions.links import (
     blob_url, contents_url, file_link_parts, link_key, repo_link_parts, repo_url,
 )
+from notelake.functions.text import BLANK
 from notelake.operators.cells import code_text
 from notelake.operators.ordering import global_index
 
@@ -20,8 +21,8 @@ QUERY_TEMPLATES = (
     '".%s(" "import pandas" ".read_" extension:ipynb',
 )
 # What a kept notebook has to contain.
-IMPORTS_PANDAS = r"(?mdU)^\s*(import\s+pandas\b|from\s+pandas\s+import\b)"
-CALLS_READER = r"(?U)\.read_[A-Za-z0-9_]*\s*\("
+IMPORTS_PANDAS = rf"(?mdU)^{BLANK}*(import{BLANK}+pandas\b|from{BLANK}+pandas{BLANK}+import\b)"
+CALLS_READER = rf"(?U)\.read_[A-Za-z0-9_]*{BLANK}*\("
 HIT_COLUMNS = ("repo_name", "repo_url", "file_url", "search_query", "keyword", "found_at")
 
 
@@ -134,7 +135,7 @@ def build_links(df: DataFrame) -> DataFrame:
 
 def _calls(text: Column, op: Column) -> Column:
     quoted = F.replace(op, F.lit(r"\E"), F.lit(r"\E\\E\Q"))
-    return F.regexp_like(text, F.concat(F.lit(r"(?U)\.\Q"), quoted, F.lit(r"\E\s*\(")))
+    return F.regexp_like(text, F.concat(F.lit(r"(?U)\.\Q"), quoted, F.lit(rf"\E{BLANK}*\(")))
 
 
 def qualify(nb: DataFrame, op: str = "keyword", content: str = "content") -> DataFrame:
@@ -179,17 +180,21 @@ def unique_repos(links: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def choose_tree(responses: DataFrame) -> DataFrame:
-    """(repo_name, ref, tree): the first answer per repository; NULLs where none answered."""
+    """(repo_name, ref, tree): the first answer per repository; NULLs where none answered.
+
+    Of a tree only the CSV files stay, so that whole trees are not shuffled.
+    """
     answer = F.struct("ref", "tree")
     return (
-        responses.groupBy("repo_name")
+        responses.withColumn("tree", F.when(F.col("tree").isNotNull(), csv_entries()))
+        .groupBy("repo_name")
         .agg(F.min_by(F.when(F.col("tree").isNotNull(), answer),
                       F.when(F.col("tree").isNotNull(), F.col("priority"))).alias("answer"))
         .select("repo_name", "answer.ref", "answer.tree")
     )
 
 
-def _csv_entries() -> Column:
+def csv_entries() -> Column:
     return F.filter(
         F.coalesce("tree", F.array()),
         lambda e: (e["type"] == "blob") & F.endswith(F.lower(e["path"]), F.lit(".csv")),
@@ -201,7 +206,7 @@ def csv_counts(trees: DataFrame, found_at: Column | None = None) -> DataFrame:
     return trees.select(
         "repo_name",
         F.concat_ws("/", F.lit("https://github.com"), "repo_name").alias("repo_url"),
-        F.size(_csv_entries()).cast("bigint").alias("csv_count"),
+        F.size(csv_entries()).cast("bigint").alias("csv_count"),
         (F.current_timestamp() if found_at is None else found_at).alias("found_at"),
     )
 
@@ -209,7 +214,7 @@ def csv_counts(trees: DataFrame, found_at: Column | None = None) -> DataFrame:
 def csv_files(trees: DataFrame) -> DataFrame:
     """(repo_name, file_url): one row per CSV file of the chosen trees."""
     return trees.select(
-        "repo_name", "ref", F.explode_outer(_csv_entries()).alias("entry")
+        "repo_name", "ref", F.explode_outer(csv_entries()).alias("entry")
     ).where("entry IS NOT NULL").select(
         "repo_name",
         blob_url(F.col("repo_name"), F.col("ref"), F.col("entry.path")).alias("file_url"),

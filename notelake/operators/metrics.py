@@ -14,13 +14,11 @@ from notelake.functions.text import (
     is_blank, is_magic, split_lines, unify_breaks, without_last_break,
 )
 from notelake.schemas import METRICS
+from notelake.sources.tables import load_vocab
 
 # Names that never count as identifiers, as the driver's interpreter knows them.
 RESERVED = sorted({*keyword.kwlist, *dir(builtins)})
 
-# A vocabulary is shipped to every task; a larger one is refused, not cut.
-MAX_VOCABULARY = 100_000
-
 
 def line_metrics(cells: DataFrame, source: str = "source") -> DataFrame:
     """Add LOC, BLC, MSC and ``code`` (the source without magic and shell lines)."""
@@ -41,16 +39,16 @@ def line_metrics(cells: DataFrame, source: str = "source") -> DataFrame:
 def _names(vocab: DataFrame | None) -> frozenset:
     if vocab is None:
         return frozenset()
-    rows = vocab.select("function").distinct().limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary may hold at most {MAX_VOCABULARY} functions")
-    return frozenset(row["function"] for row in rows)
+    return frozenset(row["function"] for row in load_vocab(vocab).collect())
 
 
 def vocabulary(
     pandas: DataFrame, mpl: DataFrame | None = None, seaborn: DataFrame | None = None
 ) -> Vocabulary:
-    """Load the vocabulary tables (column ``function``) once, on the driver."""
+    """Load the vocabulary tables (column ``function``) once, on the driver.
+
+    They list the functions of a library, are read whole and go to every task.
+    """
     return Vocabulary(_names(pandas), _names(mpl), _names(seaborn))
 
 

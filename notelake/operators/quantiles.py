@@ -7,19 +7,11 @@ column come back to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 from math import ceil, floor
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-# Distinct values of a column that one aggregation buffer may hold.
-FEW_VALUES = 100_000
-# Rows of one value range that one task may sort.
-FEW_ROWS = 1_000_000
-
-WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+from notelake.session import shared_dir
 
 
 def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -47,127 +39,53 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
 
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probabilities: Sequence[float],
-    stats: dict[str, dict] | None = None, few_values: int = FEW_VALUES, few_rows: int = FEW_ROWS,
+    stats: dict[str, dict] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation, per column in the order of ``probabilities``.
-
-    Counters, whole numbers of a limited span, use Spark's exact ``percentile``: its buffer holds
-    one entry per distinct value. For other columns the needed ranks are searched by value ranges.
-    """
+    """Quantiles with linear interpolation, per column in the order of ``probabilities``."""
     stats = column_stats(df, cols) if stats is None else stats
-    df = _numbers(df, cols)
-    found: dict[str, list] = {c: [None] * len(probabilities) for c in cols}
-    types = dict(df.dtypes)
-    filled = [c for c in cols if stats[c]["count"]]
-    counters = [c for c in filled if types[c] in WHOLE_NUMBERS
-                and stats[c]["max"] - stats[c]["min"] < few_values]
-    if counters:
-        row = df.agg(*[
-            F.percentile(F.col(c).cast("double"), list(probabilities)).alias(c) for c in counters
-        ]).first()
-        found.update({c: list(row[c]) for c in counters})
-    others = [c for c in filled if c not in counters]
-    if others:
-        places = {c: [p * (stats[c]["count"] - 1) for p in probabilities] for c in others}
-        ranks = {c: {end(at) for at in places[c] for end in (floor, ceil)} for c in others}
-        value = _values_at(df, {c: stats[c]["count"] for c in others}, ranks, few_rows)
-        for c in others:
-            found[c] = [
-                value[c, floor(at)] + (value[c, ceil(at)] - value[c, floor(at)]) * (at - floor(at))
-                for at in places[c]
-            ]
-    return found
-
-
-@dataclass
-class _Range:
-    """The ``size`` values of a column strictly between two bounds (None is open)."""
-
-    column: str
-    low: float | None
-    high: float | None
-    below: int  # values of the column under this range
-    size: int
-    ranks: set[int]
-
-    def value(self) -> Column:
-        """The value where it lies in the range, else NULL."""
-        value = F.col(self.column).cast("double")
-        inside = value.isNotNull()
-        if self.low is not None:
-            inside &= value > self.low
-        if self.high is not None:
-            inside &= value < self.high
-        return F.when(inside, value)
-
-
-def _values_at(df: DataFrame, counts: dict[str, int], ranks: dict[str, set[int]],
-               few_rows: int) -> dict:
+    places = {c: [p * (stats[c]["count"] - 1) for p in probabilities]
+              for c in cols if stats[c]["count"]}
+    ranks = {c: {end(at) for at in places[c] for end in (floor, ceil)} for c in places}
+    value = _values_at(_numbers(df, cols), ranks) if ranks else {}
+
+    def between(c: str, at: float) -> float:
+        low, high = value[c, floor(at)], value[c, ceil(at)]
+        return low if low == high else low + (high - low) * (at - floor(at))
+
+    return {c: [between(c, at) for at in places[c]] if c in places else [None] * len(probabilities)
+            for c in cols}
+
+
+def _values_at(df: DataFrame, ranks: dict[str, set[int]]) -> dict[tuple[str, int], float]:
     """The values at 0-based ranks: {(column, rank): value}.
 
-    A range with too many rows is cut at values of a sketch that lie close to its wanted ranks.
-    Counting the rows at and between the cuts shows exactly where each rank is: at a cut, which
-    is its value, or in a part without that cut, so every round makes progress. A round shrinks a
-    range about a thousandfold. Ranges that are small enough are sorted.
+    Equal values are counted first, combined in each task. The counts are sorted by ranges and
+    checkpointed; of each range one sum per column is fetched, which tells the ranges that hold
+    wanted ranks, and only those are summed up value by value.
     """
-    known: dict = {}
-    small, open_ranges = [], [_Range(c, None, None, 0, counts[c], ranks[c]) for c in counts]
-    while open_ranges:
-        small += [r for r in open_ranges if r.size <= few_rows]
-        open_ranges = [r for r in open_ranges if r.size > few_rows]
-        if open_ranges:
-            open_ranges = _cut(df, open_ranges, known)
-    known.update(_sorted_values(df, small))
-    return known
-
-
-def _cut(df: DataFrame, ranges: list[_Range], known: dict) -> list[_Range]:
-    """Parts of the ranges that still hold wanted ranks; ranks found at a cut go to ``known``."""
-    marks = [
-        sorted({min(max((k - r.below + 0.5) / r.size + d, 0.0), 1.0)
-                for k in r.ranks for d in (-0.0003, 0.0003)})
-        for r in ranges
-    ]
-    sketched = df.agg(*[
-        F.percentile_approx(r.value(), m, 10_000).alias(f"r{i}")
-        for i, (r, m) in enumerate(zip(ranges, marks))
-    ]).first()
-    cuts = [sorted(set(sketched[f"r{i}"])) for i in range(len(ranges))]
-    counted = df.agg(*[
-        F.struct(
-            F.array(*[F.count_if(r.value() < cut) for cut in at]).alias("under"),
-            F.array(*[F.count_if(r.value() == cut) for cut in at]).alias("equal"),
-        ).alias(f"r{i}")
-        for i, (r, at) in enumerate(zip(ranges, cuts))
-    ]).first()
-    parts = []
-    for i, (r, at) in enumerate(zip(ranges, cuts)):
-        under, equal = counted[f"r{i}"]["under"], counted[f"r{i}"]["equal"]
-        low, start = r.low, 0
-        for cut, first, times in [*zip(at, under, equal), (r.high, r.size, 0)]:
-            rank_of = lambda size, begin: {
-                k for k in r.ranks if begin <= k - r.below < begin + size}
-            between = rank_of(first - start, start)
-            if between:
-                parts.append(
-                    _Range(r.column, low, cut, r.below + start, first - start, between))
-            known.update({(r.column, k): cut for k in rank_of(times, first)})
-            low, start = cut, first + times
-    return parts
-
-
-def _sorted_values(df: DataFrame, ranges: list[_Range]) -> dict:
-    """Values at the wanted ranks of small ranges; one task sorts one range."""
-    if not ranges:
-        return {}
-    tagged = F.array(*[F.struct(F.lit(i).alias("range"), r.value().alias("value"))
-                       for i, r in enumerate(ranges)])
-    at = F.row_number().over(Window.partitionBy("range").orderBy("value")) - 1
-    wanted = [(F.col("range") == i) & F.col("at").isin([k - r.below for k in r.ranks])
-              for i, r in enumerate(ranges)]
+    shared_dir(df.sparkSession)
+    names = list(ranks)
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value"))
+                      for i, c in enumerate(names)])
+    counts = (
+        df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy("column", "value").withColumn("range", F.spark_partition_id()).checkpoint()
+    )
+    sums = counts.groupBy("column", "range").agg(F.sum("n").alias("n")).orderBy("column", "range")
+    wanted, before = [], {}
+    for row in sums.collect():
+        begin = before.get(row["column"], 0)
+        before[row["column"]] = begin + row["n"]
+        wanted += [(row["column"], row["range"], rank - begin, rank)
+                   for rank in ranks[names[row["column"]]] if begin <= rank < begin + row["n"]]
+    running = Window.partitionBy("column", "range").orderBy("value")
+    schema = "column int, range int, at long, rank long"
+    asked = F.broadcast(df.sparkSession.createDataFrame(wanted, schema))  # one row per rank
     rows = (
-        df.select(F.inline(tagged)).where(F.col("value").isNotNull())
-        .withColumn("at", at).where(reduce(or_, wanted)).collect()
+        counts.join(asked.select("column", "range").distinct(), ["column", "range"], "left_semi")
+        .withColumn("after", F.sum("n").over(running)).join(asked, ["column", "range"])
+        .where((F.col("at") < F.col("after")) & (F.col("at") >= F.col("after") - F.col("n")))
+        .select("column", "rank", "value").collect()
     )
-    return {(ranges[r["range"]].column, r["at"] + ranges[r["range"]].below): r["value"]
-            for r in rows}
+    return {(names[r["column"]], r["rank"]): r["value"] for r in rows}

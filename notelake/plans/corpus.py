@@ -14,7 +14,7 @@ from notelake.operators.metrics import cell_facts, metrics_of, vocabulary
 from notelake.operators.position import position_curves, type_ratio_curve
 from notelake.schemas import METRICS
 from notelake.sources.notebooks import scan_notebooks
-from notelake.sources.tables import write_csv
+from notelake.sources.tables import load_vocab, write_csv
 
 CURVES = ("I", "V", "TC")
 
@@ -40,7 +40,7 @@ def measure(spark: SparkSession, out: str, pandas: DataFrame, mpl: DataFrame, se
         metrics_table(spark, out).select(F.explode("ops").alias("op"))
         .groupBy(F.col("op.name").alias("function")).agg(F.sum("op.times").alias("count"))
     )
-    write_csv(op_summary(pandas, counts), f"{out}/pandas_ops_count.csv", mode)
+    write_csv(op_summary(load_vocab(pandas, with_category=True), counts), f"{out}/pandas_ops_count.csv", mode)
 
 
 def metrics_table(spark: SparkSession, out: str) -> DataFrame:

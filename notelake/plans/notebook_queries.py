@@ -8,7 +8,7 @@ from notelake.functions.links import link_key
 from notelake.operators import aggregates as agg, cells as cellops, curate, metrics
 from notelake.plans import fixtures as fx
 from notelake.plans.registry import query
-from notelake.schemas import METRICS, PEAK_METRICS
+from notelake.schemas import CELLS, METRICS, PEAK_METRICS
 from notelake.session import fresh_path
 from notelake.sources import tables
 from notelake.sources.notebooks import scan_notebooks
@@ -36,17 +36,25 @@ def notebook_cells(spark, sf_dir):
 
 
 def _notebook_files(spark, sf_dir):
-    """Write one file per document; Spark names the files, so ids come from the cells."""
+    """Write one folder and file per document; Spark names the files, the folder is the name."""
     path = fresh_path(spark, "notebooks")
-    fx.conversation_notebooks(spark, sf_dir).select("content").write.option(
-        "maxRecordsPerFile", 1).text(path)
+    fx.conversation_notebooks(spark, sf_dir).select(
+        "content", F.col("notebook_hash").alias("name")).write.partitionBy("name").text(path)
     return path
 
 
-@query(f"SELECT cell_id, cell_pos, cell_type, source FROM {_DOC_CELLS}")
+def _named(cells):
+    """Relative names name=<document>/part-..., as far as the query knows them."""
+    name = F.regexp_extract("notebook_hash", r"^name=([^/]+)/part-[^/]+$", 1)
+    return cells.withColumn("notebook_hash", name)
+
+
+@query(f"SELECT notebook_hash, cell_id, cell_pos, cell_type, source FROM {_DOC_CELLS}")
 def scanned_notebook_files(spark, sf_dir):
-    files = scan_notebooks(spark, _notebook_files(spark, sf_dir), pattern="*.txt")
-    return cellops.explode_cells(files).drop("notebook_hash")
+    # A root that has to be resolved first.
+    root = _notebook_files(spark, sf_dir)
+    odd = f"{root}/../{root.rsplit('/', 1)[1]}/./"
+    return _named(cellops.explode_cells(scan_notebooks(spark, odd, pattern="*.txt")))
 
 
 @query(f"""
@@ -83,36 +91,51 @@ def notebook_code_text(spark, sf_dir):
 _TAIL = cellops.REBUILT_TAIL
 
 
-@query(f"""
-SELECT notebook_hash, part, last,
-       CASE WHEN first THEN '{{"cells":[' ELSE ',' END || body ||
-       CASE WHEN last THEN '{_TAIL}' ELSE '' END AS json
-FROM (SELECT notebook_hash, part, body, part = max(part) OVER (PARTITION BY notebook_hash) AS last,
-             part = min(part) OVER (PARTITION BY notebook_hash) AS first
-      FROM (SELECT conv_id || '' AS notebook_hash, turn // 1024 AS part,
-                   string_agg(CASE role WHEN 'user'
-                     THEN '{{"cell_type":"code","execution_count":null,"metadata":{{}},'
-                          || '"outputs":[],"source":' || cast(to_json(text) AS VARCHAR) || '}}'
-                     ELSE '{{"cell_type":"markdown","metadata":{{}},"source":'
-                          || cast(to_json(text) AS VARCHAR) || '}}' END, ',' ORDER BY turn) AS body
-            FROM conversations WHERE role IN ('user', 'assistant')
-            GROUP BY conv_id, turn // 1024))""")
+_REBUILT = f"""
+(WITH cells AS (
+   SELECT conv_id || '' AS notebook_hash, turn,
+          row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS line,
+          count(*) OVER (PARTITION BY conv_id) AS n,
+          CASE role WHEN 'user'
+            THEN '{{"cell_type":"code","execution_count":null,"metadata":{{}},'
+                 || '"outputs":[],"source":' || cast(to_json(text) AS VARCHAR) || '}}'
+            ELSE '{{"cell_type":"markdown","metadata":{{}},"source":'
+                 || cast(to_json(text) AS VARCHAR) || '}}' END AS cell
+   FROM conversations WHERE role IN ('user', 'assistant'))
+ SELECT notebook_hash, line, cell || CASE WHEN line < n THEN ',' ELSE '' END AS json FROM cells
+ UNION ALL SELECT DISTINCT notebook_hash, 0, '{{"cells":[' FROM cells
+ UNION ALL SELECT DISTINCT notebook_hash, n + 1, '{_TAIL}' FROM cells)"""
+
+
+@query(f"SELECT * FROM {_REBUILT}")
 def rebuilt_notebooks(spark, sf_dir):
     code, md = cellops.split_cells(fx.conversation_cells(spark, sf_dir))
     return cellops.rebuild_notebooks(code, md)
 
 
-@query("""
-SELECT conv_id || '' AS notebook_hash, count(DISTINCT turn // 1024) AS parts,
-       count(*) FILTER (role = 'user') AS code_cells
-FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id""")
+@query(f"SELECT * FROM {_REBUILT}")
+def rebuilt_without_positions(spark, sf_dir):
+    """From a table without ``cell_pos``, read with the schema that has it."""
+    cells = fx.conversation_cells(spark, sf_dir)
+    paths = {}
+    for kind, side in zip(("code", "markdown"), cellops.split_cells(cells)):
+        paths[kind] = fresh_path(spark, kind) + ".csv"
+        tables.write_csv(side.drop("cell_pos"), paths[kind])
+    code, md = (tables.read_csv_table(
+        spark, path, CELLS, ["notebook_hash", "cell_id", "source"]) for path in paths.values())
+    return cellops.rebuild_notebooks(code, md)
+
+
+@query(f"""
+SELECT notebook_hash, string_agg(json, '' ORDER BY line) AS document
+FROM {_REBUILT} GROUP BY notebook_hash""")
 def written_notebooks(spark, sf_dir):
     code, md = cellops.split_cells(fx.conversation_cells(spark, sf_dir))
     path = fresh_path(spark, "rebuilt")
     tables.write_notebooks(cellops.rebuild_notebooks(code, md), path)
-    is_code = F.regexp_count("json", F.lit(r'\{"cell_type":"code","execution_count":null'))
-    return tables.read_table(spark, path).groupBy("notebook_hash").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum(is_code.cast("bigint")).alias("code_cells"))
+    lines = tables.read_table(spark, path).groupBy("notebook_hash").agg(
+        F.array_sort(F.collect_list(F.struct("line", "json"))).alias("lines"))
+    return lines.select("notebook_hash", F.array_join("lines.json", "").alias("document"))
 
 
 @query(f"""
@@ -204,14 +227,21 @@ def cell_metrics_of_orders(spark, sf_dir):
 SELECT * FROM (
   SELECT notebook_hash, kind, cast(sum(n) AS BIGINT) AS n FROM (
     SELECT notebook_hash, unnest(['stmt', 'import', 'def', 'operand', 'operator', 'op', 'chain',
-                                  'index', 'visual', 'train']) AS kind,
-           unnest([S, I, UDF, OPRND, OPRAT, PO, CO, CI, V, TC]) AS n FROM {_CASE_TABLE})
+                                  'index', 'visual', 'train', 'block', 'ident']) AS kind,
+           unnest([S, I, UDF, OPRND, OPRAT, PO, CO, CI, V, TC, NBD, ID]) AS n FROM {_CASE_TABLE})
   GROUP BY notebook_hash, kind) WHERE n > 0""")
 def facts_per_notebook(spark, sf_dir):
+    """How often per kind; of blocks the depth, of identifiers those of the cell's own."""
     facts = metrics.cell_facts(fx.part_cells(spark, sf_dir), case_vocabulary(spark))
-    return (
-        metrics.cell_fact_rows(facts).where(~F.col("kind").isin("block", "ident"))
-        .groupBy("notebook_hash", "kind").agg(F.sum("times").alias("n")))
+    rows = metrics.cell_fact_rows(facts, ("notebook_hash", "cell_id"))
+    counted = (
+        F.when(F.col("kind") == "block", F.col("value"))
+        .when(F.col("kind") == "ident", (~F.col("name").isin(metrics.RESERVED)).cast("int"))
+        .otherwise(F.col("times")))
+    per_cell = rows.groupBy("notebook_hash", "cell_id", "kind").agg(
+        F.sum(counted).alias("total"), F.max(counted).alias("top"))
+    n = F.when(F.col("kind") == "block", F.col("top")).otherwise(F.col("total"))
+    return per_cell.groupBy("notebook_hash", "kind").agg(F.sum(n).alias("n")).where("n > 0")
 
 
 @query(f"""
@@ -267,13 +297,14 @@ _HITS = """
 (SELECT event_id AS seq, event_id AS id, 'u' || user_id || '/r' AS repo_name,
         'https://github.com/u' || user_id || '/r' AS repo_url,
         'https://github.com/u' || user_id || '/r/blob/main/' || event_type || '.ipynb' AS file_url,
-        props AS search_query, event_type AS keyword, value FROM events)"""
+        props AS search_query, event_type AS keyword, ts AS found_at, value FROM events)"""
 
 
 @query(f"""
-SELECT seq, repo_name, repo_url, file_url, search_query, keyword FROM {_HITS} WHERE value >= 10""")
+SELECT seq, 'asc' AS sort_order, repo_name, repo_url, file_url, search_query, keyword, found_at
+FROM {_HITS} WHERE value >= 10""")
 def matching_hits(spark, sf_dir):
-    return curate.match_hits(fx.raw_hits(spark, sf_dir)).drop("sort_order", "found_at")
+    return curate.match_hits(fx.raw_hits(spark, sf_dir))
 
 
 @query(f"""
@@ -411,11 +442,12 @@ _CHOSEN = """
 
 @query(f"""
 SELECT repo_name, 'https://github.com/' || repo_name AS repo_url,
-       count(*) FILTER (is_csv AND ref IS NOT NULL) AS csv_count
+       count(*) FILTER (is_csv AND ref IS NOT NULL) AS csv_count,
+       TIMESTAMP '2024-05-06 07:08:09' AS found_at
 FROM {_CHOSEN} GROUP BY repo_name""")
 def csv_per_repository(spark, sf_dir):
     trees = curate.choose_tree(fx.part_trees(spark, sf_dir))
-    return curate.csv_counts(trees).drop("found_at")
+    return curate.csv_counts(trees, F.lit("2024-05-06 07:08:09").cast("timestamp"))
 
 
 @query(f"""
@@ -458,13 +490,15 @@ class _Streamed:
         return self._spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-@query(f"SELECT cell_id, cell_pos, cell_type, source FROM {_DOC_CELLS} WHERE cell_type <> 'raw'")
+@query(f"""
+SELECT notebook_hash, cell_id, cell_pos, cell_type, source FROM {_DOC_CELLS}
+WHERE cell_type <> 'raw'""")
 def streamed_notebook_files(spark, sf_dir):
     target = fresh_path(spark, "cells")
     streams.ingest_stream(
         spark, _notebook_files(spark, sf_dir), target, fresh_path(spark, "progress"),
         pattern="*.txt").awaitTermination()
-    return spark.read.parquet(target).drop("notebook_hash")
+    return _named(spark.read.parquet(target))
 
 
 @query(f"SELECT * FROM {_CASE_TABLE}")
@@ -492,7 +526,7 @@ def streamed_call_summary(spark, sf_dir):
     streams.op_count_stream(
         fx.part_cells(_Streamed(spark), sf_dir), case_vocabulary(spark), fx.pandas_vocab(spark),
         target, fresh_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(target)
+    return streams.latest_summary(spark, target)
 
 
 @query(f"SELECT file_url, min(seq) AS seq FROM {_HITS} GROUP BY file_url")

@@ -15,13 +15,13 @@ from notelake.sources import tables
 # ---- scans and sinks --------------------------------------------------------------------------
 
 
-@query("SELECT doc_id, text, lang, source FROM documents")
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_round_trip(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     path = fresh_path(spark, "documents") + ".csv"
     tables.write_csv(docs, path)
     return tables.read_csv_table(
-        spark, path, "doc_id long, text string, lang string, source string")
+        spark, path, "doc_id long, text string, lang string, source string, n_chars long")
 
 
 @query("SELECT o_orderkey, o_orderpriority FROM orders")
@@ -29,7 +29,8 @@ def csv_pruned_scan(spark, sf_dir):
     path = fresh_path(spark, "orders") + ".csv"
     orders = table(spark, sf_dir, "orders")
     tables.write_csv(orders, path)
-    return tables.read_csv_table(spark, path, orders.schema).select("o_orderkey", "o_orderpriority")
+    return tables.read_csv_table(spark, path, orders.schema, multiline=False).select(
+        "o_orderkey", "o_orderpriority")
 
 
 @query("""
@@ -132,12 +133,10 @@ def skipped_rows(spark, sf_dir):
 
 
 @query("""
-SELECT c_nationkey AS n_nationkey FROM customer EXCEPT
-SELECT s_nationkey FROM supplier""")
+SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders""")
 def missing_keys(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
-    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
-    return tables.missing_names(customers, suppliers, "n_nationkey")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return tables.missing_names(table(spark, sf_dir, "customer"), orders, "c_custkey")
 
 
 # ---- aggregates -------------------------------------------------------------------------------
@@ -192,22 +191,21 @@ _ROLLED = """(SELECT cast(l_orderkey AS VARCHAR) AS nb, count(*) AS n_cells,
 @query(f"""
 SELECT "statistic", max(CASE WHEN c = 'n_cells' THEN v END) AS n_cells,
        max(CASE WHEN c = 'quantity' THEN v END) AS quantity
-FROM (UNPIVOT (SELECT c, cast(n AS DOUBLE) AS "count", lo AS "min", q25, q50, q75, hi AS "max" FROM (
-  SELECT 'n_cells' AS c, count(*) AS n, cast(min(n_cells) AS DOUBLE) AS lo,
-         quantile_cont(cast(n_cells AS DOUBLE), 0.25) AS q25,
-         quantile_cont(cast(n_cells AS DOUBLE), 0.5) AS q50,
-         quantile_cont(cast(n_cells AS DOUBLE), 0.75) AS q75, cast(max(n_cells) AS DOUBLE) AS hi
-  FROM {_ROLLED}
-  UNION ALL SELECT 'quantity', count(*), cast(min(quantity) AS DOUBLE),
-         quantile_cont(cast(quantity AS DOUBLE), 0.25),
-         quantile_cont(cast(quantity AS DOUBLE), 0.5),
-         quantile_cont(cast(quantity AS DOUBLE), 0.75), cast(max(quantity) AS DOUBLE)
-  FROM {_ROLLED})) ON "count", "min", q25, q50, q75, "max" INTO NAME "statistic" VALUE v)
+FROM (UNPIVOT ({"UNION ALL ".join(f"""
+  SELECT '{c}' AS c, cast(count(*) AS DOUBLE) AS "count", round(avg({c}), 6) AS mean,
+         round(stddev_samp({c}), 4) AS std, cast(min({c}) AS DOUBLE) AS "min",
+         quantile_cont(cast({c} AS DOUBLE), 0.25) AS q25,
+         quantile_cont(cast({c} AS DOUBLE), 0.5) AS q50,
+         quantile_cont(cast({c} AS DOUBLE), 0.75) AS q75, cast(max({c}) AS DOUBLE) AS "max"
+  FROM {_ROLLED} """ for c in ("n_cells", "quantity"))})
+  ON "count", mean, std, "min", q25, q50, q75, "max" INTO NAME "statistic" VALUE v)
 GROUP BY "statistic" """)
 def describe_notebooks_wide(spark, sf_dir):
     rolled = agg.notebook_rollup(line_cells(spark, sf_dir), ["quantity"], peaks=[])
     wide = agg.describe_wide(rolled, ["n_cells", "quantity"])
-    return wide.where(~F.col("statistic").isin("mean", "std"))
+    rounded = {c: F.when(F.col("statistic") == "std", F.round(c, 4)).otherwise(F.round(c, 6))
+               for c in ("n_cells", "quantity")}
+    return wide.withColumns(rounded)
 
 
 @query(" UNION ALL ".join(f"""
@@ -330,10 +328,11 @@ def quantity_histogram(spark, sf_dir):
 SELECT '{c}' AS "column", '{t}' AS "type", count({c}) AS non_null, count(*) AS "rows" FROM orders"""
                           for c, t in (("o_orderkey", "bigint"), ("o_custkey", "bigint"),
                                        ("o_orderstatus", "string"), ("o_totalprice", "double"),
-                                       ("o_orderpriority", "string"))))
+                                       ("o_orderdate", "date"), ("o_orderpriority", "string"))))
 def orders_profile(spark, sf_dir):
-    profile = agg.table_profile(table(spark, sf_dir, "orders").drop("o_orderdate"))
-    return profile
+    orders = table(spark, sf_dir, "orders")
+    # Stored as a time without a zone, shown as the day it names.
+    return agg.table_profile(orders.withColumn("o_orderdate", F.to_date("o_orderdate")))
 
 
 # ---- position in the notebook -----------------------------------------------------------------
@@ -370,6 +369,14 @@ def type_ratio(spark, sf_dir):
     return position.type_ratio_curve(*conversation_sides(spark, sf_dir))
 
 
+@query(_CURVE)
+def type_ratio_without_positions(spark, sf_dir):
+    """Code cells have NULL positions, markdown cells no such column: the ids order them."""
+    code, md = conversation_sides(spark, sf_dir)
+    bare = lambda df: df.withColumn("cell_pos", F.lit(None).cast("int"))
+    return position.type_ratio_curve(bare(code), md.drop("cell_pos"))
+
+
 @query(f"SELECT median(text_pct) AS median FROM ({_CURVE})")
 def type_ratio_median(spark, sf_dir):
     return position.curve_median(position.type_ratio_curve(*conversation_sides(spark, sf_dir)))
@@ -392,7 +399,8 @@ def order_position_curve(spark, sf_dir):
 
 @query("""
 SELECT conv_id || '' AS notebook_hash, turn || '' AS cell_id,
-       row_number() OVER (ORDER BY conv_id || '', turn) - 1 AS cell_pos FROM conversations""")
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS cell_pos
+FROM conversations""")
 def cells_ordered_by_id(spark, sf_dir):
     ids = conversation_cells(spark, sf_dir).select("notebook_hash", "cell_id")
     return with_cell_pos(ids)

@@ -8,12 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 FILE_ROWS = "path string, modificationTime timestamp, length long, content binary"
 
 
+def resolved_root(spark: SparkSession, directory: str) -> str:
+    """The folder as the file system names it, without "." and ".."; of a pattern its fixed part."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = path.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    fixed = []
+    for part in full.split("/"):
+        if any(mark in part for mark in "*?[{"):
+            break
+        fixed.append(part)
+    return "/".join(fixed)
+
+
 def relative_name(path: Column, root: str) -> Column:
-    """Path below ``root``; the base name where the file lies elsewhere."""
-    folder = "/" + root.split(":", 1)[-1].strip("/") + "/"
-    below = F.substring(path, F.position(F.lit(folder), path) + len(folder), F.length(path))
-    return F.when(F.contains(path, F.lit(folder)), below).otherwise(
-        F.substring_index(path, "/", -1))
+    """Path below the resolved ``root``; the base name where the file lies elsewhere."""
+    folder = root.rstrip("/") + "/"
+    return F.when(F.startswith(path, F.lit(folder)), F.substr(path, F.lit(len(folder) + 1))
+                  ).otherwise(F.substring_index(path, "/", -1))
 
 
 def scan_notebooks(spark: SparkSession, directory: str, streaming: bool = False,
@@ -33,4 +45,6 @@ def scan_notebooks(spark: SparkSession, directory: str, streaming: bool = False,
         .option("recursiveFileLookup", "true")
         .load(directory)
     )
-    return files.select(relative_name(F.col("path"), directory).alias("notebook_hash"), "content")
+    return files.select(
+        relative_name(F.col("path"), resolved_root(spark, directory)).alias("notebook_hash"),
+        "content")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from notelake.operators.ordering import global_index
 
@@ -15,8 +15,8 @@ DIALECT = {
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
 READING = {**DIALECT, "emptyValue": "", "multiLine": True}
-# Up to here a sorted limit keeps only a small heap per task.
-SMALL_PAGE = 10_000
+# Texts that look like the mark of a missing value are written with one more backslash.
+MARKED = r"^\\+N\z"
 
 
 def _schema(schema: T.StructType | str) -> T.StructType:
@@ -30,11 +30,12 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 def read_csv_table(
     spark: SparkSession, path: str, schema: T.StructType | str,
-    required: Sequence[str] | None = None,
+    required: Sequence[str] | None = None, multiline: bool = True,
 ) -> DataFrame:
     """CSV with a header and quoted multi-line cells; missing required columns are an error.
 
     Columns are found by name. Those of the schema that the file lacks are NULL, unless required.
+    Without ``multiline`` no text may hold a line break, and a large file is read by many tasks.
     """
     wanted = _schema(schema)
     header = csv_header(spark, path)
@@ -45,11 +46,17 @@ def read_csv_table(
     as_stored = T.StructType([
         T.StructField(name, types.get(name, T.StringType())) for name in header
     ])
-    table = spark.read.schema(as_stored).options(**READING).csv(path)
-    return table.select(*[
-        F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in wanted.fields
-    ])
+    table = spark.read.schema(as_stored).options(**READING | {"multiLine": multiline}).csv(path)
+
+    def as_written(field: T.StructField) -> Column:
+        if field.name not in header:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        text = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, T.StringType):
+            return text
+        return F.when(text.rlike(MARKED), F.substr(text, F.lit(2))).otherwise(text).alias(field.name)
+
+    return table.select(*map(as_written, wanted.fields))
 
 
 def read_table(
@@ -68,7 +75,14 @@ def read_table(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**DIALECT).csv(path)
+    def marked(field: T.StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, T.StringType):
+            return text
+        return F.when(text.rlike(MARKED), F.concat(F.lit("\\"), text)).otherwise(text).alias(
+            field.name)
+
+    df.select(*map(marked, df.schema.fields)).write.mode(mode).options(**DIALECT).csv(path)
 
 
 def write_parquet_gzip(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -144,23 +158,19 @@ def export_tables(
 
 
 def page(hits: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` by id; no limit when it is missing or not positive.
+    """Rows ``offset`` to ``offset + limit`` by id, in order; no limit when it is missing or not
+    positive.
 
     Rows without a link are dropped after paging; other NULL texts become "".
     """
     texts = ["repo_name", "file_url", "keyword"]
-    hits = hits.select("id", *texts)
-    bounded = limit is not None and limit > 0
-    if bounded and limit + offset <= SMALL_PAGE:
-        rows = hits.orderBy("id").offset(offset).limit(limit)
-    elif not bounded and not offset:
-        rows = hits
-    else:
-        # A plain OFFSET or a large LIMIT would send all rows through one task.
-        at = F.col("_index")
-        inside = (at >= offset) & (at < offset + limit) if bounded else at >= offset
-        rows = global_index(hits, [F.col("id")], "_index").where(inside).drop("_index")
-    return rows.select(
+    # One plan for every page: a plain OFFSET or a large LIMIT would send all rows through one task.
+    at = F.col("_index")
+    inside = at >= offset
+    if limit is not None and limit > 0:
+        inside &= at < offset + limit
+    rows = global_index(hits.select("id", *texts), [F.col("id")], "_index").where(inside)
+    return rows.orderBy("_index").select(
         "id", *[F.coalesce(t, F.lit("")).alias(t) for t in texts]
     ).where("file_url != ''")
 
@@ -191,19 +201,16 @@ def missing_names(wanted: DataFrame, present: DataFrame, col: str) -> DataFrame:
     return wanted.select(col).subtract(present.select(col))
 
 
-def write_notebooks(df: DataFrame, directory: str, buckets: int | None = None) -> None:
-    """Rebuilt notebooks as Parquet rows, or as JSON text lines in ``buckets`` folders.
+def write_notebooks(df: DataFrame, directory: str, documents: bool = False) -> None:
+    """Rebuilt notebooks as Parquet rows, or with ``documents`` as one folder of text per notebook.
 
-    The text form writes one line per document part, folders by hash of the notebook; lines of
-    one notebook are neighbours, in order.
+    The lines of a folder, files in order of their names, are the document. A large notebook may
+    have several files, none of which is gathered from more than a range of lines.
     """
-    if buckets is None:
-        df.write.mode("errorifexists").parquet(directory)
+    ranged = df.repartitionByRange("notebook_hash", "line").sortWithinPartitions(
+        "notebook_hash", "line")
+    if not documents:
+        ranged.write.mode("errorifexists").parquet(directory)
         return
-    (
-        df.withColumn("bucket", F.pmod(F.xxhash64("notebook_hash"), F.lit(buckets)))
-        .repartitionByRange("bucket", "notebook_hash", "part")
-        .sortWithinPartitions("bucket", "notebook_hash", "part")
-        .select("bucket", F.col("json").alias("value"))
-        .write.mode("errorifexists").partitionBy("bucket").text(directory)
-    )
+    ranged.select("notebook_hash", F.col("json").alias("value")).write.mode(
+        "errorifexists").partitionBy("notebook_hash").text(directory)

@@ -6,14 +6,15 @@ the caller names, which has to be shared by all executors.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import sys
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from notelake.functions.cellsyntax import Vocabulary
@@ -23,6 +24,13 @@ from notelake.operators.cells import explode_cells
 from notelake.operators.curate import insert_or_ignore
 from notelake.operators.metrics import cell_facts, metrics_of
 from notelake.sources.notebooks import scan_notebooks
+from notelake.sources.tables import load_vocab
+
+# The setting of the state store and its form on disk.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Hexadecimal digits of a link's hash that name its folder in the hits table.
+PREFIX = 2
 
 # Functions that run on the executors travel by value, the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,6 +44,17 @@ def _write(df: DataFrame, target: str, checkpoint: str, *folders: str) -> Stream
     )
 
 
+@contextmanager
+def _on_disk(spark: SparkSession):
+    """A query that starts in here keeps its state in RocksDB."""
+    name, before = STATE_STORE, spark.conf.get(STATE_STORE, None)
+    spark.conf.set(name, ROCKS_DB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def ingest_stream(
     spark: SparkSession, directory: str, target: str, checkpoint: str,
     max_files: int | None = None, pattern: str = "*.ipynb",
@@ -65,8 +84,9 @@ def first_seen_stream(
 ) -> StreamingQuery:
     """Stream of ``file_url`` rows -> the first row of each link hash.
 
-    State keeps every hash. With ``delay`` hashes are forgotten once ``found_at`` is that far
-    behind.
+    State keeps every hash, on disk (RocksDB) rather than in memory. With ``delay`` hashes are
+    forgotten once ``found_at`` is that far behind; a link that comes back later is then a first
+    one again.
     """
     hashed = links.withColumn("hash", link_key(F.col("file_url")))
     # A link that fills much of the input is thinned out before it meets the one task that keeps
@@ -76,7 +96,8 @@ def first_seen_stream(
         first = keyed.dropDuplicates(["hash"])
     else:
         first = keyed.withWatermark("found_at", delay).dropDuplicatesWithinWatermark(["hash"])
-    return _write(first, target, checkpoint)
+    with _on_disk(links.sparkSession):
+        return _write(first, target, checkpoint)
 
 
 def op_count_stream(
@@ -85,32 +106,53 @@ def op_count_stream(
     """Stream of code cells -> the whole operation summary after each batch.
 
     Per-batch counts are added up by the streaming aggregation; its state is one row per function.
+    Every batch writes a folder of its own, so that a complete summary is there at any time; read
+    it with ``latest_summary``.
     """
     counts = op_counts(cell_facts(cells, vocab))
+    listed = load_vocab(vocab_table, with_category=True)
 
-    def replace_summary(batch: DataFrame, _: int) -> None:
-        op_summary(vocab_table, batch).write.mode("overwrite").parquet(target)
+    def write_summary(batch: DataFrame, number: int) -> None:
+        op_summary(listed, batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return (
         counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-        .foreachBatch(replace_summary).trigger(availableNow=True).start()
+        .foreachBatch(write_summary).trigger(availableNow=True).start()
     )
 
 
+def latest_summary(spark: SparkSession, target: str) -> DataFrame:
+    """The summary of the last batch that was written in full."""
+    batches = spark.read.parquet(target)
+    last = batches.agg(F.max("batch")).scalar()
+    return batches.where(F.col("batch") == last).drop("batch")
+
+
+def _folder() -> Column:
+    return F.left(link_key(F.col("file_url")), F.lit(PREFIX)).alias("prefix")
+
+
 def merge_batch(batch: DataFrame, target: str, label: str) -> None:
     """Add the unseen links of a batch to the hits table at ``target``.
 
     Every batch has a folder of its own, named by ``label``, which a repeated run overwrites;
-    links stored by other batches are left out. A replay therefore changes nothing.
+    links stored by other batches are left out. A replay therefore changes nothing. Below, rows lie
+    in folders by the first digits of the link's hash, and only those that the batch has links for
+    are read.
     """
-    stored = _stored_hits(batch, target).where(F.col("batch") != label)
+    touched = [row["prefix"] for row in batch.where("file_url is not null").select(
+        _folder()).distinct().collect()]  # at most 16 ** PREFIX
+    stored = _stored_hits(batch, target).where(
+        (F.col("batch") != label) & F.col("prefix").isin(touched))
     _, inserted = insert_or_ignore(stored, batch)
-    inserted.write.mode("overwrite").parquet(f"{target}/batch={label}")
+    inserted.withColumn("prefix", _folder()).write.mode("overwrite").partitionBy(
+        "prefix").parquet(f"{target}/batch={label}")
 
 
 def _stored_hits(batch: DataFrame, target: str) -> DataFrame:
     spark = batch.sparkSession
-    nothing = spark.createDataFrame([], batch.schema).withColumn("batch", F.lit(""))
+    nothing = spark.createDataFrame([], batch.schema).withColumns(
+        {"batch": F.lit(""), "prefix": F.lit("")})
     try:
         return spark.read.schema(nothing.schema).parquet(target)
     except AnalysisException as missing:
@@ -120,10 +162,16 @@ def _stored_hits(batch: DataFrame, target: str) -> DataFrame:
 
 
 def merge_stream(hits: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Stream of hits -> hits table without repeated links; safe to restart at any point."""
-    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    """Stream of hits -> hits table without repeated links; safe to restart at any point.
+
+    Folders are named by the id that the checkpoint stores: the same after a restart, another one
+    for a fresh checkpoint at an old path.
+    """
+    def merge(batch: DataFrame, number: int) -> None:
+        stored = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        merge_batch(batch, target, f"{json.loads(stored)['id']}-{number}")
+
     return (
-        hits.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, number: merge_batch(batch, target, f"{run}-{number}"))
+        hits.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
         .trigger(availableNow=True).start()
     )

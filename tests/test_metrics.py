@@ -254,7 +254,11 @@ def test_long_form_has_every_fact(spark):
         ("ident", "df", None, 1), ("ident", "head", None, 2)}
 
 
-def test_too_large_a_vocabulary_is_refused(spark):
-    names = spark.range(metrics.MAX_VOCABULARY + 1).selectExpr("cast(id as string) function")
-    with pytest.raises(ValueError):
-        metrics.vocabulary(names)
+def test_vocabularies_are_trimmed_and_read_whole(spark):
+    many = spark.range(150_000).selectExpr("concat(' f', id, ' ') as function")
+    found = metrics.vocabulary(many.unionByName(many))
+    assert found == metrics.vocabulary(many.selectExpr("trim(function) as function"))
+    padded = spark.createDataFrame([(" head ",), ("head",), ("",), (None,)], "function string")
+    cells = spark.createDataFrame([("n", "0", "df.head()")],
+                                  "notebook_hash string, cell_id string, source string")
+    assert metrics.cell_metrics(cells, metrics.vocabulary(padded)).first()["PO"] == 1

@@ -20,6 +20,9 @@ SOURCES = {
 TEXTS = {name: json.dumps(nb) for name, nb in SOURCES.items()} | {
     "broken": '{"cells": [{"cell_type": "code"}', "empty": "", "list": "[1,2]",
     "trailing": '{"cells": [{"cell_type": "code", "source": "a"}]} x',
+    "object behind": '{"cells": [{"cell_type": "code", "source": "a"}]} {}',
+    "brace behind": '{"cells": [{"cell_type": "code", "source": "a"}]} junk}',
+    "one more": '{"cells": [{"cell_type": "code", "source": "a"}]}, {}',
     "bom": '\ufeff{"cells": [{"cell_type": "code", "source": "a"}]}',
     "single": "{'cells': [{'cell_type': 'code', 'source': 'a'}]}",
 }
@@ -47,6 +50,52 @@ def test_long_sources_and_outputs_are_kept(spark):
     assert row.n == len(big)
 
 
+def test_numbers_print_as_in_python(spark):
+    values = [5, 5.0, 0.1, 1e20, -2.5e-7, True, None]
+    nb = {"cells": [{"cell_type": "code", "source": v} for v in values]}
+    cells = cellops.explode_cells(frame(spark, {"n": json.dumps(nb)})).orderBy("cell_pos")
+    assert [r.source for r in cells.collect()] == [
+        "" if v is None else str(v) for v in json.loads(json.dumps(values))]
+
+
+def test_members_beyond_the_size_of_a_variant(spark, tmp_path):
+    """Documents are built by Spark: a source, or metadata, of 135 MiB beside an ordinary cell."""
+    size = 135 << 20
+    big = F.repeat(F.lit("x"), F.lit(size))
+    start = '{"cells":[{"cell_type":"code","source":["a","b"]},{"cell_type":"code","source":"'
+    text = F.concat(F.lit(start), big, F.lit('"},{"cell_type":"markdown"}]}'))
+    nb = spark.range(1).select(F.lit("n").alias("notebook_hash"), text.alias("content"))
+    cells = cellops.explode_cells(nb).select("cell_pos", F.length("source").alias("n"))
+    assert [tuple(r) for r in cells.orderBy("cell_pos").collect()] == [(0, 2), (1, size), (2, 0)]
+    meta = F.concat(
+        F.lit('{"metadata":{"widgets":"'), big,
+        F.lit('","kernelspec":{"name":"p"}},"cells":[{"cell_type":"code","source":["a"]}]}'))
+    nb = spark.range(1).select(F.lit("n").alias("notebook_hash"), meta.alias("content"))
+    slim = json.loads(cellops.slim_notebooks(nb).select("slim").first()[0])
+    assert slim["metadata"] == {"kernelspec": {"name": "p"}}
+    assert slim["cells"] == [{"cell_type": "code", "source": ["a"], "metadata": {}, "outputs": []}]
+
+
+def test_long_documents_are_read_alike(spark, monkeypatch):
+    wanted = sorted(cellops.explode_cells(frame(spark, TEXTS)).where("notebook_hash <> 'odd'")
+                    .collect())
+    monkeypatch.setattr(cellops, "VARIANT_SAFE", 0)
+    found = cellops.explode_cells(frame(spark, TEXTS)).where("notebook_hash <> 'odd'")
+    assert sorted(found.collect()) == wanted
+
+
+def test_names_are_relative_to_the_resolved_root(spark, tmp_path):
+    for folder in ("nbs/a", "nbs/b", "nbs/nbs/a"):
+        os.makedirs(tmp_path / folder)
+        (tmp_path / folder / "same.ipynb").write_text(TEXTS["quoted"])
+    wanted = {"a/same.ipynb", "b/same.ipynb", "nbs/a/same.ipynb"}
+    root = str(tmp_path)
+    for start in (f"{root}/nbs", f"{root}/./nbs/", f"{root}/nbs/../nbs", f"{root}/nbs/*",
+                  f"file://{root}/nbs"):
+        found = scan_notebooks(spark, start)
+        assert {r.notebook_hash for r in found.collect()} == wanted, start
+
+
 def test_scan_finds_nested_files_and_drops_bad_bytes(spark, tmp_path):
     text = TEXTS["quoted"]
     names = ["a.ipynb", "d/e f/b+c%20.ipynb", "d/note.txt"]
@@ -96,6 +145,8 @@ def test_qualify(spark):
         (code_notebook("import pandasx", ".read_()"), "a", (False, True, False)),
         (code_notebook("x\r import pandas"), "a", (False, False, False)),
         (code_notebook("x", " import pandas as pd"), "a", (True, False, False)),
+        (code_notebook("\x1cimport\x1fpandas"), "a", (True, False, False)),
+        (code_notebook("x.a\x1d(1)"), "a", (False, False, True)),
         (code_notebook("\xa0from\u2003pandas\nimport x"), "a", (True, False, False)),
         (code_notebook("x.a+b(1)"), "a+b", (False, False, True)),
         (code_notebook("x.a\\Eb(1)"), "a\\Eb", (False, False, True)),
@@ -109,37 +160,40 @@ def test_qualify(spark):
         assert r.kept == all(wanted)
 
 
-def test_rebuild_in_one_or_many_parts(spark, tmp_path):
+def document(rows):
+    return json.loads("".join(r.json for r in sorted(rows, key=lambda r: r.line)))
+
+
+def test_rebuilt_lines_are_the_documents(spark, tmp_path):
     cells = spark.range(50).selectExpr(
         "if(id < 40, 'big', 'small') notebook_hash", "cast(id as string) cell_id",
         "cast(id as int) cell_pos", "if(id % 3 = 0, 'code', 'markdown') cell_type",
         "if(id = 4, null, concat('s\"', id, '\n')) source")
     code, md = cellops.split_cells(cells)
-    for size, parts in ((1024, {"big": 1, "small": 1}), (7, {"big": 6, "small": 3})):
-        rebuilt = cellops.rebuild_notebooks(code, md, cells_per_part=size)
-        target = str(tmp_path / f"text{size}")
-        write_notebooks(rebuilt, target, buckets=2)
-        rows = sorted(rebuilt.collect(), key=lambda r: r.part)
-        for name in ("big", "small"):
-            own = [r for r in rows if r.notebook_hash == name]
-            assert len(own) == parts[name]
-            assert [r.last for r in own] == [False] * (len(own) - 1) + [True]
-            nb = json.loads("".join(r.json for r in own))
-            ids = range(40) if name == "big" else range(40, 50)
-            assert [c["source"] for c in nb["cells"]] == [
-                "" if i == 4 else f's"{i}\n' for i in ids]
-            assert nb["cells"][0].keys() == (
-                {"cell_type", "execution_count", "metadata", "outputs", "source"}
-                if ids[0] % 3 == 0 else {"cell_type", "metadata", "source"})
-            assert (nb["nbformat"], nb["nbformat_minor"]) == (4, 5)
-        lines = spark.read.text(target).count()
-        assert lines == sum(parts.values())
+    rebuilt = cellops.rebuild_notebooks(code, md)
+    write_notebooks(rebuilt, str(tmp_path / "rows"))
+    write_notebooks(rebuilt, str(tmp_path / "text"), documents=True)
+    stored = spark.read.parquet(str(tmp_path / "rows")).collect()
+    for name, ids in (("big", range(40)), ("small", range(40, 50))):
+        own = [r for r in stored if r.notebook_hash == name]
+        assert sorted(r.line for r in own) == list(range(len(ids) + 2))
+        nb = document(own)
+        assert [c["source"] for c in nb["cells"]] == ["" if i == 4 else f's"{i}\n' for i in ids]
+        assert nb["cells"][0].keys() == (
+            {"cell_type", "execution_count", "metadata", "outputs", "source"}
+            if ids[0] % 3 == 0 else {"cell_type", "metadata", "source"})
+        assert (nb["nbformat"], nb["nbformat_minor"]) == (4, 5)
+        folder = tmp_path / "text" / f"notebook_hash={name}"
+        files = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+        assert json.loads("".join((folder / f).read_text() for f in files)) == nb
+    alone = cellops.rebuild_notebooks(*(d.where("notebook_hash = 'small'") for d in (code, md)))
+    assert sorted(alone.collect()) == sorted(r for r in stored if r.notebook_hash == "small")
 
 
 def test_rebuild_orders_by_number_without_positions(spark):
     cells = spark.createDataFrame(
         [("n", str(i), f"s{i}") for i in (10, 9, 2, 1)] + [("n", "zz", "last")],
         "notebook_hash string, cell_id string, source string")
-    row = cellops.rebuild_notebooks(cells, cells.limit(0)).first()
-    assert [c["source"] for c in json.loads(row.json)["cells"]] == [
+    rows = cellops.rebuild_notebooks(cells, cells.limit(0)).collect()
+    assert [c["source"] for c in document(rows)["cells"]] == [
         "s1", "s2", "s9", "s10", "last"]

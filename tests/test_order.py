@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notelake.operators import aggregates as agg, position, ranking
-from notelake.operators.ordering import global_index, number_in_group
+from notelake.operators.ordering import global_index, number_in_notebook
 from notelake.operators.quantiles import exact_quantiles
 
 
@@ -23,7 +23,7 @@ def skewed_cells(spark):
 @pytest.mark.parametrize("block", [1, 7, 100, 4096])
 def test_numbers_in_group(spark, block):
     rows, df = skewed_cells(spark)
-    found = number_in_group(df, "notebook_hash", "cell_pos", block=block).collect()
+    found = number_in_notebook(df, block=block).collect()
     wanted = {}
     for name in {r[0] for r in rows}:
         own = sorted(p for n, p, _ in rows if n == name)
@@ -91,8 +91,7 @@ def test_ranks(spark):
 P = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
 
 
-@pytest.mark.parametrize("few_values,few_rows", [(100_000, 10**6), (0, 10**6), (0, 20), (0, 1)])
-def test_quantiles(spark, few_values, few_rows):
+def test_quantiles(spark):
     rng = random.Random(2)
     columns = {
         "spread": [rng.gauss(0, 1e6) for _ in range(5000)],
@@ -104,7 +103,7 @@ def test_quantiles(spark, few_values, few_rows):
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).withColumn(
         "counter", F.col("tied").cast("int"))
     cols = [*columns, "counter"]
-    found = exact_quantiles(df, cols, P, few_values=few_values, few_rows=few_rows)
+    found = exact_quantiles(df, cols, P)
     for c in cols:
         data = columns.get(c, columns["tied"])
         assert found[c] == pytest.approx(list(np.quantile(data, P)), rel=1e-12), c
@@ -126,6 +125,34 @@ def test_nan_is_missing(spark):
     assert agg.describe(infinite, ["x"], 2).first()["max"] == float("inf")
 
 
+def test_infinite_quantiles_are_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, inf, inf, inf)], "x double")
+    assert exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.75, 1.0))["x"] == [1.0, 2.0, inf, inf, inf]
+
+
+def test_quantiles_gather_no_buffers(spark):
+    import inspect
+
+    from notelake.operators import quantiles
+
+    assert "percentile" not in inspect.getsource(quantiles)
+
+
+def test_missing_positions_lose_no_cell(spark):
+    """Given positions first, then ids that are numbers, then other ids, in every notebook."""
+    rows = [("a", 5, "x"), ("a", 2, "y"), ("a", None, "10"), ("a", None, "9"), ("a", None, "zz"),
+            ("a", None, "b"), ("a", None, None), (None, None, "1"), (None, 0, "2")]
+    df = spark.createDataFrame(rows, "notebook_hash string, cell_pos int, cell_id string")
+    for block in (1, 4096):
+        found = {(r.notebook_hash, r.cell_pos, r.cell_id): (r.position, r.n_cells)
+                 for r in number_in_notebook(df, block=block).collect()}
+        wanted = [("a", 2, "y"), ("a", 5, "x"), ("a", None, "9"), ("a", None, "10"),
+                  ("a", None, None), ("a", None, "b"), ("a", None, "zz")]
+        assert found == {k: (i, 7) for i, k in enumerate(wanted)} | {
+            (None, 0, "2"): (0, 2), (None, None, "1"): (1, 2)}
+
+
 def test_describe_matches_pandas(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([(rng.randrange(40), rng.random()) for _ in range(501)],
