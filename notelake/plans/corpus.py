@@ -12,9 +12,10 @@ from notelake.operators.aggregates import describe, notebook_rollup, op_summary
 from notelake.operators.cells import explode_cells
 from notelake.operators.metrics import cell_facts, metrics_of, vocabulary
 from notelake.operators.position import position_curves, type_ratio_curve
-from notelake.schemas import METRICS
+from notelake.plans import jobs
+from notelake.schemas import METRICS, OP_COUNTS
 from notelake.sources.notebooks import scan_notebooks
-from notelake.sources.tables import load_vocab, write_csv
+from notelake.sources.tables import load_vocab, read_csv_table, write_csv
 
 CURVES = ("I", "V", "TC")
 
@@ -48,7 +49,7 @@ def metrics_table(spark: SparkSession, out: str) -> DataFrame:
 
 
 def summarise(spark: SparkSession, out: str, mode: str = "errorifexists") -> None:
-    """Roll-up per notebook, distributions per cell and notebook, and position curves."""
+    """Roll-up per notebook, distributions, chain lengths, call ranks, the peak notebook, curves."""
     measured = metrics_table(spark, out)
     notebook_rollup(measured).write.mode(mode).parquet(f"{out}/notebook_metrics")
     notebooks = spark.read.parquet(f"{out}/notebook_metrics")
@@ -58,6 +59,13 @@ def summarise(spark: SparkSession, out: str, mode: str = "errorifexists") -> Non
     md = cells_of(spark, out, "markdown")
     curves = position_curves(measured, md, CURVES)
     write_csv(curves.orderBy("metric", "bin"), f"{out}/position_curves.csv", mode)
+    write_csv(jobs.chain_numbers(measured), f"{out}/chain_lengths.csv", mode)
+    calls = read_csv_table(spark, f"{out}/pandas_ops_count.csv", OP_COUNTS, multiline=False)
+    write_csv(jobs.call_ranking(calls), f"{out}/call_ranking.csv", mode)
+    for name, table in zip(("fences", "histogram"), jobs.size_distribution(notebooks)):
+        write_csv(table, f"{out}/cells_per_notebook_{name}.csv", mode)
+    peak = jobs.peak_notebook(notebooks, measured, "PO")
+    peak.drop("ops").write.mode(mode).parquet(f"{out}/peak_notebook")
     ratio = type_ratio_curve(cells_of(spark, out, "code"), md)
     write_csv(ratio.orderBy("bin"), f"{out}/type_ratio.csv", mode)
 

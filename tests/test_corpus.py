@@ -45,3 +45,11 @@ def test_corpus(spark, tmp_path):
     assert len(ratio) == 100 and all(
         int(r.text_count) + int(r.code_count) == len(chosen) for r in ratio)
     assert spark.read.option("header", True).csv(f"{out}/position_curves.csv").count() == 300
+    ranked = {r.function: r for r in spark.read.option("header", True).csv(
+        f"{out}/call_ranking.csv").collect()}
+    assert {f: int(r["count"]) for f, r in ranked.items()} == counts
+    peak = max(sorted(rolled.values(), key=lambda r: r.notebook_hash), key=lambda r: r.PO)
+    cells = spark.read.parquet(f"{out}/peak_notebook").collect()
+    assert {c.notebook_hash for c in cells} == {peak.notebook_hash} and len(cells) == peak.n_cells
+    assert spark.read.option("header", True).csv(f"{out}/chain_lengths.csv").count() == 2
+    assert spark.read.option("header", True).csv(f"{out}/cells_per_notebook_fences.csv").count() == 1
