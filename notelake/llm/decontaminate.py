@@ -4,7 +4,7 @@ An item is found in a document if all of it aligns with a passage at an edit dis
 ``RATE`` of its length. If it does, at least m - q + 1 - q * e of its q-grams (length m, e edits)
 recur there on diagonals that lie at most e apart. So shared q-grams are counted in bands of
 diagonals that overlap by e; bands that reach the bound are aligned, within the band, by dynamic
-programming. Nothing that the bound allows is left out. q is 12, or less where 12 would leave a
+programming. Nothing that the bound allows is left out. q is 8, or less where 8 would leave a
 short item no q-gram to share.
 
 Texts are compared in lower case (per character) with runs of white space as one blank and none at
@@ -27,8 +27,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from notelake.llm.texts import map_texts, mix, slices
 
-RATE = 0.05
-Q = 12
+RATE = 0.08
+Q = 8
 BLOCK = 1 << 20
 FILTER_BITS = 22
 NO_CHAR = 0x110000  # outside a text; equals no character of an item
