@@ -10,8 +10,7 @@ short item no q-gram to share.
 Texts are compared in lower case (per character) with runs of white space as one blank and none at
 the ends. Items come in blocks of about ``BLOCK`` characters by hash, each broadcast in turn against
 all documents. Edge cases: null or empty documents and items match nothing; repeated rows of either
-table are each compared, and the pair with the smallest distance is returned once per (document row,
-item id).
+table are each compared, and for each pair of rows the passage of the smallest distance is returned.
 """
 
 from __future__ import annotations
