@@ -167,7 +167,8 @@ def unplanes(data: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<i4" if width <= 4 else "<i8")
 
 
-SENT = ("bucket int, w binary, h binary, docs binary, doc binary, times binary, "
+# Words as the gaps between sorted ones, each with its number of histories.
+SENT = ("bucket int, gaps binary, runs binary, h binary, docs binary, doc binary, times binary, "
         "content binary, train binary")
 
 
@@ -198,7 +199,9 @@ def send(tokens: list, words: Words1, buckets: int):
     for a, b in zip(cut, [*cut[1:], len(bucket)]):
         c, d = doc_at[a], doc_at[b]
         used, local = np.unique(doc[c:d], return_inverse=True)
-        yield (int(bucket[a]), planes(w[a:b], 7), planes(h[a:b], 7), planes(docs[a:b], 4),
+        own = np.flatnonzero(np.diff(w[a:b], prepend=-1))
+        yield (int(bucket[a]), planes(np.diff(w[a:b][own], prepend=0), 7),
+               planes(np.diff(own, append=b - a), 4), planes(h[a:b], 7), planes(docs[a:b], 4),
                planes(local, 4), planes(times[c:d], 4), planes(contents[used], 8),
                planes(in_training[used], 4))
 
@@ -210,7 +213,7 @@ def bigrams(docs: DataFrame, words: Words1, buckets: int, key: str, text: str, o
 
     def rows(held):
         columns = zip(*send(held, sent.value, buckets))
-        kinds = [pa.int32()] + [pa.binary()] * 7
+        kinds = [pa.int32()] + [pa.binary()] * 8
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     def run(batches):
@@ -243,7 +246,9 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     def joined(name: str, width: int) -> list[np.ndarray]:
         return [unplanes(x.as_buffer(), width) for x in table.column(name)]
 
-    w, h = np.concatenate(joined("w", 7)), np.concatenate(joined("h", 7))
+    w = np.concatenate([np.repeat(np.cumsum(gaps), runs)
+                        for gaps, runs in zip(joined("gaps", 7), joined("runs", 4))])
+    h = np.concatenate(joined("h", 7))
     contents = joined("content", 8)
     shift = np.cumsum([0, *map(len, contents)]).astype(np.int32)
     doc = np.concatenate([x + s for x, s in zip(joined("doc", 4), shift)])
@@ -322,7 +327,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", of: int = 10
     buckets = max(1, -(-words.total // BUCKET))
     sent = spark.sparkContext.broadcast(words)
     found = stored(
-        bigrams(docs, words, buckets, key, text, of).repartition(buckets, "bucket")
+        bigrams(docs, words, buckets, key, text, of).repartitionById(buckets, F.col("bucket"))
         .groupBy("bucket").applyInArrow(lambda t: evaluate(t, sent.value), FOUND), "bigrams")
     sums = found.where("kind = 3").agg(*(F.sum(c) for c in [*COUNTS, "many"])).first()
     factors = discounts({r + 1: n or 0 for r, n in enumerate(sums)})
