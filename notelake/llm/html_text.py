@@ -32,7 +32,7 @@ INLINE = frozenset(
 HIDDEN = frozenset(
     "head title script style noscript template svg math iframe object audio video canvas".split())
 ASIDE = frozenset(
-    "nav footer aside form dialog menu button select textarea fieldset figcaption".split())
+    "nav footer aside form dialog menu button select textarea fieldset".split())
 MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE_ROLES = frozenset(
@@ -47,20 +47,26 @@ ASIDE_WORDS = frozenset(
     "share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription "
     "tags teaser toc toolbar topbar widget widgets".split())
 WORDS = re.compile(r"[a-z]+")
+# Words that say a page has or lacks such a part, as in "has-sidebar"; and parts an article has too.
+SAYS = frozenset("has with without no".split())
+IN_ARTICLE = frozenset("header tags".split())
 
 SIGMA, LAMBDA = 1.5, 0.5
 RADIUS = 5
 KERNEL = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
 
 
-def named_aside(attrs: list[tuple[str, str | None]]) -> bool:
+def named_aside(attrs: list[tuple[str, str | None]], inside: bool = False) -> bool:
+    """``inside``: within an article, whose own header is part of it."""
     for name, value in attrs:
         if name == "hidden":
             return True
         if not value:
             continue
         if name in ("class", "id"):
-            if not ASIDE_WORDS.isdisjoint(WORDS.findall(value.lower())):
+            words = WORDS.findall(value.lower())
+            found = ASIDE_WORDS.intersection(words)
+            if found and SAYS.isdisjoint(words) and not (inside and found <= IN_ARTICLE):
                 return True
         elif name == "role":
             if value.lower() in ASIDE_ROLES:
@@ -120,7 +126,7 @@ class Lines(HTMLParser):
                 region = self.regions
         elif not beside:
             beside = tag in ASIDE or (tag == "header" and not region) or (
-                bool(attrs) and tag not in ("body", "html") and named_aside(attrs))
+                bool(attrs) and tag not in ("body", "html") and named_aside(attrs, region > 0))
         if tag in HIDDEN:
             self.hidden += 1
         if tag == "a":

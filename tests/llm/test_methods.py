@@ -296,3 +296,17 @@ def test_page_without_an_article():
     assert html_text.extract(page).split("\n\n") == [
         "Title", "Long paragraph of real text with many words in it.", "Short.",
         "Another long one, with a link & more text than links in it."]
+
+
+def test_named_parts_of_a_page():
+    page = """<body class="home"><div class="wrap has-sidebar"><nav><a href=x>Menu</a></nav>
+      <div class="cookie-notice">We use cookies on this page, all of them.</div>
+      <main><article><header class="entry-header"><h1>Title</h1></header>
+      <p>First paragraph of the article, long enough to count.</p>
+      <figure><img src=i><figcaption>A caption</figcaption></figure>
+      <form><label>Your mail</label><input></form><div class="ad-box">Buy now, buy more</div>
+      <p>Last one.</p></article></main>
+      <section id="comments"><article class="comment"><p>A comment that is quite long and angry.
+      </p></article></section></div><aside><p>Something else to read</p></aside></body>"""
+    assert html_text.extract(page).split("\n\n") == [
+        "Title", "First paragraph of the article, long enough to count.", "A caption", "Last one."]
