@@ -21,7 +21,7 @@ from notelake.llm.texts import map_texts
 # Fixed value: the pattern that cuts a text into pieces which no merge crosses.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CACHE = 300_000
+CACHE = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -125,7 +125,8 @@ def encode_texts(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "
         return batch.column(0), pa.array(ids, pa.binary()), [codec.decode(i) for i in ids]
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_texts(docs, key, text, f"{key} {kind}, ids binary, decoded string", work)
+    return map_texts(docs, key, text, f"{key} {kind}, ids binary, decoded string", work,
+                     done=lambda: bpe(vocab).known.clear())
 
 
 def digest_texts(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "text",
@@ -150,4 +151,5 @@ def digest_texts(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_texts(docs, key, text, schema + ", ids binary" * with_ids, work)
+    return map_texts(docs, key, text, schema + ", ids binary" * with_ids, work,
+                     done=lambda: bpe(vocab).known.clear())

@@ -19,12 +19,11 @@ from dataclasses import dataclass
 from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from notelake.llm.texts import map_texts, mix, slices
+from notelake.llm.texts import filter_texts, map_texts, mix
 
 RATE = 0.08
 Q = 8
@@ -262,16 +261,13 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     def clean(items: Items):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
-        @F.pandas_udf("boolean")
-        def test(texts: pd.Series) -> pd.Series:
-            texts = [t or "" for t in texts.tolist()]
+        def test(texts: list[str]) -> np.ndarray:
             out = np.ones(len(texts), bool)
-            for a, b in slices(texts):
-                out[[a + row[0] for row in sent.value.find(texts[a:b])]] = False
-            return pd.Series(out)
+            out[[row[0] for row in sent.value.find(texts)]] = False
+            return out
 
-        return test(F.col(text).cast("string"))
+        return test
 
     for items in blocks(benchmark, item, item_text):
-        docs = docs.where(clean(items))
+        docs = filter_texts(docs, text, clean(items))
     return docs

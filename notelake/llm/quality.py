@@ -33,7 +33,7 @@ LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(SYMBOLS)] = True
 
-CACHE = 300_000
+CACHE = 150_000
 # So many bands are broadcast (some 50 bytes each).
 FEW_BANDS = 20_000
 # The smallest deviation that a band assumes, in units of its measure.
@@ -150,7 +150,8 @@ def measure(docs: DataFrame, vocab: str, key: str = "doc_id", text: str = "text"
         return [batch.column(0), *measure_texts(batch, vocab), batch.column(2)]
 
     kind = docs.schema[key].dataType.simpleString()
-    measured = map_texts(docs, key, text, f"{key} {kind}, {MEASURES}, group string", work, [lang])
+    measured = map_texts(docs, key, text, f"{key} {kind}, {MEASURES}, group string", work, [lang],
+                         done=lambda: fertility(vocab).known.clear())
     return with_octave(measured.withColumn("group", F.coalesce("group", F.lit(""))))
 
 
@@ -208,6 +209,7 @@ def keep_good(docs: DataFrame, vocab: str, text: str = "text", lang: str = "lang
                     + [a if isinstance(a, pa.Array) else pa.array(a)
                        for a in measure_texts(first, vocab)],
                     ["row", "group", *names])
+        fertility(vocab).known.clear()
 
     measured = docs.select(*columns).mapInArrow(run, f"row {row}, group string, {MEASURES}")
     measured.withColumn("group", F.coalesce("group", F.lit(""))).write.parquet(path)

@@ -126,12 +126,27 @@ def slices(texts: list[str], limit: int = 1 << 20):
             begin, size = i + 1, 0
 
 
+def filter_texts(df: DataFrame, text: str, test: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """The rows for whose texts ``test`` is true, a slice at a time; the columns of ``df``."""
+    row = F.struct(*(F.col(c) for c in df.columns)).alias("row")
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, 0):
+                good = test([t or "" for t in part.column(0).to_pylist()])
+                yield part.filter(pa.array(good, pa.bool_())).select(["row"])
+
+    return df.select(F.col(text).cast("string").alias("_text"), row).mapInArrow(
+        run, f"row {df.schema.simpleString()}").select("row.*")
+
+
 def map_texts(df: DataFrame, key: str, text: str, schema: str,
               work: Callable[[pa.RecordBatch], Sequence | Iterator[Sequence]],
-              extra: Sequence[str] = ()) -> DataFrame:
+              extra: Sequence[str] = (), done: Callable[[], None] | None = None) -> DataFrame:
     """Apply ``work`` to slices of (key, text, *extra); it returns the arrays of ``schema``.
 
-    Only the named columns are read, so others of any name do not matter.
+    Only the named columns are read, so others of any name do not matter. ``done`` is called at
+    the end of a partition, to give back what was kept for it.
     """
     columns = [F.col(key), F.col(text).cast("string"), *(F.col(c) for c in extra)]
     source = df.select(*(c.alias(f"_{i}") for i, c in enumerate(columns)))
@@ -142,6 +157,8 @@ def map_texts(df: DataFrame, key: str, text: str, schema: str,
             for part in pieces(batch):
                 yield pa.RecordBatch.from_arrays(
                     [a if isinstance(a, pa.Array) else pa.array(a) for a in work(part)], fields)
+        if done:
+            done()
 
     return source.mapInArrow(run, schema)
 

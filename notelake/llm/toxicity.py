@@ -23,11 +23,10 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from notelake.llm.texts import held_out, map_texts, mix, slices
+from notelake.llm.texts import filter_texts, held_out, map_texts, mix, slices
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -239,10 +238,4 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def clean(texts):
-        texts = [t or "" for t in texts.tolist()]
-        parts = [sent.value.score(texts[a:b]) < 0.5 for a, b in slices(texts)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0, bool))
-
-    return docs.where(clean(F.col(text).cast("string")))
+    return filter_texts(docs, text, lambda texts: sent.value.score(texts) < 0.5)
