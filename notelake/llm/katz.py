@@ -36,7 +36,7 @@ K = 5
 HALF = 0.5
 START, END = 1, 2  # no hash of a word is as small, but by chance
 HEAVY = 1000
-FLUSH = 1_000_000  # tokens that a task gathers before it sends them on
+FLUSH = 800_000  # tokens that a task gathers before it sends them on
 BUCKET = 2_000_000  # tokens per partition of the table, about
 
 
@@ -175,15 +175,20 @@ SENT = ("bucket int, gaps binary, runs binary, h binary, docs binary, doc binary
 def send(tokens: list, words: Words1, buckets: int):
     """Rows of SENT from some (w, h, content, train) slices: one per bucket."""
     w, h, content, train = (np.concatenate(x) for x in zip(*tokens))
+    tokens.clear()
     # Copies: one document with the number of training rows among them.
-    contents, first, doc = np.unique(content, return_index=True, return_inverse=True)
+    contents, doc = np.unique(content, return_inverse=True)
+    doc = doc.astype(np.int32)
+    del content
     ends = w == END
     in_training = np.bincount(doc[ends], train[ends], len(contents)).astype(np.int64)
     copies = np.bincount(doc[ends], minlength=len(contents))
     place = mix(np.where(words.count_heavy(w) >= 0, w * 31 + h, w).astype(np.uint64))
-    bucket = (place % np.uint64(buckets)).astype(np.int64)
+    bucket = (place % np.uint64(buckets)).astype(np.int32)
+    del place, ends, train
     order = np.lexsort((doc, h, w, bucket))
     bucket, w, h, doc = bucket[order], w[order], h[order], doc[order]
+    del order
     new = np.ones(len(w), bool)
     new[1:] = (bucket[1:] != bucket[:-1]) | (w[1:] != w[:-1]) | (h[1:] != h[:-1])
     new_doc = new.copy()
@@ -225,8 +230,8 @@ def bigrams(docs: DataFrame, words: Words1, buckets: int, key: str, text: str, o
                 held.append((tokens.w, tokens.h, tokens.content[tokens.d], train[tokens.d]))
                 size += len(tokens.w)
                 if size > FLUSH:
-                    yield rows(held)
-                    held, size = [], 0
+                    yield rows(held)  # which empties the list
+                    size = 0
         if size:
             yield rows(held)
 
@@ -236,8 +241,8 @@ def bigrams(docs: DataFrame, words: Words1, buckets: int, key: str, text: str, o
 COUNTS = [f"n{r}" for r in range(1, K + 1)]
 # kind 0: a document (key: content). 1: a history. 2: an unseen bigram (key: history). 3: counts of
 # counts (n1..n5, and of K + 1 in ``many``).
-FOUND = ("kind int, key bigint, content bigint, x double, y double, many bigint, ends bigint, "
-         + ", ".join(f"{c} bigint" for c in COUNTS))
+FOUND = ("kind int, key bigint, content bigint, x double, y double, many bigint, ends int, "
+         + ", ".join(f"{c} int" for c in COUNTS))
 
 
 def evaluate(table: pa.Table, words: Words1) -> pa.Table:
@@ -284,31 +289,37 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     def per_doc(values: np.ndarray) -> np.ndarray:
         return np.bincount(at, times * values[entry], n)
 
-    def whole(values: np.ndarray) -> np.ndarray:
-        return np.rint(per_doc(values)).astype(np.int64)
+    def whole(values: np.ndarray, kind=np.int32) -> np.ndarray:
+        return np.rint(per_doc(values)).astype(kind)
 
-    parts = [[np.zeros(n, np.int64), contents, np.zeros(n, np.int64), per_doc(base), per_doc(own),
-              whole(c_word > 0), whole(w == END), *(whole(c == r) for r in range(1, K + 1))]]
+    names = [part.split()[0] for part in FOUND.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+    kinds += [pa.int32()] * (1 + K)
+
+    def part(*columns: np.ndarray) -> pa.Table:
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    parts = [part(np.zeros(n, np.int32), contents, np.zeros(n, np.int64), per_doc(base), per_doc(own),
+              whole(c_word > 0, np.int64), whole(w == END), *(whole(c == r) for r in range(1, K + 1)))]
     # Histories of the bigrams seen.
     some = first[c_pair > 0]
     histories, of = np.unique(h[some], return_inverse=True)
     m, cs = len(histories), c[some]
-    parts.append([np.ones(m, np.int64), histories, np.zeros(m, np.int64), np.bincount(of, p_word[some], m),
+    parts.append(part(np.ones(m, np.int32), histories, np.zeros(m, np.int64), np.bincount(of, p_word[some], m),
                   np.bincount(of, np.where(cs > K, cs - HALF, 0.0), m),
-                  np.bincount(of, cs, m).astype(np.int64), np.zeros(m, np.int64),
-                  *(np.bincount(of, cs == r, m).astype(np.int64) for r in range(1, K + 1))])
+                  np.bincount(of, cs, m).astype(np.int64), np.zeros(m, np.int32),
+                  *(np.bincount(of, cs == r, m).astype(np.int32) for r in range(1, K + 1))))
     # Documents with bigrams never seen.
     unseen = np.flatnonzero(c[entry] == 0)
-    zeros = np.zeros(len(unseen), np.int64)
-    parts.append([zeros + 2, h[entry[unseen]], content[doc[unseen]], zeros * 0.0, zeros * 0.0,
-                  times[unseen], zeros, *[zeros] * K])
-    one = np.zeros(1, np.int64)
-    parts.append([one + 3, one, one, one * 0.0, one * 0.0,
-                  one + np.count_nonzero(c_pair == K + 1), one,
-                  *(one + np.count_nonzero(c_pair == r) for r in range(1, K + 1))])
-    names = [part.split()[0] for part in FOUND.split(", ")]
-    arrays = [np.concatenate(x) for x in zip(*parts)]
-    found = pa.table([pa.array(arrays[0], pa.int32()), *map(pa.array, arrays[1:])], names)
+    small, zeros = np.zeros(len(unseen), np.int32), np.zeros(len(unseen))
+    parts.append(part(small + np.int32(2), h[entry[unseen]], content[doc[unseen]], zeros, zeros,
+                      times[unseen].astype(np.int64), small, *[small] * K))
+    no_key, nothing = np.zeros(1, np.int64), np.zeros(1)
+    parts.append(part(np.full(1, 3, np.int32), no_key, no_key, nothing, nothing,
+                      no_key + np.count_nonzero(c_pair == K + 1), np.zeros(1, np.int32),
+                      *(np.full(1, np.count_nonzero(c_pair == r), np.int32)
+                        for r in range(1, K + 1))))
+    found = pa.concat_tables(parts)
     return pa.Table.from_batches(found.to_batches(max_chunksize=20_000))  # small messages
 
 
