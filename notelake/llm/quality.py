@@ -5,8 +5,14 @@ public sentencepiece vocabulary whose tokens never reach across a space. Rejecti
 limits per language and octave of the token count (both set the scale of the three measures),
 taken from all documents: median -/+ ``spread`` robust deviations.
 
+Every text with a token has a band, however few are like it. Measures are taken as differences from
+the median of their octave over all languages (rare octaves lean on the octaves beside them). Then
+the middle and the deviation of a language lean on those of the corpus, and those of a language's
+octave on the language: with n documents of its own, a middle counts n to ``OWN``, a deviation n to
+``least``.
+
 Edge cases: a null or empty text has no words and fails the word rules. A null language is a group
-of its own. In a group of fewer than ``least`` documents no band is known and none rejects. The
+of its own. A language of less than about ``OWN`` documents is judged mostly by the corpus. The
 median deviation is at least ``floor`` of each measure, so a group of copies does not reject texts
 that differ from the copies by a trace. Repeated rows count as often as they are there.
 """
@@ -38,6 +44,8 @@ CACHE = 150_000
 FEW_BANDS = 20_000
 # The smallest deviation that a band assumes, in units of its measure.
 FLOOR = {"chars_per_token": 0.03, "byte_share": 0.01, "entropy": 0.1}
+# So many documents of its own weigh as much as the wider group in the middle of a band.
+OWN = 4
 MEASURES = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
             "n_repeat_words bigint, base_failed boolean, n_tokens bigint, chars_per_token double, "
             "byte_share double, entropy double")
@@ -123,21 +131,64 @@ def measure_texts(batch: pa.RecordBatch, vocab: str) -> list:
             np.asarray(tokens, np.int64), *(np.asarray(r, float) for r in rest)]
 
 
+def octave_middles(usable: DataFrame) -> list[tuple]:
+    """(octave, middle of each measure) over all languages: a row per octave, at most 64."""
+    rows = usable.groupBy("octave").agg(
+        F.count(F.lit(1)), *(F.percentile_approx(m, 0.5, 1000) for m in FLOOR)).orderBy("octave")
+    found = np.array([list(row) for row in rows.collect()], float).reshape(-1, 2 + len(FLOOR))
+    octaves, n = found[:, 0], found[:, 1]
+    out = [octaves]
+    for middle in found[:, 2:].T:
+        others = np.array([
+            np.interp(octaves[i], np.delete(octaves, i), np.delete(middle, i))
+            if len(octaves) > 1 else middle[i] for i in range(len(octaves))])
+        out.append((n * middle + OWN * others) / (n + OWN))
+    return [(int(row[0]), *map(float, row[1:])) for row in zip(*out)]
+
+
 def bands(measured: DataFrame, spread: float, least: int) -> DataFrame:
     """Low and high limits per (group, octave): one row for each, combined before the shuffle."""
     names = list(FLOOR)
-    middle = measured.where("n_tokens > 0").groupBy("group", "octave").agg(
-        F.count(F.lit(1)).alias("n"),
-        *(F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in names))
-
-    def limit(name: str, sign: int) -> Column:
+    usable = measured.where("n_tokens > 0").select("group", "octave", *names)
+    middles = measured.sparkSession.createDataFrame(
+        octave_middles(usable), "octave bigint, " + ", ".join(f"{m}_at double" for m in names))
+    rest = usable.join(F.broadcast(middles), "octave").select(
+        "group", "octave", *((F.col(m) - F.col(f"{m}_at")).alias(m) for m in names))
+
+    def level(rows: DataFrame, *by: str) -> DataFrame:
+        quartiles = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"),
+            *(F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in names))
         # The quartiles of a normal distribution lie 0.6745 deviations from its median. Rejected
         # texts widen one side, so the narrower side measures the deviation.
-        q = F.col(name)
-        side = F.least(q[1] - q[0], q[2] - q[1]) / 0.6745
-        return q[1] + sign * spread * F.greatest(side, F.lit(FLOOR[name]))
+        return quartiles.select(
+            *by, "n", *(F.col(m)[1].alias(f"{m}_middle") for m in names),
+            *((F.least(F.col(m)[1] - F.col(m)[0], F.col(m)[2] - F.col(m)[1]) / 0.6745)
+              .alias(f"{m}_side") for m in names))
+
+    def leaning(own: DataFrame, by: list[str], wide: dict[str, Column]) -> list[Column]:
+        def mixed(name: str, weight: int) -> Column:
+            n = own["n"]
+            return ((n * own[name] + weight * wide[name]) / (n + weight)).alias(name)
+
+        return [*(own[c] for c in by), *(mixed(f"{m}_middle", OWN) for m in names),
+                *(mixed(f"{m}_side", least) for m in names)]
+
+    parts = [f"{m}_{part}" for m in names for part in ("middle", "side")]
+    corpus = level(rest).first()
+    languages = level(rest, "group")
+    languages = languages.select(leaning(
+        languages, ["group"], {p: F.lit(corpus[p] or 0.0) for p in parts}))
+    wide = languages.select("group", *(F.col(p).alias(f"wide_{p}") for p in parts))
+    both = level(rest, "group", "octave").join(wide, "group")
+    both = both.select(leaning(both, ["group", "octave"], {p: both[f"wide_{p}"] for p in parts}))
+    both = both.join(F.broadcast(middles), "octave")
 
-    return middle.where(F.col("n") >= least).select(
+    def limit(name: str, sign: int) -> Column:
+        side = F.greatest(F.col(f"{name}_side"), F.lit(FLOOR[name]))
+        return F.col(f"{name}_at") + F.col(f"{name}_middle") + sign * spread * side
+
+    return both.select(
         "group", "octave", limit("chars_per_token", -1).alias("least_chars"),
         limit("byte_share", 1).alias("most_bytes"), limit("entropy", -1).alias("least_entropy"))
 
@@ -160,7 +211,10 @@ def with_octave(measured: DataFrame) -> DataFrame:
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add ``kept``. The limits, a few rows per language, are broadcast if they are few indeed."""
+    """Add ``kept``. The limits, a few rows per language, are broadcast if they are few indeed.
+
+    Only a text without a token has none; the word rules reject it.
+    """
     limits = stored(limits, "bands")
     limits = F.broadcast(limits) if limits.count() <= FEW_BANDS else limits
     inside = (

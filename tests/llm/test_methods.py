@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
@@ -155,6 +156,30 @@ def test_quality_keeps_the_good(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.6 * len(bad)
 
 
+def test_quality_judges_small_groups(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in quality.assess(
+        docs, public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    # No language has 50 documents of one octave here; these are labelled as bad.
+    assert not any(rows[i].kept for i in (83, 140, 148, 154, 171))
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()
+    good = [rows[r.doc_id].kept for r in labels if not rows[r.doc_id].base_failed]
+    assert sum(good) >= 0.98 * len(good)
+
+
+def test_every_group_has_a_band(spark):
+    measures = "group string, n_tokens bigint, chars_per_token double, byte_share double, entropy double"
+    usual = [("en", 200 + i, 2.2 + i % 7 / 100, 0.0, 6.3 + i % 5 / 50) for i in range(50)]
+    rare = [("xx", 300, 2.2, 0.0, 6.3), ("xx", 301, 0.9, 0.6, 2.0), ("en", 90_000, 1.0, 0.5, 2.5),
+            ("en", 90_001, 2.2, 0.0, 6.6)]
+    table = quality.with_octave(spark.createDataFrame(usual + rare, measures)).withColumn(
+        "base_failed", F.lit(False))
+    judged = quality.judge(table, quality.bands(table, 4.5, 50))
+    assert judged.where("least_chars is null").count() == 0
+    bad = {(r.group, r.n_tokens) for r in judged.where("not kept").collect()}
+    assert bad == {("xx", 301), ("en", 90_000)}
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
