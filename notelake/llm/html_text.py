@@ -3,10 +3,12 @@
 The standard library's parser streams a page. Block tags cut it into lines; each line knows its
 text, how many tags it took, how much of it is link text and whether it lies in an element that never
 holds the article (by tag, role, class or id). A line's ratio is its plain text per tag, 0 in such
-elements. Ratios are smoothed by a Gaussian over the lines, so that short paragraphs are lifted by
-their neighbours, and lines above ``LAMBDA`` standard deviations are content. A region is an article
-(or main) element with such a line, or, in a page without, all lines from the first to the last one
-with the heading before it; lines of the named elements are taken out of it.
+elements and ``FULL`` at most, so that a long line weighs no more than any paragraph. Ratios are
+smoothed by a Gaussian over the lines, so that short paragraphs are lifted by their neighbours, and
+lines above ``LAMBDA`` standard deviations are content. A region is an article (or main) element
+with such a line, or one beside it in the same box (a div, section, cell or body) that has text
+outside links. In a page without, it is all lines from the first to the last one with the heading
+before it, and all lines in the box of such a line. Lines of the named elements are taken out of it.
 
 Edge cases: null, empty and text-free pages give '' and 0. A page without markup is one line. Open
 elements at the end of a page end there; end tags without a start are ignored. If no line stands out,
@@ -51,7 +53,11 @@ WORDS = re.compile(r"[a-z]+")
 SAYS = frozenset("has with without no".split())
 IN_ARTICLE = frozenset("header tags".split())
 
+# Elements that hold blocks.
+BOXES = frozenset("html body div section center td th article main".split())
+
 SIGMA, LAMBDA = 1.5, 0.5
+FULL = 80
 RADIUS = 5
 KERNEL = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
 
@@ -76,23 +82,30 @@ def named_aside(attrs: list[tuple[str, str | None]], inside: bool = False) -> bo
     return False
 
 
+Line = tuple[str, int, int, bool, int, bool, int, int]
+
+
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, link characters, beside, region, heading)."""
+    """Lines of a page: (text, tags, link characters, beside, region, heading, box, outer box).
+
+    A line right in a box may be a paragraph of the box around that one, its outer box.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, int, bool]] = []
-        # Open elements: (tag, beside the article, region of the article, heading).
-        self.open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
+        self.lines: list[Line] = []
+        # Open elements: (tag, beside the article, region of the article, heading, box, outer box).
+        self.open: list[tuple[str, bool, int, bool, int, int]] = [("", False, 0, False, 0, 0)]
         self.text: list[str] = []
+        self.region_boxes = [0]  # the box that each region stands in
+        self.boxes = 0
         self.tags = self.links = self.regions = self.in_link = self.hidden = 0
 
     def cut(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                _, beside, region, heading = self.open[-1]
-                self.lines.append((text, self.tags, self.links, beside, region, heading))
+                self.lines.append((text, self.tags, self.links, *self.open[-1][1:]))
                 self.tags = self.links = 0
             self.text = []
 
@@ -117,13 +130,14 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             return
-        _, beside, region, heading = self.open[-1]
+        _, beside, region, heading, box, outer = self.open[-1]
         if tag in MAIN and not named_aside(attrs):
             if beside and any(name == "nav" for name, *_ in self.open):
                 beside = False  # an article does not stand in a menu: the menu was not closed
             if not region:
                 self.regions += 1
                 region = self.regions
+                self.region_boxes.append(box)
         elif not beside:
             beside = tag in ASIDE or (tag == "header" and not region) or (
                 bool(attrs) and tag not in ("body", "html") and named_aside(attrs, region > 0))
@@ -133,7 +147,12 @@ class Lines(HTMLParser):
             self.in_link += 1
         if beside and tag in INLINE and not self.open[-1][1]:
             self.cut()  # an inline element beside the article is a line of its own
-        self.open.append((tag, beside, region, heading or tag in HEADINGS))
+        if tag not in INLINE:
+            outer = box
+        if tag in BOXES:
+            self.boxes += 1
+            box = self.boxes
+        self.open.append((tag, beside, region, heading or tag in HEADINGS, box, outer))
 
     def close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; an item ends the item before it in its list."""
@@ -180,15 +199,15 @@ class Lines(HTMLParser):
                 self.links += len(data)
 
 
-def lines_of(html: str) -> list[tuple[str, int, int, bool, int, bool]]:
+def lines_of(html: str) -> tuple[list[Line], list[int]]:
     parser = Lines()
     parser.feed(html)
     parser.close()
     parser.cut()
-    return parser.lines
+    return parser.lines, parser.region_boxes
 
 
-def content(lines: list[tuple[str, int, int, bool, int, bool]]) -> list[str]:
+def content(lines: list[Line], region_boxes: list[int]) -> list[str]:
     """The lines of the content regions."""
     if not lines:
         return []
@@ -196,26 +215,34 @@ def content(lines: list[tuple[str, int, int, bool, int, bool]]) -> list[str]:
     region = np.array([line[4] for line in lines])
     plain = np.array([max(len(text) - links, 0) for text, _, links, *_ in lines], float)
     tags = np.array([max(line[1], 1) for line in lines], float)
-    ratio = np.where(beside, 0.0, plain / tags)
+    ratio = np.where(beside, 0.0, np.minimum(plain / tags, FULL))
     weight = np.convolve(np.ones(len(ratio)), KERNEL)[RADIUS:-RADIUS]
     smooth = np.convolve(ratio, KERNEL)[RADIUS:-RADIUS] / weight
     chosen = ~beside & (smooth >= LAMBDA * smooth.std()) & (ratio > 0)
     if not chosen.any():
         kept = ~beside
     elif (region[chosen] > 0).any():
-        kept = ~beside & np.isin(region, np.unique(region[chosen & (region > 0)]))
+        stands_in = np.array(region_boxes)
+        own = np.unique(region[chosen & (region > 0)])
+        texts = np.unique(region[(ratio > 0) & (region > 0)])
+        near = texts[np.isin(stands_in[texts], stands_in[own])]
+        kept = ~beside & np.isin(region, np.concatenate([own, near]))
     else:
         first, last = np.flatnonzero(chosen)[[0, -1]]
+        inside = np.zeros(len(lines), bool)
+        inside[first:last + 1] = True
+        boxes = np.array([line[6:] for line in lines])
+        inside |= np.isin(boxes, np.unique(boxes[chosen])).any(axis=1)
+        first = np.flatnonzero(inside & ~beside)[0]
         while first and lines[first - 1][5] and not beside[first - 1]:
             first -= 1
-        kept = ~beside
-        kept[:first] = False
-        kept[last + 1:] = False
+            inside[first] = True
+        kept = inside & ~beside
     return [lines[i][0] for i in np.flatnonzero(kept)]
 
 
 def extract(html: str | None) -> str:
-    return "\n\n".join(content(lines_of(html))) if html else ""
+    return "\n\n".join(content(*lines_of(html))) if html else ""
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url",

@@ -335,3 +335,26 @@ def test_named_parts_of_a_page():
       </p></article></section></div><aside><p>Something else to read</p></aside></body>"""
     assert html_text.extract(page).split("\n\n") == [
         "Title", "First paragraph of the article, long enough to count.", "A caption", "Last one."]
+
+
+@pytest.mark.parametrize("giant", [100, 3000, 20_000, 200_000])
+def test_one_giant_paragraph(giant):
+    texts = [f"{i} " + "some words " * 9 for i in range(61)]
+    texts[30] = "long " * (giant // 5)
+    texts = [t.strip() for t in texts]
+    page = "<div class=menu><a href=x>a</a></div><div>%s</div><div><ul><li><a href=y>Other</a></ul>"
+    page %= "<h1>Title</h1>" + "".join(f"<p>{t}</p>" for t in texts) + "<p>End</p>"
+    assert html_text.extract(page).split("\n\n") == ["Title", *texts, "End"]
+
+
+def test_several_articles():
+    page = """<main></main><div><article><p>%s</p></article><article><p>Brief.</p></article></div>
+      <section><article><a href=x>A card</a></article></section>""" % ("Many words. " * 2000)
+    assert html_text.extract(page).split("\n\n") == [("Many words. " * 2000).strip(), "Brief."]
+
+
+def test_paragraphs_in_divs():
+    page = "<body><div class=c><div>Hi.</div>%s<div>Bye.</div></div></body>" % "".join(
+        f"<div>{'word ' * 60}{i}</div>" for i in range(20))
+    found = html_text.extract(page).split("\n\n")
+    assert (found[0], found[-1], len(found)) == ("Hi.", "Bye.", 22)
