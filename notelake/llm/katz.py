@@ -9,8 +9,9 @@ score). alpha(h) is exactly what makes P(.|h) sum to 1; a history never seen has
 
 How it runs: a first pass counts words (combined in each task, then by Spark). A second pass sends
 each bigram, with the documents it is in, to the partition of the table that its word belongs to;
-words with more than a thousandth of all tokens (at most a thousand of them, broadcast with their
-counts) are spread by bigram instead. A partition knows c(hw) and c(w), so it backs off per token on
+words of ``HEAVY`` tokens and more are spread by bigram instead, and bigrams of as many, counted in a
+pass of their own, by document. Both are broadcast with their counts: at most one in ``HEAVY`` tokens
+each. So no word or bigram fills a partition, however common. A partition knows c(hw) and c(w), so it backs off per token on
 its own: all but the factors that depend on the counts of counts, of which it keeps how often they
 apply, and the sums per history. Only bigrams never seen need alpha of a history of another
 partition; they follow in a join. Documents are known by a hash of their tokens, so that copies are
@@ -35,7 +36,7 @@ from notelake.llm.texts import Texts, Words, held_out, map_texts, mix, pieces
 K = 5
 HALF = 0.5
 START, END = 1, 2  # no hash of a word is as small, but by chance
-HEAVY = 1000
+HEAVY = 50_000  # tokens, learned from or not, from which a word or bigram is dealt out
 FLUSH = 800_000  # tokens that a task gathers before it sends them on
 BUCKET = 2_000_000  # tokens per partition of the table, about
 
@@ -75,16 +76,19 @@ def discounts(counts: dict[int, int]) -> list[float]:
 
 @dataclass
 class Words1:
-    """What is known of single words: N, V, texts learned from, P of an unknown word, discounts,
-    and the heavy words (sorted) with their counts."""
+    """What is known of single words: N, V, tokens with those held out, texts learned from, P of an
+    unknown word, discounts, the heavy words (sorted) with their counts, and the heavy bigrams
+    (sorted by key) with theirs."""
 
     total: int
+    tokens: int
     types: int
     texts: int
     unknown: float
     discount: list[float]
     heavy: np.ndarray
     heavy_count: np.ndarray
+    pairs: tuple[np.ndarray, ...] = (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
 
     def discounted(self, count: np.ndarray) -> np.ndarray:
         """d(c) c for positive counts."""
@@ -101,18 +105,34 @@ class Words1:
         at = np.minimum(np.searchsorted(self.heavy, words), len(self.heavy) - 1)
         return np.where(self.heavy[at] == words, self.heavy_count[at], -1)
 
+    def count_pairs(self, w: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Count of heavy bigrams, -1 for others."""
+        keys, ws, hs, counts = self.pairs
+        if not len(keys):
+            return np.full(len(w), -1, np.int64)
+        at = np.minimum(np.searchsorted(keys, pair_key(w, h)), len(keys) - 1)
+        return np.where((ws[at] == w) & (hs[at] == h), counts[at], -1)
 
-def combine(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def pair_key(w: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return mix(mix(w.astype(np.uint64)) + h.astype(np.uint64))
+
+
+def combine(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     unique, where = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(where, counts, len(unique)).astype(np.int64)
+    return unique, *(np.bincount(where, c, len(unique)).astype(np.int64) for c in counts)
 
 
 def source(docs: DataFrame, key: str, text: str, of: int) -> DataFrame:
     return docs.select((~held_out(key, of)).alias("train"), F.col(text).cast("string").alias("t"))
 
 
-def count_words(docs: DataFrame, key: str, text: str, of: int) -> DataFrame:
-    """(w, n): the training count of every word, END included."""
+def count_tokens(docs: DataFrame, key: str, text: str, of: int, named) -> DataFrame:
+    """(key, n, m): how often the keys that ``named`` gives to tokens are there, in training rows and
+    in all."""
+
+    def batch_of(columns):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "n", "m"])
 
     def run(batches):
         held: list = []
@@ -121,34 +141,67 @@ def count_words(docs: DataFrame, key: str, text: str, of: int) -> DataFrame:
             for part in pieces(batch):
                 tokens = Tokens(part.column(1))
                 train = np.asarray(part.column(0).to_numpy(zero_copy_only=False), bool)
-                held.append(np.unique(tokens.w[train[tokens.d]], return_counts=True))
+                at, keys = named(tokens)
+                held.append(combine(keys, train[tokens.d[at]], np.ones(len(keys), bool)))
                 size += len(held[-1][0])
                 if size > FLUSH:
                     held = [combine(*map(np.concatenate, zip(*held)))]
                     size = len(held[0][0])
                     if size > FLUSH // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["w", "n"])
+                        yield batch_of(held[0])
                         held, size = [], 0
         if held:
-            both = combine(*map(np.concatenate, zip(*held)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in both], ["w", "n"])
+            yield batch_of(combine(*map(np.concatenate, zip(*held))))
+
+    counted = source(docs, key, text, of).mapInArrow(run, "key bigint, n bigint, m bigint")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def count_words(docs: DataFrame, key: str, text: str, of: int) -> DataFrame:
+    """(w, n, m): the count of every word in training and in all rows, END included."""
+    return count_tokens(docs, key, text, of, lambda t: (slice(None), t.w)).withColumnRenamed(
+        "key", "w")
 
-    counted = source(docs, key, text, of).mapInArrow(run, "w bigint, n bigint")
-    return counted.groupBy("w").agg(F.sum("n").alias("n"))
+
+def heavy_pairs(docs: DataFrame, words: Words1, key: str, text: str, of: int) -> tuple:
+    """The bigrams of ``HEAVY`` tokens and more, in the form of ``Words1.pairs``.
+
+    Both words of such a bigram are heavy, so no other bigram is counted; a start is as heavy as END.
+    """
+    heavy = words.heavy
+    if not len(heavy):
+        return words.pairs
+    sent = docs.sparkSession.sparkContext.broadcast(heavy)
+
+    def named(tokens):
+        heavy = sent.value
+        h = np.where(tokens.h == START, END, tokens.h)
+        i, j = (np.minimum(np.searchsorted(heavy, x), len(heavy) - 1) for x in (tokens.w, h))
+        at = np.flatnonzero((heavy[i] == tokens.w) & (heavy[j] == h))
+        return at, i[at] * len(heavy) + j[at]
+
+    rows = count_tokens(docs, key, text, of, named).where(F.col("m") >= HEAVY).collect()
+    code = np.array([r["key"] for r in rows], np.int64)
+    w, h = heavy[code // len(heavy)], heavy[code % len(heavy)]
+    h = np.where(h == END, START, h)  # no history is END
+    keys = pair_key(w, h)
+    order = np.argsort(keys)
+    counts = np.array([r["n"] for r in rows], np.int64)
+    return tuple(x[order] for x in (keys, w, h, counts))
 
 
 def learn_words(counts: DataFrame) -> Words1:
     """Sums over the table of words; of its rows only the heavy ones are fetched."""
     first = counts.agg(
-        F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("n") > K, F.col("n") - HALF)),
-        F.sum(F.when(F.col("w") == END, F.col("n")))).first()
-    total, types, above, texts = (x or 0 for x in first)
-    ragged = {r["n"]: r["count"]
-              for r in counts.where(F.col("n") <= K + 1).groupBy("n").count().collect()}
+        F.sum("n"), F.count(F.when(F.col("n") > 0, 1)), F.sum(F.when(F.col("n") > K, F.col("n") - HALF)),
+        F.sum(F.when(F.col("w") == END, F.col("n"))), F.sum("m")).first()
+    total, types, above, texts, tokens = (x or 0 for x in first)
+    ragged = {r["n"]: r["count"] for r in counts.where(F.col("n").between(1, K + 1))
+              .groupBy("n").count().collect()}
     discount = discounts(ragged)
     kept = above + sum(r * discount[r - 1] * ragged.get(r, 0) for r in range(1, K + 1))
-    heavy = counts.where(F.col("n") * HEAVY >= total).orderBy("w").limit(HEAVY).collect()
-    return Words1(total, types, texts, 1 - kept / total if total else 1.0, discount,
+    heavy = counts.where(F.col("m") >= HEAVY).orderBy("w").collect()
+    return Words1(total, tokens, types, texts, 1 - kept / total if total else 1.0, discount,
                   np.array([r["w"] for r in heavy], np.int64),
                   np.array([r["n"] for r in heavy], np.int64))
 
@@ -179,11 +232,13 @@ def send(tokens: list, words: Words1, buckets: int):
     # Copies: one document with the number of training rows among them.
     contents, doc = np.unique(content, return_inverse=True)
     doc = doc.astype(np.int32)
-    del content
     ends = w == END
     in_training = np.bincount(doc[ends], train[ends], len(contents)).astype(np.int64)
     copies = np.bincount(doc[ends], minlength=len(contents))
     place = mix(np.where(words.count_heavy(w) >= 0, w * 31 + h, w).astype(np.uint64))
+    common = np.flatnonzero(words.count_pairs(w, h) >= 0)
+    place[common] = mix(place[common] + content[common].astype(np.uint64))
+    del content, common
     bucket = (place % np.uint64(buckets)).astype(np.int32)
     del place, ends, train
     order = np.lexsort((doc, h, w, bucket))
@@ -275,6 +330,10 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     c_word = np.where(heavy >= 0, heavy, c_word)
     first = np.empty(len(c_pair), np.int64)
     first[pair] = np.arange(len(w))  # an entry of each bigram
+    # Heavy bigrams are in many partitions; their sums per history are added by ``of_pairs``.
+    known = words.count_pairs(w[first], h[first])
+    common = known >= 0
+    c_pair = np.where(common, known, c_pair)
     # Terms per entry.
     c = c_pair[pair]
     base = np.log10((c_word + 0.1) / (words.total + 0.1 * (words.types + 1)))
@@ -302,7 +361,7 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     parts = [part(np.zeros(n, np.int32), contents, np.zeros(n, np.int64), per_doc(base), per_doc(own),
               whole(c_word > 0, np.int64), whole(w == END), *(whole(c == r) for r in range(1, K + 1)))]
     # Histories of the bigrams seen.
-    some = first[c_pair > 0]
+    some = first[(c_pair > 0) & ~common]
     histories, of = np.unique(h[some], return_inverse=True)
     m, cs = len(histories), c[some]
     parts.append(part(np.ones(m, np.int32), histories, np.zeros(m, np.int64), np.bincount(of, p_word[some], m),
@@ -311,6 +370,7 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
                   *(np.bincount(of, cs == r, m).astype(np.int32) for r in range(1, K + 1))))
     # Documents with bigrams never seen.
     unseen = np.flatnonzero(c[entry] == 0)
+    c_pair = c_pair[~common]
     small, zeros = np.zeros(len(unseen), np.int32), np.zeros(len(unseen))
     parts.append(part(small + np.int32(2), h[entry[unseen]], content[doc[unseen]], zeros, zeros,
                       times[unseen].astype(np.int64), small, *[small] * K))
@@ -323,6 +383,18 @@ def evaluate(table: pa.Table, words: Words1) -> pa.Table:
     return pa.Table.from_batches(found.to_batches(max_chunksize=20_000))  # small messages
 
 
+def of_pairs(docs: DataFrame, words: Words1) -> DataFrame:
+    """Rows of FOUND for the heavy bigrams: their parts of the sums per history and of the counts of
+    counts."""
+    _, w, h, c = (x[words.pairs[3] > 0] for x in words.pairs)
+    p = words.probability(words.count_heavy(w))
+    rows = [(1, int(h[i]), 0, float(p[i]), float(c[i] - HALF) if c[i] > K else 0.0, int(c[i]), 0,
+             *(int(c[i] == r) for r in range(1, K + 1))) for i in range(len(c))]
+    rows.append((3, 0, 0, 0.0, 0.0, int((c == K + 1).sum()), 0,
+                 *(int((c == r).sum()) for r in range(1, K + 1))))
+    return docs.sparkSession.createDataFrame(rows, FOUND)
+
+
 def log_sum(factors: list[float]) -> Column:
     """Sum of n_r log10 d(r)."""
     return sum((F.col(c) * float(np.log10(d)) for c, d in zip(COUNTS, factors)), F.lit(0.0))
@@ -335,11 +407,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", of: int = 10
     """
     spark = docs.sparkSession
     words = learn_words(stored(count_words(docs, key, text, of), "words"))
-    buckets = max(1, -(-words.total // BUCKET))
+    words.pairs = heavy_pairs(docs, words, key, text, of)
+    buckets = max(1, -(-words.tokens // BUCKET))
     sent = spark.sparkContext.broadcast(words)
     found = stored(
         bigrams(docs, words, buckets, key, text, of).repartitionById(buckets, F.col("bucket"))
         .groupBy("bucket").applyInArrow(lambda t: evaluate(t, sent.value), FOUND), "bigrams")
+    found = found.unionByName(of_pairs(docs, words))
     sums = found.where("kind = 3").agg(*(F.sum(c) for c in [*COUNTS, "many"])).first()
     factors = discounts({r + 1: n or 0 for r, n in enumerate(sums)})
     totals = found.where("kind = 1").groupBy("key").agg(

@@ -302,6 +302,31 @@ def test_katz_by_brute_force(spark, texts):
             pytest.approx(1))
 
 
+def test_katz_deals_out_what_is_common(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [(i, "of the " * rng.randint(1, 9) + " ".join(rng.choices("abcdefgh", k=9)) + f" {i % 90}")
+             for i in range(400)] + [(None, "held out " * 30 + str(i)) for i in range(100)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+
+    def scores():
+        rows = katz.score(docs).collect()
+        return sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6),
+                       round(r.score, 6)) for r in rows)
+
+    whole = scores()
+    monkeypatch.setattr(katz, "HEAVY", 100)
+    monkeypatch.setattr(katz, "BUCKET", 1000)
+    assert scores() == whole
+    # No partition gets much more than it is planned for, of texts that are held out as well.
+    words = katz.learn_words(katz.count_words(docs, "doc_id", "text", 10))
+    words.pairs = katz.heavy_pairs(docs, words, "doc_id", "text", 10)
+    assert len(words.pairs[0]) >= 4
+    buckets = -(-words.tokens // katz.BUCKET)
+    sent = katz.bigrams(docs.repartition(1), words, buckets, "doc_id", "text", 10).collect()
+    postings = [len(r.doc) // 4 for r in sent]
+    assert buckets > 5 and len(postings) == buckets and max(postings) < 3 * sum(postings) / buckets
+
+
 def test_articles_of_pages(spark):
     import html
 
