@@ -282,24 +282,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
     found = stored(sketched(docs, key, text), "sketches")
     classes = found.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min(key).alias("least"), F.first("n_shingles").alias("n_shingles"),
+        F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"))).alias("least"),
+        F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"))
     classes = stored(classes, "classes")
     parts = class_links(docs, classes, text)
     placed = classes.select("digest", "least").join(
         parts.withColumnRenamed("key", "digest"), "digest", "left").select(
         "digest", "least", F.coalesce("component", "digest").alias("component"))
-    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = placed.join(least, "component").select("digest", "component_id")
+    # Ids may be missing or repeated: then the set tells which row stays.
+    least = placed.groupBy("component").agg(F.min(F.struct("least", "digest")).alias("keeper"))
+    names = placed.join(least, "component").select(
+        "digest", F.col("keeper.least.id").alias("component_id"),
+        (F.col("digest") == F.col("keeper.digest")).alias("keeps"))
     return found.select(key, "n_shingles", "digest").join(names, "digest", "left").select(
         key, "n_shingles", "digest",
         F.when(F.col("digest").isNull(), F.col(key)).otherwise(F.col("component_id"))
-        .alias("component_id"),
-    ).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+        .alias("component_id"), F.coalesce("keeps", F.lit(True)).alias("keeps"),
+    ).withColumn("kept", F.col("keeps") & F.col(key).eqNullSafe(F.col("component_id"))).drop("keeps")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest id.
+    """The rows of ``docs`` that stay: of each group the one with the smallest id,
+    and of several texts with that id, or a group without ids, the one with the smallest digest.
 
     Rows that repeat both id and set are one document. Empty texts all stay.
     """

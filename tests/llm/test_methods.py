@@ -109,6 +109,15 @@ def test_near_duplicates_by_brute_force(spark, texts):
         i for i in rows if root(i) == i}
 
 
+def test_one_of_each_without_proper_ids(spark):
+    words = [f"w{i}" for i in range(200)]
+    near = [" ".join([*words, f"x{i}"]) for i in range(6)]
+    other = [t.replace("w", "v") for t in near]
+    rows = [(None, t) for t in near] + [(3, t) for t in other[:3]] + [(4, other[3]), (None, other[4])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(str(r.doc_id) for r in near_dup.keep_one(docs).collect()) == ["3", "None"]
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64)) for n in (1, 2, 50, 3000)]
