@@ -9,6 +9,7 @@ from notelake.llm import (
     byte_bpe, chats, decontaminate, html_text, katz, near_dup, quality, sharding, token_counts,
     toxicity,
 )
+from notelake.session import fresh_path
 
 QUERIES = {}
 ORACLES = {}
@@ -110,7 +111,9 @@ placed AS (SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1,
 SELECT doc_id, slot, 'shard-' || lpad(CAST(owner AS VARCHAR), 2, '0') AS shard
 FROM placed JOIN owners USING (slot)""")
 def op9_sharding(spark, sf_dir):
-    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+    path = fresh_path(spark, "shards")
+    sharding.write_shards(table(spark, sf_dir, "documents"), path, SHARDS)
+    return spark.read.parquet(path).select("doc_id", "slot", "shard")
 
 
 @query()

@@ -270,6 +270,15 @@ def test_written_shards(spark, tmp_path):
         "count > 1").count() == 0
 
 
+def test_sharding_query_writes_whole_documents(spark):
+    found = queries.QUERIES["op9_sharding"](spark, SF)
+    folders = {f.rsplit("/shard=", 1)[0] for f in found.inputFiles()}
+    assert len(folders) == 1 and all("/shard=" in f for f in found.inputFiles())
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    back = spark.read.parquet(folders.pop()).select(docs.columns)
+    assert back.count() == docs.count() and back.exceptAll(docs).count() == 0
+
+
 def test_katz_by_brute_force(spark, texts):
     found = {r.doc_id: r for r in katz.score(
         spark.read.parquet(f"{SF}/documents.parquet")).collect()}
