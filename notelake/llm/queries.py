@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from notelake.llm import (
-    byte_bpe, chats, decontaminate, html_text, katz, near_dup, quality, sharding, token_counts,
-    toxicity,
+    byte_bpe, chats, decontaminate, filter_audit, html_text, katz, near_dup, quality, sharding,
+    token_counts, toxicity,
 )
 from notelake.session import fresh_path
 
@@ -124,3 +124,48 @@ def op10_katz_scores(spark, sf_dir):
 @query()
 def op6_html_extraction(spark, sf_dir):
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query(r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+tested AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY md5(t)), false) AS e FROM words),
+known AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+  FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, CAST(a AS INT) + 2 * CAST(b AS INT) + 4 * CAST(c AS INT) + 8 * CAST(d AS INT)
+         + 16 * CAST(e AS INT) AS mask, count(*) AS n, coalesce(sum(good), 0) AS good,
+         coalesce(sum(toxic), 0) AS toxic
+  FROM tested LEFT JOIN known USING (doc_id) GROUP BY ALL),
+one AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT [p.f, q.f, r.f, s.f, t.f] AS names, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM one p, one q, one r, one s, one t WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31
+    AND p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+steps AS (
+  SELECT array_to_string(names, '') AS filter_order, CAST(k AS INT) AS step, bits[k] AS own,
+         CAST(coalesce(list_sum(bits[1:k - 1]), 0) AS INT) AS before
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS x(k)),
+counted AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN mask & (before + own) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & own > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & own > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM failed, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted""")
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit_filters(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
