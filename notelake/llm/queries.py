@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from notelake.llm import (
-    byte_bpe, chats, decontaminate, filter_audit, html_text, katz, near_dup, quality, sharding,
-    token_counts, toxicity,
+    byte_bpe, chats, decontaminate, filter_audit, html_text, katz, near_dup, one_bit, prefix_trie,
+    quality, sharding, token_counts, toxicity,
 )
 from notelake.session import fresh_path
 
@@ -169,3 +169,66 @@ FROM counted""")
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audit_filters(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("""
+WITH given AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+usable AS (
+  SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM given
+  WHERE len(v) = len(list_filter(v, lambda x: isfinite(x))) AND len(list_filter(v, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) / (q.size * c.size) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5""")
+def op11_nearest_vectors(spark, sf_dir):
+    return one_bit.nearest(table(spark, sf_dir, "embeddings"), every=50)
+
+
+@query("""
+WITH codes AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS code
+  FROM range(256) t(i)),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+         {'said': md5(coalesce(role, '')) || md5(coalesce(text, '')),
+          'chars': length(coalesce(text, ''))} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT conv_id, list(said ORDER BY place) AS said FROM turns GROUP BY conv_id),
+plan AS (
+  SELECT l.conv_id, l.said, coalesce(b.said, []) AS lead,
+         xor(list_reduce(list_concat([4294967295], list_transform(
+               range(1, length(CAST(l.conv_id AS VARCHAR)) + 1),
+               lambda i: CAST(ascii(substr(CAST(l.conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+             lambda c, x: xor(code[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 6 AS h
+  FROM lists l LEFT JOIN lists b ON b.conv_id = l.conv_id - l.conv_id % 100, codes),
+rebuilt AS (SELECT conv_id, list_concat(lead[1:h], said[h + 1:]) AS said FROM plan),
+paths AS (
+  SELECT conv_id, depth, len(said) AS n, md5(CAST(said[1:depth] AS VARCHAR)) AS node,
+         CASE WHEN depth > 0 THEN md5(CAST(said[1:depth - 1] AS VARCHAR)) END AS parent,
+         CASE WHEN depth > 0 THEN said[depth].chars ELSE 0 END AS chars
+  FROM rebuilt, unnest(range(len(said) + 1)) AS x(depth)),
+nodes AS (
+  SELECT depth, node, any_value(parent) AS parent, any_value(chars) AS chars, min(conv_id) AS conv_id,
+         count(*) AS n_convs, string_agg(CASE WHEN depth = n THEN CAST(conv_id AS VARCHAR) END, ','
+                                         ORDER BY conv_id) AS ids
+  FROM paths GROUP BY depth, node),
+counted AS (
+  SELECT *, (SELECT count(*) FROM nodes c WHERE c.parent = n.node AND c.depth = n.depth + 1) AS n_children
+  FROM nodes n),
+below AS (
+  SELECT p.depth, p.node, count_if(c.n_children = 0) AS n_leaves,
+         sum((c.n_convs - 1) * c.chars) AS saved_tokens
+  FROM counted c JOIN paths p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY ALL)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, CAST(c.n_children AS BIGINT) AS n_children,
+       CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(c.ids, '')) AS ends_sha256
+FROM counted c JOIN below b ON b.depth = c.depth AND b.node = c.node
+LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.node = c.parent""")
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
