@@ -18,9 +18,9 @@ OTHER_MEMBERS = {
 # Strict JSON, texts of any length.
 PARSING = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false",
            "maxStringLen": "2147483647"}
-# A variant holds at most 128 MiB, which a shorter document cannot reach. Sources of a longer one
-# are read as texts and as lists of texts, which hold what a value of a row can hold.
-VARIANT_SAFE = 1 << 24
+# A variant holds at most so many bytes. The rare larger source is missing from the parsed document and
+# read again as text, which a row holds up to 2 GB of.
+LARGEST_VARIANT = 1 << 27
 
 # Metadata of a rebuilt notebook.
 REBUILT_TAIL = (
@@ -40,7 +40,7 @@ def _wrapped(text: Column, members: str) -> Column:
 def _document(parsed: str) -> Column:
     """The one object, NULL for anything else."""
     whole = F.col(f"{parsed}._malformed").isNull() & (F.size(f"{parsed}.d") == 1)
-    return F.when(whole, F.element_at(f"{parsed}.d", 1))
+    return F.when(whole, F.get(f"{parsed}.d", F.lit(0)))
 
 
 def _kind(value: Column) -> Column:
@@ -71,13 +71,22 @@ def _from_variant(cell: Column) -> Column:
     )
 
 
-def _from_texts(cell: Column, listed: Column) -> Column:
-    lines, text = listed["source"], cell["source"]
-    return F.struct(
-        cell["cell_type"].alias("cell_type"), cell["id"].alias("id"),
-        F.when(lines.isNotNull(), "list").when(text.isNotNull(), "text").otherwise("none")
-        .alias("form"),
-        F.when(lines.isNull(), text).alias("text"), lines.alias("lines"))
+def _from_views(cell: Column, source: dict[str, Column], small: Column) -> Column:
+    """A cell by what its source can be read as; ``small`` is the same cell with a variant, if any.
+
+    What is read as a number, a truth value or an object is no text; it is a variant of its own.
+    """
+    odd = F.when(source["double"].isNotNull() | source["boolean"].isNotNull()
+                 | source["map<string,string>"].isNotNull(), F.try_parse_json(cell["source"]))
+    lines, text = source["array<string>"], cell["source"]
+    form = (F.when(lines.isNotNull(), "list").when(source["map<string,string>"].isNotNull(), "other")
+            .when(text.isNotNull(), "text").otherwise("none"))
+    names = [cell["cell_type"].alias("cell_type"), cell["id"].alias("id")]
+    large = F.struct(*names, form.alias("form"), F.when(lines.isNull(), text).alias("text"),
+                     lines.alias("lines"))
+    return (F.when(small["source"].isNotNull(), _from_variant(small))
+            .when(odd.isNotNull(), _from_variant(F.struct(*names, odd.alias("source"))))
+            .otherwise(large))
 
 
 def parse_notebooks(
@@ -86,25 +95,32 @@ def parse_notebooks(
     """Add ``doc``: the cells and the named members, or NULL where the text is no JSON object.
 
     A cell has its cell_type, id, and source: ``form`` (list, text, none, other), ``text``, ``lines``.
+    One parse serves documents of any size; only one with a source above ``LARGEST_VARIANT`` is read
+    again, with sources of one type at a time.
     """
     text = F.col(content)
     if dict(nb.dtypes)[content] == "binary":
         text = F.try_validate_utf8(text.cast("string"))
     rest = "".join(f",{name}:{kind}" for name, kind in members.items())
-    small = F.length(text) < VARIANT_SAFE
-    long = F.when(~small, text)
-    texts = "cells:array<struct<cell_type:string,id:string,source:string>>"
-    steps = nb.withColumns({
-        "_short": _wrapped(F.when(small, text), CELLS_MEMBER + rest),
-        "_long": _wrapped(long, texts + rest),
-        "_lists": F.from_json(long, "struct<cells:array<struct<source:array<string>>>>", PARSING),
-    }).withColumns({"_short": _document("_short"), "_long": _document("_long")})
-    others = [F.coalesce(F.col(f"_short.{n}"), F.col(f"_long.{n}")).alias(n) for n in members]
-    doc = F.when(F.col("_short").isNotNull() | F.col("_long").isNotNull(), F.struct(
-        F.coalesce(
-            F.transform("_short.cells", _from_variant),
-            F.zip_with("_long.cells", "_lists.cells", _from_texts)).alias("cells"), *others))
-    return add_once(steps, "doc", doc).drop("_short", "_long", "_lists")
+    again = F.col("_again")
+    views = {kind: f"_view{i}" for i, kind in enumerate(
+        ("array<string>", "map<string,string>", "double", "boolean"))}
+    steps = nb.withColumn("_parsed", _wrapped(text, CELLS_MEMBER + rest)).withColumn(
+        "_again", F.when(F.col("_parsed._malformed").isNotNull()
+                         & (F.octet_length(text) > LARGEST_VARIANT), text)).withColumns({
+        "_texts": _wrapped(again, "cells:array<struct<cell_type:string,id:string,source:string>>" + rest),
+        **{name: F.from_json(again, f"struct<cells:array<struct<source:{kind}>>>",
+                             PARSING | {"allowNonNumericNumbers": "false"})["cells"]
+           for kind, name in views.items()}})
+    steps = steps.withColumns({"_small": F.get("_parsed.d", F.lit(0)), "_doc": _document("_parsed"),
+                               "_long": _document("_texts")}).drop("_parsed", "_texts", "_again")
+    cells = F.when(F.col("_long").isNull(), F.transform("_doc.cells", _from_variant)).otherwise(
+        F.transform("_long.cells", lambda cell, i: _from_views(
+            cell, {k: F.get(v, i)["source"] for k, v in views.items()}, F.get("_small.cells", i))))
+    doc = F.when(F.col("_doc").isNotNull() | F.col("_long").isNotNull(), F.struct(
+        cells.alias("cells"),
+        *[F.coalesce(f"_doc.{n}", f"_small.{n}", f"_long.{n}").alias(n) for n in members]))
+    return add_once(steps, "doc", doc).select(*nb.columns, "doc")
 
 
 def source_text(cell: Column) -> Column:

@@ -84,7 +84,7 @@ _COUNTS = """(SELECT cast(l_partkey AS VARCHAR) AS "function", count(*) AS "coun
 
 
 @query(f"""
-SELECT "function", "count", round_even("count" / sum("count") OVER () * 10000, 0) / 100 AS percentage,
+SELECT "function", "count", round_even("count" / sum("count") OVER () * 100 * 100, 0) / 100 AS percentage,
        "rank", CASE WHEN top <= 15 AND bottom <= 15 THEN 'both' WHEN top <= 15 THEN 'top'
                     WHEN bottom <= 15 THEN 'bottom' END AS place
 FROM (SELECT *, row_number() OVER (ORDER BY "count" DESC, "function") AS "rank",

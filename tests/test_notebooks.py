@@ -61,7 +61,7 @@ def test_numbers_print_as_in_python(spark):
 def test_members_beyond_the_size_of_a_variant(spark, tmp_path):
     """Documents are built by Spark: a source, or metadata, of 135 MiB beside an ordinary cell."""
     size = 135 << 20
-    big = F.repeat(F.lit("x"), F.lit(size))
+    big = F.repeat(F.lit("x"), (F.col("id") + size).cast("int"))
     start = '{"cells":[{"cell_type":"code","source":["a","b"]},{"cell_type":"code","source":"'
     text = F.concat(F.lit(start), big, F.lit('"},{"cell_type":"markdown"}]}'))
     nb = spark.range(1).select(F.lit("n").alias("notebook_hash"), text.alias("content"))
@@ -76,12 +76,41 @@ def test_members_beyond_the_size_of_a_variant(spark, tmp_path):
     assert slim["cells"] == [{"cell_type": "code", "source": ["a"], "metadata": {}, "outputs": []}]
 
 
-def test_long_documents_are_read_alike(spark, monkeypatch):
-    wanted = sorted(cellops.explode_cells(frame(spark, TEXTS)).where("notebook_hash <> 'odd'")
-                    .collect())
-    monkeypatch.setattr(cellops, "VARIANT_SAFE", 0)
-    found = cellops.explode_cells(frame(spark, TEXTS)).where("notebook_hash <> 'odd'")
-    assert sorted(found.collect()) == wanted
+def test_padded_documents_are_read_alike(spark):
+    """The size of a document changes nothing: same cells, code text and slim form."""
+    values = [5, 5.0, True, None, {"a": 1}, "5", '["a"]', ["a", "b"], 1e20, "x=1"]
+    nb = {"cells": [{"cell_type": "code", "source": v} for v in values]}
+    padding = "y" * 17_000_000
+    texts = {"small": json.dumps(nb), "large": json.dumps(nb | {"padding": padding})}
+    df = frame(spark, texts).checkpoint()
+    for form, columns in ((cellops.explode_cells, ["cell_pos", "cell_type", "source"]),
+                          (cellops.code_text, ["code_text"]), (cellops.slim_notebooks, ["slim"])):
+        rows = {}
+        for r in form(df).select("notebook_hash", F.struct(columns).alias("row")).collect():
+            rows.setdefault(r.notebook_hash, []).append(str(r.row))
+        assert sorted(rows["small"]) == sorted(rows["large"]), form
+    assert {r.code_text for r in cellops.code_text(df).select("code_text").collect()} == {
+        '5\n["a"]\nab\nx=1'}
+
+
+def test_sources_beyond_the_size_of_a_variant_keep_their_form(spark):
+    """A list, a text and an object of 135 MiB each, beside cells whose form has to stay."""
+    big = F.repeat(F.lit("x"), (F.col("id") + (135 << 20)).cast("int"))
+    cell = '{"cell_type":"code","source":%s}'
+    small = F.lit(",".join(cell % v for v in ("5", "true", '"NaN"', '["a"]')))
+    for opening, closing, form, size in (('["', '","b"]', "list", 1), ('"[', '"', "text", 1),
+                                         ('{"a":"', '"}', "other", 8)):
+        text = F.concat(
+            F.lit('{"cells":['), small, F.lit(',{"cell_type":"code","source":' + opening), big,
+            F.lit(closing + "}]}"))
+        nb = spark.range(1).select(F.lit("n").alias("notebook_hash"), text.alias("content"))
+        doc = cellops.parse_notebooks(nb).select(F.posexplode("doc.cells").alias("i", "c")).select(
+            "i", "c.form", F.length(cellops.source_text(F.col("c"))).alias("n"))
+        assert [tuple(r) for r in doc.orderBy("i").collect()] == [
+            (0, "other", 1), (1, "other", 4), (2, "text", 3), (3, "list", 1),
+            (4, form, (135 << 20) + size)]
+    broken = nb.withColumn("content", F.concat("content", F.lit("]")))
+    assert cellops.parse_notebooks(broken).where("doc is not null").count() == 0
 
 
 def test_names_are_relative_to_the_resolved_root(spark, tmp_path):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from notelake.operators import aggregates as agg, position, ranking
+from notelake.operators import aggregates as agg, position, quantiles, ranking
 from notelake.operators.ordering import global_index, number_in_notebook
 from notelake.operators.quantiles import exact_quantiles
 
@@ -195,3 +195,40 @@ def test_shares_and_ratios(spark):
     assert [r.percentage for r in agg.share_of_total(df, "n").orderBy("f").collect()] == [
         33.33, 66.67, 0.0]
     assert tuple(agg.mean_ratio(df, "n", "d").first()) == (2, 1.25)
+
+
+def test_quantiles_of_extreme_values(spark):
+    """Values next to powers of two, subnormal, huge, negative and infinite ones, on the bit."""
+    inf = float("inf")
+    rng = random.Random(6)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, inf, -inf,
+              1.7976931348623157e308, -1.7976931348623157e308]
+    for e in range(-1070, 1024, 7):
+        for x in (2.0**e, np.nextafter(2.0**e, 0), np.nextafter(2.0**e, inf)):
+            values += [float(x), -float(x)]
+    values += [rng.uniform(0.1, 0.1000001) for _ in range(500)] + [0.3] * 700
+    rng.shuffle(values)
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    n = len(values)
+    wanted = sorted(values)
+    ranks = set(range(0, n, 37)) | {0, n - 1}
+    found = quantiles._values_at(df, {"x": ranks})
+    assert {r: found["x", r] for r in ranks} == {r: wanted[r] for r in ranks}
+
+
+def test_quantiles_sort_no_values_and_stop_early(spark):
+    """Whole numbers and repeated values take two passes; at most four are ever needed."""
+    df = spark.range(20_000).selectExpr("id % 50 as a", "id as b", "cast(id as double) / 7 as c")
+    passes, kind = [], type(df)
+    real = kind.collect
+    try:
+        kind.collect = lambda self: passes.append(self) or real(self)
+        found = exact_quantiles(df, ["a"], (0.25, 0.5))
+        assert found == {"a": [12.0, 24.5]} and len(passes) == 2
+        passes.clear()
+        exact_quantiles(df, ["a", "b", "c"], (0.25, 0.5, 0.75))
+        assert len(passes) <= 4
+    finally:
+        kind.collect = real
+    text = passes[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text
