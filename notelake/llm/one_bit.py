@@ -38,7 +38,8 @@ BLOCK = 4096
 BITS_PER_COMPONENT, LEAST_BITS = 4, 256
 SIGMAS = 5.0
 SLICE = 1024
-PAIRS = 1 << 18
+# Numbers of the vectors that are scored at once.
+SCORED = 1 << 21
 
 
 def code_bits(width: int) -> int:
@@ -113,17 +114,23 @@ class Search:
     """A block of query vectors of one length."""
 
     def __init__(self, vectors: np.ndarray, k: int):
-        self.vectors, self.best = vectors, Best(len(vectors), k)
-        self.turned = unit(vectors).astype(np.float32) @ rotation(vectors.shape[1])
+        self.vectors, self.unit, self.best = vectors, unit(vectors), Best(len(vectors), k)
+        self.turned = self.unit.astype(np.float32) @ rotation(vectors.shape[1])
 
     def scan(self, ids, vectors, codes, own) -> None:
         begin, size = 0, 64  # the first slices are small: every pair of them is scored
+        step = max(1, SCORED // vectors.shape[1])
         while begin < len(ids):
             part = slice(begin, begin + size)
             near = upper_bounds(codes[part], own[part], self.turned) >= self.best.score[:, -1]
             row, query = np.nonzero(near)
-            for at in range(0, len(row), PAIRS):
-                r, q = row[at:at + PAIRS] + begin, query[at:at + PAIRS]
+            scaled = unit(vectors[part])
+            for at in range(0, len(row), step):
+                r, q = row[at:at + step], query[at:at + step]
+                # Close enough to tell who may be among the best, but its last digits vary.
+                cosine = np.einsum("ij,ij->i", self.unit[q], scaled[r])
+                close = cosine >= self.best.score[q, -1] - 1e-9
+                r, q = r[close] + begin, q[close]
                 self.best.add(q, ids[r], exact(self.vectors[q], vectors[r]))
             begin, size = begin + size, min(4 * size, SLICE)
 
