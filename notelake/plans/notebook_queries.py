@@ -520,6 +520,26 @@ def streamed_first_links(spark, sf_dir):
     return spark.read.parquet(target).select("file_url", "hash")
 
 
+_KNOWN = f"""(SELECT sha1(file_url) FROM {_HITS} WHERE keyword = 'click' AND repo_name < 'u5')"""
+
+
+@query(f"""
+SELECT sha1(file_url) AS hash, file_url, min(seq) AS seq, arg_min(repo_name, seq) AS repo_name,
+       arg_min(keyword, seq) AS keyword, arg_min(found_at, seq) AS found_at
+FROM {_HITS} WHERE sha1(file_url) NOT IN {_KNOWN} GROUP BY file_url""")
+def streamed_unmapped_links(spark, sf_dir):
+    """The link map of an earlier run is the state a fresh stream starts with."""
+    hits = fx.event_hits(spark, sf_dir)
+    known = curate.link_map(hits.where("keyword = 'click' and repo_name < 'u5'"))
+    path, target = fresh_path(spark, "map"), fresh_path(spark, "links")
+    known.write.parquet(path)
+    streams.first_seen_stream(
+        fx.event_hits(_Streamed(spark), sf_dir), target, fresh_path(spark, "progress"),
+        known=spark.read.parquet(path), order="seq").awaitTermination()
+    return spark.read.parquet(target).select(
+        "hash", "file_url", "seq", "repo_name", "keyword", "found_at")
+
+
 @query(f'SELECT * FROM ({_OP_ROWS}) ORDER BY "function"')
 def streamed_call_summary(spark, sf_dir):
     target = fresh_path(spark, "summary")

@@ -12,10 +12,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from notelake.functions.cellsyntax import Vocabulary
 from notelake.functions.links import link_key
@@ -72,30 +74,90 @@ def metrics_stream(
     return _write(metrics_of(cell_facts(cells, vocab)), target, checkpoint)
 
 
-def _first_of_each_hash(batches):
-    for batch in batches:
-        numbered = pa.table({"hash": batch.column("hash"), "row": np.arange(batch.num_rows)})
-        first = numbered.group_by("hash", use_threads=False).aggregate([("row", "min")])
-        yield batch.take(first.column("row_min").combine_chunks())
+def _first_of_each_hash(order: str | None):
+    """Keep one row per hash of an Arrow batch: the first, or the first by ``order``."""
+    def run(batches):
+        for batch in batches:
+            rows = np.arange(batch.num_rows)
+            if order is not None:
+                rows = pc.sort_indices(batch.column(order), null_placement="at_end").to_numpy()
+            numbered = pa.table({"hash": batch.column("hash").take(pa.array(rows)),
+                                 "at": np.arange(len(rows))})
+            first = numbered.group_by("hash", use_threads=False).aggregate([("at", "min")])
+            kept = rows[first.column("at_min").combine_chunks().to_numpy()]
+            yield batch.take(pa.array(kept))
+    return run
+
+
+class _FirstSeen(StatefulProcessor):
+    """State of a link hash: when to forget it (0: never). Known hashes come in as initial state."""
+
+    def __init__(self, order: str | None, delay_ms: int | None):
+        self.order, self.delay_ms = order, delay_ms
+
+    def init(self, handle):
+        self.handle, self.seen = handle, handle.getValueState("seen", "until long")
+
+    def _remember(self, found_at) -> None:
+        until = 0
+        if self.delay_ms is not None and found_at is not None:
+            until = int(found_at.timestamp() * 1000) + self.delay_ms
+            self.handle.registerTimer(until)
+        self.seen.update((until,))
+
+    def handleInitialState(self, key, initialState, timerValues):
+        self._remember(initialState["found_at"])
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.seen.exists():
+            return
+        first = None
+        for row in rows:
+            if first is None or (self.order is not None and row[self.order] is not None and (
+                    first[self.order] is None or row[self.order] < first[self.order])):
+                first = row
+        self._remember(first["found_at"] if self.delay_ms is not None else None)
+        yield first
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.seen.clear()
+        return iter(())
+
+
+def _milliseconds(delay: str) -> int:
+    span = F.expr(f"unix_millis(timestamp_seconds(0) + interval {delay})")
+    return SparkSession.active().range(1).select(span).first()[0]
 
 
 def first_seen_stream(
-    links: DataFrame, target: str, checkpoint: str, delay: str | None = None
+    links: DataFrame, target: str, checkpoint: str, delay: str | None = None,
+    known: DataFrame | None = None, order: str | None = None,
 ) -> StreamingQuery:
     """Stream of ``file_url`` rows -> the first row of each link hash.
 
     State keeps every hash, on disk (RocksDB) rather than in memory. With ``delay`` hashes are
     forgotten once ``found_at`` is that far behind; a link that comes back later is then a first
-    one again.
+    one again. The hashes of ``known`` (a link map, read when the query first starts) count as seen,
+    until ``delay`` after their ``found_at`` if the map has one. Of a link's rows in one batch the
+    least by ``order`` is kept, or without it any.
     """
     hashed = links.withColumn("hash", link_key(F.col("file_url")))
     # A link that fills much of the input is thinned out before it meets the one task that keeps
     # its state.
-    keyed = hashed.mapInArrow(_first_of_each_hash, hashed.schema)
-    if delay is None:
-        first = keyed.dropDuplicates(["hash"])
+    keyed = hashed.mapInArrow(_first_of_each_hash(order), hashed.schema)
+    if delay is not None:
+        keyed = keyed.withWatermark("found_at", delay)
+    if known is None and order is None:
+        first = (keyed.dropDuplicates(["hash"]) if delay is None
+                 else keyed.dropDuplicatesWithinWatermark(["hash"]))
     else:
-        first = keyed.withWatermark("found_at", delay).dropDuplicatesWithinWatermark(["hash"])
+        last = F.max("found_at") if known is not None and "found_at" in known.columns else F.lit(None)
+        seen = None if known is None else known.where("hash is not null").groupBy("hash").agg(
+            last.cast("timestamp").alias("found_at")).groupBy("hash")
+        milliseconds = None if delay is None else _milliseconds(delay)
+        first = keyed.groupBy("hash").transformWithState(
+            _FirstSeen(order, milliseconds), hashed.schema, "append",
+            "none" if delay is None else "eventTime", seen)
     with _on_disk(links.sparkSession):
         return _write(first, target, checkpoint)
 
