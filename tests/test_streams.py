@@ -103,15 +103,15 @@ def test_known_links_are_forgotten_after_the_delay(spark, tmp_path):
         F.sha1("url").alias("hash"), F.timestamp_seconds("at").alias("found_at"))
     stream = hits_in_files(spark, path, 0, 7)
     seen = []
-    for start in (0, 5_000, 20_000):
+    for start in (0, 5_000, 20_000, 30_000):
         if start:
             hits_in_files(spark, path, start, start + 7)
         run(streams.first_seen_stream(stream(), out, progress, "1 hour", known, "seq"))
         seen.append(sorted(r.file_url for r in spark.read.parquet(out).collect()))
     assert seen[0] == ["f1", "f2", "f4", "f5", "f6"]
-    # What was seen at 0 s is forgotten once the watermark passes 3,600 s, what was known at 9,000 s
-    # only after that.
-    assert seen[2].count("f0") >= 1 and seen[2].count("f3") <= 1 and seen[1].count("f3") == 0
+    # Files of one run may come in any order; a run starts with the watermark of the run before.
+    assert not {"f0", "f3"} & set(seen[1])
+    assert seen[3].count("f0") >= 1 and seen[3].count("f3") >= 1
 
 
 def test_replayed_batches_change_nothing(spark, tmp_path):
