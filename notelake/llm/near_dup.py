@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from notelake.llm.components import connected_components, stored
-from notelake.llm.texts import Texts, Words, map_texts, mix, pieces, window_hashes
+from notelake.llm.texts import Texts, Words, give_back, map_texts, mix, pieces, window_hashes
 
 WIDTH = 5
 ROWS, BANDS = 4, 32
@@ -156,6 +156,7 @@ def needed_sets(docs: DataFrame, keys: DataFrame, text: str) -> DataFrame:
                         found[name] = hashes
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(found), pa.binary()), lists(list(found.values()))], ["key", "set"])
+        give_back()
 
     sets = docs.select(F.col(text).cast("string").alias("_0")).mapInArrow(
         run, "key binary, set array<bigint>")
@@ -316,6 +317,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 names = [digest(s) for s in shingle_sets(part.column(0))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(1), pa.array(names, pa.binary())], ["row", "digest"])
+        give_back()
 
     named = docs.select(F.col(text).cast("string").alias("_text"),
                         F.struct(*(F.col(c) for c in docs.columns)).alias("row")

@@ -29,7 +29,9 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
 from notelake.llm.components import stored
-from notelake.llm.texts import SPACES, Texts, Words, map_texts, pieces, window_hashes
+from notelake.llm.texts import (
+    FILTERED, SPACES, Texts, Words, give_back, map_texts, pieces, window_hashes,
+)
 from notelake.session import fresh_path
 
 # The signs that count as symbols, and the thresholds of the word rules.
@@ -256,7 +258,7 @@ def keep_good(docs: DataFrame, vocab: str, text: str = "text", lang: str = "lang
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, 0):
+            for part in pieces(batch, 0, FILTERED):
                 first = pa.RecordBatch.from_arrays([part.column(0)] * 2, ["a", "b"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(2), part.column(1)]
@@ -264,6 +266,7 @@ def keep_good(docs: DataFrame, vocab: str, text: str = "text", lang: str = "lang
                        for a in measure_texts(first, vocab)],
                     ["row", "group", *names])
         fertility(vocab).known.clear()
+        give_back()
 
     measured = docs.select(*columns).mapInArrow(run, f"row {row}, group string, {MEASURES}")
     measured.withColumn("group", F.coalesce("group", F.lit(""))).write.parquet(path)

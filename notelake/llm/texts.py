@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,6 +18,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 PIECE = 2 << 20
+# Filters keep whole rows beside the arrays they make of a slice, so their slices are smaller.
+FILTERED = 1 << 19
+
+
+def give_back() -> None:
+    """Return memory that was freed to the system, at the end of a partition.
+
+    Workers outlive their stage; what they hold while idle counts against the executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # there with glibc
+    if trim is not None:
+        trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -128,15 +142,18 @@ def slices(texts: list[str], limit: int = 1 << 20):
 
 def filter_texts(df: DataFrame, text: str, test: Callable[[list[str]], np.ndarray]) -> DataFrame:
     """The rows for whose texts ``test`` is true, a slice at a time; the columns of ``df``."""
-    row = F.struct(*(F.col(c) for c in df.columns)).alias("row")
+    at = df.columns.index(text)
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, 0):
+            rows = batch.column(0)
+            texts = rows.field(at).cast(pa.string())  # the text is sent once, inside its row
+            for part in pieces(pa.RecordBatch.from_arrays([texts, rows], ["_", "row"]), 0, FILTERED):
                 good = test([t or "" for t in part.column(0).to_pylist()])
                 yield part.filter(pa.array(good, pa.bool_())).select(["row"])
+        give_back()
 
-    return df.select(F.col(text).cast("string").alias("_text"), row).mapInArrow(
+    return df.select(F.struct(*(F.col(c) for c in df.columns)).alias("row")).mapInArrow(
         run, f"row {df.schema.simpleString()}").select("row.*")
 
 
@@ -159,6 +176,7 @@ def map_texts(df: DataFrame, key: str, text: str, schema: str,
                     [a if isinstance(a, pa.Array) else pa.array(a) for a in work(part)], fields)
         if done:
             done()
+        give_back()
 
     return source.mapInArrow(run, schema)
 

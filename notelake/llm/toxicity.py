@@ -238,4 +238,8 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    return filter_texts(docs, text, lambda texts: sent.value.score(texts) < 0.5)
+    def clean(texts: list[str]) -> np.ndarray:
+        parts = [sent.value.score(texts[a:b]) for a, b in slices(texts, 1 << 18)]
+        return np.concatenate(parts or [[]]) < 0.5
+
+    return filter_texts(docs, text, clean)
