@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from notelake.llm.byte_bpe import byte_letters
-from notelake.llm.texts import map_texts
+from notelake.llm.texts import BASE, BYTE_VALUE, map_texts, mix, powers
 
 # Classes of characters. Fixed value: the letters of the contractions 's 't 're 've 'm 'll 'd.
 SPACE, LETTER, NUMBER, QUOTE, OTHER, CUT = range(6)
@@ -113,17 +113,26 @@ class Transitions:
             rest = rest[(found != keys[rest]) & (found >= 0)]
         return slots
 
-    def put(self, key: int, to: int, add: int) -> None:
-        if self.used * 4 >= len(self.keys):
-            old, full = (self.keys, self.next, self.adds), self.keys >= 0
-            used = self.used
-            self.__init__(len(self.keys).bit_length())
-            for k, t, a in zip(*(column[full].tolist() for column in old)):
-                self.put(k, t, a)
-            assert self.used == used
-        slot = self.slots(np.array([key]))[0]
-        self.used += self.keys[slot] < 0
-        self.keys[slot], self.next[slot], self.adds[slot] = key, to, add
+    def put(self, keys: np.ndarray, to: np.ndarray, adds: np.ndarray) -> None:
+        """Add transitions whose keys are new and different."""
+        if (self.used + len(keys)) * 4 >= len(self.keys):
+            full = self.keys >= 0
+            old = self.keys[full], self.next[full], self.adds[full]
+            bits = len(self.keys).bit_length() - 1
+            while (self.used + len(keys)) * 4 >= 1 << bits:
+                bits += 1
+            self.__init__(bits)
+            self.put(*old)
+        self.used += len(keys)
+        while len(keys):
+            slots = self.slots(keys)
+            # Of keys that want one slot the first gets it, the others look on from there.
+            _, first = np.unique(slots, return_index=True)
+            at = slots[first]
+            self.keys[at], self.next[at], self.adds[at] = keys[first], to[first], adds[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, to, adds = keys[rest], to[rest], adds[rest]
 
 
 class TokenMachine:
@@ -178,7 +187,8 @@ class TokenMachine:
             found = self.fits[key] = self.merge(symbols) == wanted
         return found
 
-    def build(self, number: int, symbol: int) -> None:
+    def build(self, number: int, symbol: int) -> tuple[int, int]:
+        """The next state and the tokens added."""
         state = self.states[number]
         if symbol == END:
             ends = [since for s, t, since in state
@@ -196,7 +206,7 @@ class TokenMachine:
             token, add = last[0][0], last[0][1] + 1
             kept = [(s, t, since - add) for s, t, since in grown if s in self.growing]
             to = self.number((*kept, (b"", token, 0)))
-        self.moves.put(number * SYMBOLS + symbol, to, add)
+        return to, add
 
     def run(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens that each symbol adds. ``ends``: positions behind the END symbols.
@@ -220,8 +230,9 @@ class TokenMachine:
             slots = self.moves.slots(keys)
             new = self.moves.keys[slots] < 0
             if new.any():
-                for key in np.unique(keys[new]).tolist():
-                    self.build(*divmod(key, SYMBOLS))
+                missing = np.unique(keys[new])
+                built = [self.build(*divmod(key, SYMBOLS)) for key in missing.tolist()]
+                self.moves.put(missing, *np.array(built, np.int32).T)
                 slots = self.moves.slots(keys)
             out[at[:n]] = self.moves.adds[slots]
             state[:n] = self.moves.next[slots]
@@ -264,6 +275,35 @@ class Counter:
         text = text.replace("Σ", "σ").lower()
         return text.translate(self.late) if self.late else text
 
+    def of_pieces(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Tokens of each piece; piece i is data[at[i]:at[i + 1]].
+
+        A piece adds the same tokens wherever it stands, so the machine reads different ones only.
+        Hashes tell equal pieces, and a comparison of all bytes confirms it.
+        """
+        size = np.diff(at)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_VALUE[data] * powers(BASE, len(data)), out=sums[1:])
+        back = powers(pow(BASE, -1, 1 << 64), len(data) + 1)
+        hashes = mix((sums[at[1:]] - sums[at[:-1]]) * back[at[:-1]] + size.astype(np.uint64))
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        same = np.repeat(at[first][which] - at[:-1], size) + np.arange(len(data))
+        equal = (size == size[first][which]) & ~np.logical_or.reduceat(
+            data != data[np.minimum(same, len(data) - 1)], at[:-1])
+        read = np.concatenate([first, np.flatnonzero(~equal)])
+        which = np.where(equal, which, 0)
+        which[~equal] = np.arange(len(first), len(read))
+        # The pieces that are read, each followed by END.
+        ends = np.cumsum(size[read] + 1)
+        symbols = np.full(int(ends[-1]), END, np.int64)
+        begin = ends - size[read] - 1
+        inside = np.arange(len(symbols)) - np.repeat(begin, size[read] + 1)
+        taken = np.ones(len(symbols), bool)
+        taken[ends - 1] = False
+        symbols[taken] = data[(np.repeat(at[read], size[read] + 1) + inside)[taken]]
+        tokens = np.concatenate([[0], np.cumsum(self.machine.run(symbols, ends))])
+        return (tokens[ends] - tokens[begin])[which]
+
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
         special = np.zeros(len(texts), np.int64)
@@ -296,22 +336,18 @@ class Counter:
         # A piece closes where the next character opens one or lies between pieces.
         closes = inside.copy()
         closes[:-1] &= opens[1:] | ~inside[1:]
-        # Bytes of the characters inside pieces, each piece followed by END.
+        # Bytes of the characters inside pieces.
         points = chars[inside]
-        shut = closes[inside]
         width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         data = np.frombuffer(points.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
-        behind = np.cumsum(width + shut)  # position behind each character and its END
-        symbols = np.full(int(behind[-1]) if len(behind) else 0, END, np.int64)
-        taken = np.ones(len(symbols), bool)
-        ends = behind[shut]
-        taken[ends - 1] = False
-        symbols[taken] = data
-        sums = np.concatenate([[0], np.cumsum(self.machine.run(symbols, ends))])
-        # Characters inside pieces before each text, then symbols before it, then tokens.
+        shut = np.flatnonzero(closes[inside]) + 1
+        if not len(shut):
+            return special
+        at = np.concatenate([[0], np.cumsum(width)[shut - 1]])
+        tokens = np.concatenate([[0], np.cumsum(self.of_pieces(data, at))])
+        # Characters inside pieces before each text, then pieces before it.
         before = np.concatenate([[0], np.cumsum(inside)])[bounds]
-        tokens = sums[np.concatenate([[0], behind])[before]]
-        return special + np.diff(tokens)
+        return special + np.diff(tokens[np.searchsorted(shut, before, "right")])
 
     def opens(self, kinds: np.ndarray) -> np.ndarray:
         """Where pieces begin."""
