@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from notelake.functions.links import link_key
 from notelake.operators import aggregates as agg, cells, curate, ranking
 from notelake.session import fresh_path
+from notelake.sources.paging import read_page
 from notelake.sources.tables import page, skip_existing
 
 
@@ -35,14 +36,18 @@ def discover(ascending: DataFrame, descending: DataFrame, stored: DataFrame) ->
     return stored.select("id", *columns).unionByName(numbered.select("id", *columns))
 
 
-def fetch(hits: DataFrame, captured: DataFrame, written: DataFrame, mapped: DataFrame,
+def fetch(hits: DataFrame | str, captured: DataFrame, written: DataFrame, mapped: DataFrame,
           limit: int | None = None, offset: int = 0) -> tuple[DataFrame, DataFrame]:
     """A page of hits and the captured files (file_url, content) -> (notebooks, links) to add.
 
+    ``hits`` may be the path of a table stored by ``write_paged``, of which only the page is read.
+
     Only notebooks that qualify and are not yet in ``written`` (hash) are stored, slim or else as
     they are, and only their links are mapped.
     """
-    rows = page(hits, limit, offset).join(captured, "file_url")
+    paged = (read_page(captured.sparkSession, hits, limit, offset) if isinstance(hits, str)
+             else page(hits, limit, offset))
+    rows = paged.join(captured, "file_url")
     kept = curate.qualify(rows).where("kept").withColumn("hash", link_key(F.col("file_url")))
     new = curate.keep_first(skip_existing(kept, written), ["hash"], ["id"])
     notebooks = _stored(

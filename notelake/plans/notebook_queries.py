@@ -11,6 +11,7 @@ from notelake.plans.registry import query
 from notelake.schemas import CELLS, METRICS, PEAK_METRICS
 from notelake.session import fresh_path
 from notelake.sources import tables
+from notelake.sources.notebook_files import scan_packed, write_notebook_files
 from notelake.sources.notebooks import scan_notebooks
 from notelake.streaming import streams
 
@@ -138,6 +139,21 @@ def written_notebooks(spark, sf_dir):
     return lines.select("notebook_hash", F.array_join("lines.json", "").alias("document"))
 
 
+@query(f"""
+SELECT form, notebook_hash || '.ipynb' AS notebook_hash, document
+FROM (SELECT notebook_hash, string_agg(json, '' ORDER BY line) AS document
+      FROM {_REBUILT} GROUP BY notebook_hash), (SELECT unnest(['files', 'archives']) AS form)""")
+def notebook_files_and_archives(spark, sf_dir):
+    """Written as a file each and as archives, and read back by the library's scans."""
+    lines = cellops.rebuild_notebooks(*cellops.split_cells(fx.conversation_cells(spark, sf_dir)))
+    files, archives = fresh_path(spark, "files"), fresh_path(spark, "archives")
+    write_notebook_files(lines, files)
+    write_notebook_files(lines, archives, buckets=8)
+    found = scan_notebooks(spark, files).withColumn("form", F.lit("files")).unionByName(
+        scan_packed(spark, archives).withColumn("form", F.lit("archives")))
+    return found.select("form", "notebook_hash", F.col("content").cast("string").alias("document"))
+
+
 @query(f"""
 SELECT count(*) FILTER (conv_id % 3 <> 0) AS converted,
        count(*) FILTER (conv_id % 3 = 0) AS raw_fallback

@@ -10,7 +10,7 @@ from notelake.operators.ordering import with_cell_pos
 from notelake.plans.fixtures import conversation_cells, event_hits, page_links, table
 from notelake.plans.registry import query
 from notelake.session import fresh_path
-from notelake.sources import tables
+from notelake.sources import paging, tables
 
 # ---- scans and sinks --------------------------------------------------------------------------
 
@@ -105,6 +105,26 @@ def page_to_the_end(spark, sf_dir):
     return tables.page(event_hits(spark, sf_dir), limit=0, offset=500)
 
 
+_PAGED = """
+SELECT {} AS page, event_id AS id, 'u' || user_id || '/r' AS repo_name,
+       'https://github.com/u' || user_id || '/r/blob/main/' || event_type || '.ipynb' AS file_url,
+       event_type AS keyword
+FROM (SELECT * FROM events ORDER BY event_id LIMIT {} OFFSET {})"""
+_PAGES = ((1, 100, 50), (2, 700, 300), (3, 0, 900))
+
+
+@query(" UNION ALL ".join(_PAGED.format(n, limit or "NULL", offset) for n, limit, offset in _PAGES))
+def pages_of_stored_hits(spark, sf_dir):
+    """Stored in two runs: hits after the middle are appended to a table that is there."""
+    hits, path = event_hits(spark, sf_dir), fresh_path(spark, "paged")
+    middle = hits.agg(F.expr("percentile_disc(0.5) within group (order by id)")).first()[0]
+    paging.write_paged(hits.where(F.col("id") <= middle), path, 256)
+    paging.append_paged(hits.where(F.col("id") > middle), path, 256)
+    pages = [paging.read_page(spark, path, limit, offset, 256).withColumn("page", F.lit(n))
+             for n, limit, offset in _PAGES]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 @query("""
 SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events""")
 def append_after_truncate(spark, sf_dir):

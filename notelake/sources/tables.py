@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from notelake.operators.ordering import global_index
+from notelake.sources.paging import PAGE_TEXTS, page_columns
 
 # CSV dialect (minimal quoting, doubled quotes) that returns every text unchanged.
 DIALECT = {
@@ -161,18 +162,16 @@ def page(hits: DataFrame, limit: int | None = None, offset: int = 0) -> DataFram
     """Rows ``offset`` to ``offset + limit`` by id, in order; no limit when it is missing or not
     positive.
 
-    Rows without a link are dropped after paging; other NULL texts become "".
+    Rows without a link are dropped after paging; other NULL texts become "". For more than a page or
+    two of one table, store it with ``paging.write_paged``.
     """
-    texts = ["repo_name", "file_url", "keyword"]
     # One plan for every page: a plain OFFSET or a large LIMIT would send all rows through one task.
     at = F.col("_index")
     inside = at >= offset
     if limit is not None and limit > 0:
         inside &= at < offset + limit
-    rows = global_index(hits.select("id", *texts), [F.col("id")], "_index").where(inside)
-    return rows.orderBy("_index").select(
-        "id", *[F.coalesce(t, F.lit("")).alias(t) for t in texts]
-    ).where("file_url != ''")
+    rows = global_index(hits.select("id", *PAGE_TEXTS), [F.col("id")], "_index").where(inside)
+    return page_columns(rows.orderBy("_index"))
 
 
 def skip_existing(
