@@ -565,11 +565,29 @@ def streamed_call_summary(spark, sf_dir):
     return streams.latest_summary(spark, target)
 
 
-@query(f"SELECT file_url, min(seq) AS seq FROM {_HITS} GROUP BY file_url")
+@query(f"""
+SELECT file_url, sha1(file_url) AS hash, min(seq) AS seq, arg_min(repo_name, seq) AS repo_name,
+       arg_min(repo_url, seq) AS repo_url, arg_min(search_query, seq) AS search_query,
+       arg_min(keyword, seq) AS keyword, arg_min(found_at, seq) AS found_at
+FROM {_HITS} GROUP BY file_url""")
 def streamed_hits_table(spark, sf_dir):
     target = fresh_path(spark, "hits")
     hits = fx.event_hits(_Streamed(spark), sf_dir)
     # The second run meets every link again and adds nothing.
     for _ in range(2):
         streams.merge_stream(hits, target, fresh_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(target).select("file_url", "seq")
+    return spark.read.parquet(target).select(
+        "file_url", "hash", "seq", "repo_name", "repo_url", "search_query", "keyword", "found_at")
+
+
+@query(f"""
+SELECT batch, count(*) AS rows, count(*) FILTER (first) AS inserted FROM (
+  SELECT seq % 5 AS batch, row_number() OVER (PARTITION BY file_url ORDER BY seq % 5, seq) = 1 AS first
+  FROM {_HITS}) GROUP BY batch""")
+def hits_per_merged_batch(spark, sf_dir):
+    """Five batches over one table, with more of them than are kept side by side."""
+    hits, target = fx.event_hits(spark, sf_dir), fresh_path(spark, "merged")
+    counts = [(n, streams.merge_batch(hits.where(F.col("seq") % 5 == n), target, f"b-{n}", most=3))
+              for n in range(5)]
+    return spark.createDataFrame([(n, c["rows"], c["inserted"]) for n, c in counts],
+                                 "batch long, rows long, inserted long")

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -25,14 +25,13 @@ from notelake.operators.aggregates import op_counts, op_summary
 from notelake.operators.cells import explode_cells
 from notelake.operators.curate import insert_or_ignore
 from notelake.operators.metrics import cell_facts, metrics_of
+from notelake.sources.keyindex import may_hold, stored_filters, write_filter
 from notelake.sources.notebooks import scan_notebooks
 from notelake.sources.tables import load_vocab
 
 # The setting of the state store and its form on disk.
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# Hexadecimal digits of a link's hash that name its folder in the hits table.
-PREFIX = 2
 
 # Functions that run on the executors travel by value, the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -190,37 +189,125 @@ def latest_summary(spark: SparkSession, target: str) -> DataFrame:
     return batches.where(F.col("batch") == last).drop("batch")
 
 
-def _folder() -> Column:
-    return F.left(link_key(F.col("file_url")), F.lit(PREFIX)).alias("prefix")
+class HitsTable:
+    """The hits table at ``path``: a folder per batch, and per batch the Bloom filter of its link hashes.
 
+    ``batch=<label>`` holds the rows, ``_filters/<label>`` the filter; the rows of a batch count once its
+    filter is complete. ``_merging`` is the record of a merge under way. One query writes a table at a
+    time; readers of ``path`` see the batches and nothing of the rest.
+    """
 
-def merge_batch(batch: DataFrame, target: str, label: str) -> None:
-    """Add the unseen links of a batch to the hits table at ``target``.
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.hadoop = spark._jvm.org.apache.hadoop.fs
+        self.store = self.hadoop.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.hadoop.Path(f"{self.path}/{name}")
+
+    def _listed(self, folder: str) -> list[str]:
+        if not self.store.exists(self._at(folder)):
+            return []
+        return sorted(f.getPath().getName() for f in self.store.listStatus(self._at(folder)))
+
+    def _complete(self, folder: str) -> bool:
+        return self.store.exists(self._at(f"{folder}/_SUCCESS"))
+
+    def rows_folder(self, label: str) -> str:
+        return f"{self.path}/batch={label}"
+
+    def labels(self) -> list[str]:
+        return sorted(n for n in self._listed("_filters") if self._complete(f"_filters/{n}"))
+
+    def read(self, labels: list[str], columns: str) -> DataFrame:
+        """The named columns of the rows of some batches; no other file is read."""
+        if not labels:
+            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(*map(self.rows_folder, labels))
+
+    def filters(self, labels: list[str]) -> DataFrame:
+        return stored_filters(self.spark, {n: f"{self.path}/_filters/{n}" for n in labels})
+
+    def put(self, rows: DataFrame, label: str) -> int:
+        """Write a batch, rows first; their number is read from the footers of the files."""
+        hashed = rows.withColumn("hash", link_key(F.col("file_url")))
+        hashed.sortWithinPartitions("hash").write.mode("overwrite").parquet(self.rows_folder(label))
+        keys = self.read([label], "hash string")
+        write_filter(keys, "hash", f"{self.path}/_filters/{label}")
+        return keys.count()
+
+    def remove(self, label: str) -> None:
+        for folder in (f"_filters/{label}", f"batch={label}"):
+            self.store.delete(self._at(folder), True)
+
+    def merge_small(self, most: int, kept: str) -> None:
+        """With more than ``most`` batches put the smaller half of them (but ``kept``) into one.
+
+        The new batch is written under a hidden name and recorded with what it replaces; from the record
+        on a merge that was cut off is finished, before it is undone.
+        """
+        self.finish_merge()
+        labels = self.labels()
+        if len(labels) <= most:
+            return
+        size = {n: self.store.getContentSummary(self._at(f"batch={n}")).getLength() for n in labels}
+        old = sorted((n for n in labels if n != kept), key=lambda n: (size[n], n))[:-(most // 2) or None]
+        schema = self.spark.read.parquet(*map(self.rows_folder, old)).schema
+        rows = self.spark.read.schema(schema).parquet(*map(self.rows_folder, old))
+        new = f"merged-{uuid.uuid4().hex}"
+        rows.sortWithinPartitions("hash").write.parquet(f"{self.path}/_merging/rows")
+        write_filter(self.spark.read.parquet(f"{self.path}/_merging/rows"), "hash",
+                     f"{self.path}/_merging/filter")
+        self.spark.createDataFrame([(n, new) for n in old], "old string, new string").write.parquet(
+            f"{self.path}/_merging/record")
+        self.finish_merge()
+
+    def repair(self) -> None:
+        """Finish what a lost driver left: a merge on record, rows without their filter."""
+        self.finish_merge()
+        known = set(self.labels())
+        for folder in self._listed("."):
+            label = folder.removeprefix("batch=")
+            if label != folder and label not in known and self._complete(folder):
+                write_filter(self.read([label], "hash string"), "hash", f"{self.path}/_filters/{label}")
+
+    def finish_merge(self) -> None:
+        if self._complete("_merging/record"):
+            record = self.spark.read.parquet(f"{self.path}/_merging/record").collect()
+            new = record[0]["new"]
+            for row in record:
+                self.remove(row["old"])
+            self.store.mkdirs(self._at("_filters"))
+            for part, end in (("rows", f"batch={new}"), ("filter", f"_filters/{new}")):
+                if self.store.exists(self._at(f"_merging/{part}")):
+                    self.store.rename(self._at(f"_merging/{part}"), self._at(end))
+        self.store.delete(self._at("_merging"), True)
+
+
+# So many batches are kept side by side before the smaller ones are merged.
+MOST_BATCHES = 32
+
+
+def merge_batch(batch: DataFrame, target: str, label: str, most: int = MOST_BATCHES) -> dict[str, int]:
+    """Add the unseen links of a batch to the hits table at ``target``; returns rows read and inserted.
 
     Every batch has a folder of its own, named by ``label``, which a repeated run overwrites;
-    links stored by other batches are left out. A replay therefore changes nothing. Below, rows lie
-    in folders by the first digits of the link's hash, and only those that the batch has links for
-    are read.
+    links stored by other batches are left out. A replay therefore changes nothing. Of the stored rows
+    only batches are read whose Bloom filter a link of this batch passes, and only their hashes.
     """
-    touched = [row["prefix"] for row in batch.where("file_url is not null").select(
-        _folder()).distinct().collect()]  # at most 16 ** PREFIX
-    stored = _stored_hits(batch, target).where(
-        (F.col("batch") != label) & F.col("prefix").isin(touched))
-    _, inserted = insert_or_ignore(stored, batch)
-    inserted.withColumn("prefix", _folder()).write.mode("overwrite").partitionBy(
-        "prefix").parquet(f"{target}/batch={label}")
-
-
-def _stored_hits(batch: DataFrame, target: str) -> DataFrame:
-    spark = batch.sparkSession
-    nothing = spark.createDataFrame([], batch.schema).withColumns(
-        {"batch": F.lit(""), "prefix": F.lit("")})
-    try:
-        return spark.read.schema(nothing.schema).parquet(target)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return nothing
+    table = HitsTable(batch.sparkSession, target)
+    table.repair()
+    others = [n for n in table.labels() if n != label]
+    rows = batch.withColumn("_hash", link_key(F.col("file_url")))
+    keys = rows.select("_hash").where("_hash is not null").distinct()
+    maybe = [r["batch"] for r in may_hold(keys, table.filters(others), "_hash").select(
+        "batch").distinct().collect()] if others else []
+    stored = table.read(sorted(maybe), "hash string").select(F.col("hash").alias("_hash"))
+    fresh = rows.join(stored, "_hash", "left_anti").drop("_hash")
+    _, inserted = insert_or_ignore(fresh.where("false"), fresh)
+    count = table.put(inserted, label)
+    table.merge_small(most, label)
+    return {"rows": batch.count(), "inserted": count, "read_batches": len(maybe)}
 
 
 def merge_stream(hits: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

@@ -72,15 +72,16 @@ def test_trees_are_filtered_before_the_shuffle(spark):
     assert "EndsWith" in below or "endswith" in below.lower()
 
 
-def test_hits_are_read_by_folder(spark, tmp_path):
+def test_only_hashes_of_the_named_batches_are_read(spark, tmp_path):
     from notelake.streaming import streams
 
     hits = fx.event_hits(spark, SF)
-    streams.merge_batch(hits, str(tmp_path / "hits"), "a-0")
-    one = hits.limit(1)
-    streams.merge_batch(one, str(tmp_path / "hits"), "a-1")
-    stored = streams._stored_hits(one, str(tmp_path / "hits")).where("prefix in ('ab')")
-    assert "PartitionFilters: [isnotnull(prefix" in plan(stored) or "prefix" in plan(stored)
+    for n, part in enumerate(hits.randomSplit([0.5, 0.5], 1)):
+        streams.merge_batch(part, str(tmp_path / "hits"), f"a-{n}")
+    table = streams.HitsTable(spark, str(tmp_path / "hits"))
+    stored = table.read(["a-1"], "hash string")
+    assert "ReadSchema: struct<hash:string>" in plan(stored)
+    assert stored.inputFiles() and all("batch=a-1/" in name for name in stored.inputFiles())
     assert spark.read.parquet(str(tmp_path / "hits")).groupBy("file_url").count().where(
         "count > 1").count() == 0
 

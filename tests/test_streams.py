@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from notelake.operators import metrics
 from notelake.operators.aggregates import op_counts, op_summary
 from notelake.plans.fixtures import pandas_vocab
+from notelake.sources import keyindex
+from notelake.sources.keyindex import build_filter
 from notelake.streaming import streams
 
 CELLS = "notebook_hash string, cell_id string, source string"
@@ -118,14 +120,14 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
     path, out = str(tmp_path / "hits"), str(tmp_path / "table")
     stream = hits_in_files(spark, path, 0, 30)
     run(streams.merge_stream(stream(), out, str(tmp_path / "p")))
-    rows = lambda: sorted(map(str, spark.read.parquet(out).drop("batch", "prefix").collect()))
+    rows = lambda: sorted(map(str, spark.read.parquet(out).drop("batch", "hash").collect()))
     before = rows()
     assert len(before) == 7
     run(streams.merge_stream(stream(), out, str(tmp_path / "p")))
     run(streams.merge_stream(stream(), out, str(tmp_path / "fresh")))
     label = next(r.batch for r in spark.read.parquet(out).collect())
     streams.merge_batch(
-        spark.read.parquet(out).where(F.col("batch") == label).drop("batch", "prefix").checkpoint(),
+        spark.read.parquet(out).where(F.col("batch") == label).drop("batch", "hash").checkpoint(),
         out, label)
     assert rows() == before
 
@@ -137,3 +139,58 @@ def test_a_fresh_checkpoint_at_an_old_path_loses_nothing(spark, tmp_path):
     run(streams.merge_stream(hits_in_files(spark, str(tmp_path / "b"), 5, 7)(), out, str(progress)))
     found = spark.read.parquet(out)
     assert sorted(r.file_url for r in found.collect()) == [f"f{i}" for i in range(7)]
+
+
+def links(spark, start, stop):
+    return spark.range(start, stop).select(
+        F.col("id").alias("seq"), F.lit("o/r").alias("repo_name"), F.lit("u").alias("repo_url"),
+        F.concat(F.lit("f"), "id").alias("file_url"), F.lit("k").alias("keyword"),
+        F.timestamp_seconds("id").alias("found_at"))
+
+
+def test_new_links_read_no_stored_rows(spark, tmp_path):
+    """Twenty batches of new links: none reads a stored batch, however many there are."""
+    target = str(tmp_path / "hits")
+    for n in range(20):
+        found = streams.merge_batch(links(spark, 500 * n, 500 * n + 500), target, f"b-{n}", most=6)
+        assert found == {"rows": 500, "inserted": 500, "read_batches": 0}, n
+        assert len(streams.HitsTable(spark, target).labels()) <= 6
+    # Links of one earlier batch are looked up in the batches that may hold them, and in no other.
+    label = spark.read.parquet(target).where("file_url = 'f9700'").first()["batch"]
+    found = streams.merge_batch(links(spark, 9700, 9710), target, "again", most=6)
+    assert (found["rows"], found["inserted"], found["read_batches"]) == (10, 0, 1), label
+    rows = spark.read.parquet(target)
+    assert rows.count() == rows.select("file_url").distinct().count() == 10_000
+
+
+def test_filters_pass_every_key_and_few_others(spark):
+    keys = links(spark, 0, 3000).select(F.sha1("file_url").alias("hash"))
+    filters = build_filter(keys, "hash").withColumn("batch", F.lit("a"))
+    assert filters.count() == 3 and keyindex.may_hold(keys, filters, "hash").count() == 3000
+    others = links(spark, 3000, 53_000).select(F.sha1("file_url").alias("hash"))
+    assert keyindex.may_hold(others, filters, "hash").count() <= 3
+    nothing = build_filter(keys.where("false"), "hash")
+    assert nothing.count() == 0
+    assert keyindex.may_hold(keys, nothing.withColumn("batch", F.lit("b")), "hash").count() == 0
+
+
+def test_a_merge_that_was_cut_off_is_finished_or_undone(spark, tmp_path):
+    target = str(tmp_path / "hits")
+    for n in range(4):
+        streams.merge_batch(links(spark, 10 * n, 10 * n + 10), target, f"b-{n}")
+    table = streams.HitsTable(spark, target)
+    state = lambda: sorted(r.seq for r in spark.read.parquet(target).collect())
+    # Before the record: nothing has happened.
+    table.read(["b-0"], "hash string").write.parquet(f"{target}/_merging/rows")
+    table.repair()
+    assert state() == list(range(40)) and len(table.labels()) == 4
+    # After the record: the driver is lost between removing the old rows and naming the new ones.
+    finish, table.finish_merge = table.finish_merge, lambda: None
+    table.merge_small(1, "b-3")
+    table.remove("b-1")
+    table.finish_merge = finish
+    (tmp_path / "hits" / "_filters" / "b-3" / "_SUCCESS").unlink()
+    table.repair()
+    assert state() == list(range(40)) and len(table.labels()) == 2 and "b-3" in table.labels()
+    assert not (tmp_path / "hits" / "_merging").exists()
+    assert streams.merge_batch(links(spark, 0, 45), target, "b-4")["inserted"] == 5
