@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from notelake.functions.links import link_key
 from notelake.operators import aggregates as agg, cells as cellops, curate, metrics
+from notelake.operators.factstore import cell_metrics_once
 from notelake.plans import fixtures as fx
 from notelake.plans.registry import query
 from notelake.schemas import CELLS, METRICS, PEAK_METRICS
@@ -210,6 +211,22 @@ def cell_metrics_by_case(spark, sf_dir):
         "failed", F.col("parse_error").isNotNull()).drop("parse_error")
 
 
+@query(f"""
+SELECT *, (SELECT count(DISTINCT p_partkey % {len(fx.CELL_CASES)}) FROM part
+           WHERE p_brand < 'Brand#3') > 0 AS parsed_first, 0 AS parsed_again
+FROM {_CASE_TABLE}""")
+def cell_metrics_from_stored_facts(spark, sf_dir):
+    """Three runs over one facts table: some brands, all of them, and all again without a parser."""
+    cells, vocab = fx.part_cells(spark, sf_dir), case_vocabulary(spark)
+    path = fresh_path(spark, "facts")
+    _, first = cell_metrics_once(cells.where("notebook_hash < 'Brand#3'"), vocab, path)
+    cell_metrics_once(cells, vocab, path)
+    found, again = cell_metrics_once(cells, vocab, path)
+    return found.drop("cell_pos").withColumns({
+        "failed": F.col("parse_error").isNotNull(), "parsed_first": F.lit(first > 0),
+        "parsed_again": F.lit(again)}).drop("parse_error")
+
+
 _SIZED = dict(
     LOC="p_size + 2", S="p_size + 2", OPRND="2 * p_size", UOPRND="2", OPRAT="p_size", UOPRAT="1",
     ID="5", PO="p_size + 1", CO="1", LCO="p_size + 1", TCO="p_size + 1", CI="1", LCI="p_size",

@@ -24,6 +24,7 @@ from notelake.functions.links import link_key
 from notelake.operators.aggregates import op_counts, op_summary
 from notelake.operators.cells import explode_cells
 from notelake.operators.curate import insert_or_ignore
+from notelake.operators.factstore import cell_metrics_once
 from notelake.operators.metrics import cell_facts, metrics_of
 from notelake.sources.keyindex import may_hold, stored_filters, write_filter
 from notelake.sources.notebooks import scan_notebooks
@@ -67,10 +68,22 @@ def ingest_stream(
 
 
 def metrics_stream(
-    cells: DataFrame, vocab: Vocabulary, target: str, checkpoint: str
+    cells: DataFrame, vocab: Vocabulary, target: str, checkpoint: str, facts: str | None = None
 ) -> StreamingQuery:
-    """Stream of code cells -> appended metric rows; no state."""
-    return _write(metrics_of(cell_facts(cells, vocab)), target, checkpoint)
+    """Stream of code cells -> appended metric rows; no state.
+
+    With the path of a facts table codes are parsed only if it lacks them (see ``factstore``); each
+    batch then has a folder of its own, which a replay overwrites.
+    """
+    if facts is None:
+        return _write(metrics_of(cell_facts(cells, vocab)), target, checkpoint)
+
+    def measure(batch: DataFrame, number: int) -> None:
+        found, _ = cell_metrics_once(batch, vocab, facts)
+        found.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return (cells.writeStream.option("checkpointLocation", checkpoint).foreachBatch(measure)
+            .trigger(availableNow=True).start())
 
 
 def _first_of_each_hash(order: str | None):
