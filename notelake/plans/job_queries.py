@@ -12,18 +12,25 @@ _STORED = f"""(SELECT file_url, min(id) AS id FROM {nq._HITS} WHERE keyword = 'c
                GROUP BY file_url)"""
 
 
+_COLUMNS = "repo_name, repo_url, search_query, keyword, found_at"
+
+
 @query(f"""
-SELECT id, file_url FROM {_STORED} UNION ALL
-SELECT row_number() OVER (ORDER BY seq, file_url) + (SELECT max(id) FROM {_STORED}), file_url
+SELECT id, file_url, {_COLUMNS} FROM {nq._HITS} h
+WHERE keyword = 'click' AND id = (SELECT min(id) FROM {nq._HITS} o WHERE o.file_url = h.file_url)
+UNION ALL
+SELECT row_number() OVER (ORDER BY seq, file_url) + (SELECT max(id) FROM {_STORED}), file_url, {_COLUMNS}
 FROM (SELECT file_url, max(seq) AS seq FROM {nq._HITS}
-      WHERE value >= 10 AND keyword <> 'click' GROUP BY file_url)""")
+      WHERE value >= 10 AND keyword <> 'click' GROUP BY file_url)
+JOIN (SELECT seq, {_COLUMNS} FROM {nq._HITS}) USING (seq)""")
 def discovered_hits(spark, sf_dir):
     hits = fx.event_hits(spark, sf_dir)
     stored = curate.keep_first(
         hits.where(F.col("keyword") == "click"), ["file_url"], ["seq"]).drop("seq")
     raw = fx.raw_hits(spark, sf_dir)
     found = jobs.discover(raw, raw.withColumn("sort_order", F.lit("desc")), stored)
-    return found.select("id", "file_url")
+    return found.select(
+        "id", "file_url", "repo_name", "repo_url", "search_query", "keyword", "found_at")
 
 
 def _part_url(key):

@@ -87,6 +87,26 @@ def export_catalog_tables(spark, sf_dir):
     return report.select("name", "status", "rows")
 
 
+@query("""
+SELECT 'customer' AS name, c_custkey AS key, c_name AS text, c_acctbal AS amount FROM customer
+UNION ALL SELECT 'orders', o_orderkey, o_orderpriority, o_totalprice FROM orders
+UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier""")
+def exported_tables_read_back(spark, sf_dir):
+    """Three tables, written side by side."""
+    columns = {"customer": "c_custkey, c_name, c_acctbal", "supplier": "s_suppkey, s_name, s_acctbal",
+               "orders": "o_orderkey, o_orderpriority, o_totalprice"}
+    for name, listed in columns.items():
+        table(spark, sf_dir, name).selectExpr(*[
+            f"{c} as {alias}" for c, alias in zip(listed.split(", "), ("key", "text", "amount"))
+        ]).createOrReplaceTempView(f"nl_back_{name}")
+    path = fresh_path(spark, "export")
+    tables.export_tables(spark, [f"nl_back_{name}" for name in columns], path)
+    read = [tables.read_csv_table(spark, f"{path}/nl_back_{name}.csv",
+                                  "key long, text string, amount double").withColumn("name", F.lit(name))
+            for name in columns]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
 @query("""
 SELECT event_id AS id, 'u' || user_id || '/r' AS repo_name,
        'https://github.com/u' || user_id || '/r/blob/main/' || event_type || '.ipynb' AS file_url,
@@ -159,6 +179,12 @@ def missing_keys(spark, sf_dir):
     return tables.missing_names(table(spark, sf_dir, "customer"), orders, "c_custkey")
 
 
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
+def documents_without_labels(spark, sf_dir):
+    return tables.missing_names(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
 # ---- aggregates -------------------------------------------------------------------------------
 
 LINE_METRICS = ["quantity", "linenumber", "cents"]

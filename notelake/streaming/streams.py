@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from notelake.functions.cellsyntax import Vocabulary
@@ -57,13 +57,40 @@ def _on_disk(spark: SparkSession):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+class RunTotals(StreamingQueryListener):
+    """Adds up what running streams observe, by name: {"ingested": {"cells": 12, ...}, ...}.
+
+    Register it with ``spark.streams.addListener``; counts come from the batches themselves, no second
+    pass is made. A batch that is replayed after a failure counts each time it runs.
+    """
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            sums = self.totals.setdefault(name, {})
+            for key, value in row.asDict().items():
+                sums[key] = sums.get(key, 0) + (value or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def ingest_stream(
     spark: SparkSession, directory: str, target: str, checkpoint: str,
     max_files: int | None = None, pattern: str = "*.ipynb",
 ) -> StreamingQuery:
     """New notebook files -> cells, in folders by cell type (code and markdown only)."""
     cells = explode_cells(scan_notebooks(spark, directory, True, max_files, pattern))
-    kept = cells.where(F.col("cell_type").isin("code", "markdown"))
+    kept = cells.where(F.col("cell_type").isin("code", "markdown")).observe("ingested", *[
+        F.count_if(F.col("cell_type") == kind).alias(kind) for kind in ("code", "markdown")])
     return _write(kept, target, checkpoint, "cell_type")
 
 
@@ -76,7 +103,10 @@ def metrics_stream(
     batch then has a folder of its own, which a replay overwrites.
     """
     if facts is None:
-        return _write(metrics_of(cell_facts(cells, vocab)), target, checkpoint)
+        measured = metrics_of(cell_facts(cells, vocab)).observe(
+            "measured", F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(F.col("parse_error").isNotNull()).alias("parse_errors"))
+        return _write(measured, target, checkpoint)
 
     def measure(batch: DataFrame, number: int) -> None:
         found, _ = cell_metrics_once(batch, vocab, facts)
@@ -188,6 +218,11 @@ def op_count_stream(
 
     def write_summary(batch: DataFrame, number: int) -> None:
         op_summary(listed, batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        # The one before stays for readers that have just begun with it.
+        store, folders = _summaries(batch.sparkSession, target)
+        for old, path in folders.items():
+            if old < number - 1:
+                store.delete(path, True)
 
     return (
         counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
@@ -195,11 +230,19 @@ def op_count_stream(
     )
 
 
+def _summaries(spark: SparkSession, target: str):
+    """The file system, and the folders of summaries that are complete by their number."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in store.listStatus(hadoop.Path(target))]
+    return store, {int(p.getName().removeprefix("batch=")): p for p in found
+                   if p.getName().startswith("batch=") and store.exists(hadoop.Path(p, "_SUCCESS"))}
+
+
 def latest_summary(spark: SparkSession, target: str) -> DataFrame:
     """The summary of the last batch that was written in full."""
-    batches = spark.read.parquet(target)
-    last = batches.agg(F.max("batch")).scalar()
-    return batches.where(F.col("batch") == last).drop("batch")
+    _, folders = _summaries(spark, target)
+    return spark.read.parquet(folders[max(folders)].toString())
 
 
 class HitsTable:

@@ -5,7 +5,8 @@ import random
 
 from notelake.plans.corpus import build_corpus
 from notelake.plans.fixtures import (
-    CELL_CASES, MPL_OPS, PANDAS_OPS, SEABORN_OPS, functions_table, pandas_vocab,
+    CELL_CASES, MPL_OPS, PANDAS_OPS, SEABORN_OPS, UNPARSABLE_CASES, functions_table, pandas_vocab,
+    part_trees,
 )
 from notelake.schemas import METRICS, OP_COUNTS, PEAK_METRICS
 from notelake.sources.tables import read_csv_table
@@ -24,8 +25,19 @@ def test_corpus(spark, tmp_path):
         folder.mkdir(parents=True, exist_ok=True)
         (folder / f"{i}.ipynb").write_text(json.dumps({"cells": cells}))
     out = str(tmp_path / "out")
-    build_corpus(spark, str(tmp_path / "in"), out, pandas_vocab(spark),
-                 functions_table(spark, MPL_OPS), functions_table(spark, SEABORN_OPS))
+    links = spark.createDataFrame([(i, f"https://github.com/o/r{i % 3}") for i in range(5)] + [(9, "x")],
+                                  "seq long, repo_url string")
+    responses = part_trees(spark, "/root/testdata/sf0.001").where("repo_name = 'o/r1'")
+    counted = build_corpus(
+        spark, str(tmp_path / "in"), out, pandas_vocab(spark), functions_table(spark, MPL_OPS),
+        functions_table(spark, SEABORN_OPS), links=links, responses=responses)
+    n = sum(map(len, chosen.values()))
+    failed = sum(k in UNPARSABLE_CASES for picks in chosen.values() for k in picks)
+    assert counted == {"code": n, "markdown": n, "total_rows": n, "parse_errors": failed}
+    sizes = {r.name: int(r.value) for r in spark.read.option("header", True).csv(
+        f"{out}/corpus_sizes.csv").collect()}
+    assert sizes["notebooks"] == len(chosen) and sizes["repositories"] == 3
+    assert sizes["csv_files"] == spark.read.parquet(f"{out}/csv_files").count()
 
     rolled = {r.notebook_hash.split("/")[1]: r
               for r in spark.read.parquet(f"{out}/notebook_metrics").collect()}

@@ -1,6 +1,7 @@
 """Streams give what the batch operators give, also when continued and replayed."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -37,6 +38,30 @@ def test_ingest_continues_where_it_stopped(spark, tmp_path):
         assert sorted(map(tuple, rows)) == sorted(seen)
 
 
+def test_totals_come_from_the_running_batches(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(3):
+        cells = [{"cell_type": t, "source": "x"} for t in ["code"] * n + ["markdown", "raw"]]
+        (tmp_path / "in" / f"{n}.ipynb").write_text(json.dumps({"cells": cells}))
+    totals = streams.RunTotals()
+    spark.streams.addListener(totals)
+    try:
+        run(streams.ingest_stream(
+            spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "p"), max_files=1))
+        _, stream = cells_in_files(spark, str(tmp_path / "cells"))
+        vocab = metrics.vocabulary(pandas_vocab(spark))
+        run(streams.metrics_stream(stream(), vocab, str(tmp_path / "m"), str(tmp_path / "mp")))
+        wanted = {"ingested": {"code": 3, "markdown": 3},
+                  "measured": {"total_rows": 30, "parse_errors": 0}}
+        for _ in range(100):  # progress is reported a moment after a batch
+            if totals.totals == wanted:
+                break
+            time.sleep(0.1)
+        assert totals.totals == wanted
+    finally:
+        spark.streams.removeListener(totals)
+
+
 def cells_in_files(spark, path):
     rows = [("n", str(i), "df.head()" + ".sum()" * (i % 3)) for i in range(30)]
     cells = spark.createDataFrame(rows, CELLS)
