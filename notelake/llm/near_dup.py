@@ -276,8 +276,12 @@ def tile_links(asking: pa.Table, reached: pa.Table) -> pa.Table:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every document."""
-    return _judged(docs, key, text).drop("digest")
+    """(key, n_shingles, component_id, kept) of every document; kept: key = component_id.
+
+    With a repeated key several rows can be kept of one group; ``keep_one`` picks one of them.
+    """
+    return _judged(docs, key, text).drop("digest").withColumn(
+        "kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
 def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:

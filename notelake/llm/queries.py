@@ -112,8 +112,9 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner AS VARCHAR), 2, '0') AS shard
 FROM placed JOIN owners USING (slot)""")
 def op9_sharding(spark, sf_dir):
     path = fresh_path(spark, "shards")
-    sharding.write_shards(table(spark, sf_dir, "documents"), path, SHARDS)
-    return spark.read.parquet(path).select("doc_id", "slot", "shard")
+    docs = table(spark, sf_dir, "documents")
+    sharding.write_shards(docs, path, SHARDS)
+    return sharding.read_shards(docs, path).select("doc_id", "slot", "shard")
 
 
 @query()

@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SLOTS = 100
 
@@ -76,3 +76,14 @@ def write_shards(rows: DataFrame, path: str, shards: Sequence[str], key: str = "
     placed = place(rows, shards, key)
     salt = F.pmod(F.xxhash64(*placed.columns), F.lit(files))
     placed.repartition(len(shards) * files, "shard", salt).write.partitionBy("shard").parquet(path)
+
+
+def read_shards(like: DataFrame, path: str) -> DataFrame:
+    """What ``write_shards`` wrote of rows ``like`` these.
+
+    The schema is given, not guessed: shards without rows and names such as "01" stay what they are.
+    """
+    fields = [f for f in like.schema.fields if f.name not in ("slot", "shard")]
+    schema = T.StructType([*fields, T.StructField("slot", T.LongType()),
+                           T.StructField("shard", T.StringType())])
+    return like.sparkSession.read.schema(schema).parquet(path)

@@ -148,3 +148,24 @@ def test_long_conversation_in_blocks(spark):
     summary = found.groupBy("conv_id").agg(
         F.count(F.lit(1)), F.max("position"), F.countDistinct("position")).orderBy("conv_id")
     assert [tuple(r) for r in summary.collect()] == [(0, 1000, 1000, 1000), (1, 3000, 3000, 3000)]
+
+
+def test_shards_are_read_as_they_were_written(spark, docs, tmp_path):
+    names = ["01", "2", "x"]
+    for name, rows in (("some", docs), ("none", docs.limit(0))):
+        path = str(tmp_path / name)
+        sharding.write_shards(rows, path, names)
+        found = sharding.read_shards(docs, path)
+        wanted = sharding.place(rows, names).select(found.columns)
+        assert dict(found.dtypes)["shard"] == "string" and found.dtypes == wanted.dtypes
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_kept_is_the_key_of_the_component(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join([*words, "x"])), (2, " ".join([*words, "y"]))]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found.collect()) == [
+        (1, 1, True), (1, 1, True), (2, 1, False)]
+    one = near_dup.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [r.doc_id for r in one.collect()] == [1]
