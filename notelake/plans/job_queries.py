@@ -104,11 +104,11 @@ def calls_with_shares_and_ranks(spark, sf_dir):
 
 
 @query(f"""
-SELECT notebook_hash, cell_id, LOC, PO FROM {nq._CASE_TABLE} WHERE notebook_hash = (
+SELECT * EXCLUDE (failed) FROM {nq._CASE_TABLE} WHERE notebook_hash = (
   SELECT notebook_hash FROM {nq._CASE_TABLE} GROUP BY notebook_hash
   ORDER BY sum(PO) DESC, notebook_hash LIMIT 1)""")
 def cells_of_the_peak_notebook(spark, sf_dir):
-    measured = nq.part_metrics(spark, sf_dir).select("notebook_hash", "cell_id", "LOC", "PO")
+    measured = nq.part_metrics(spark, sf_dir).drop("cell_pos", "parse_error")
     rolled = agg.notebook_rollup(measured, ["LOC", "PO"], [])
     return jobs.peak_notebook(rolled, measured, "PO")
 

@@ -340,15 +340,19 @@ def matching_hits(spark, sf_dir):
     return curate.match_hits(fx.raw_hits(spark, sf_dir))
 
 
+_RECORD = "repo_name, repo_url, search_query, keyword, found_at"
+
+
 @query(f"""
-SELECT file_url, max_by(seq, pos) AS seq FROM (
-  SELECT file_url, seq, seq AS pos FROM {_HITS}
-  UNION ALL SELECT file_url, seq, 1000000000000 - seq FROM {_HITS}) GROUP BY file_url""")
+SELECT file_url, seq, {_RECORD} FROM {_HITS} JOIN (
+  SELECT max_by(seq, pos) AS seq FROM (
+    SELECT file_url, seq, seq AS pos FROM {_HITS}
+    UNION ALL SELECT file_url, seq, 1000000000000 - seq FROM {_HITS}) GROUP BY file_url) USING (seq)""")
 def deduplicated_hits(spark, sf_dir):
     hits = fx.event_hits(spark, sf_dir)
     newest_first = hits.withColumn("original", F.col("seq")).withColumn("seq", -F.col("seq"))
     found = curate.dedupe_hits(hits.withColumn("original", F.col("seq")), newest_first)
-    return found.select("file_url", F.col("original").alias("seq"))
+    return found.select("file_url", F.col("original").alias("seq"), *_RECORD.split(", "))
 
 
 def _stored_and_new(spark, sf_dir):
@@ -364,10 +368,10 @@ _INSERTED = f"""
  WHERE keyword <> 'click' AND search_query <> '{{"k": 7}}' GROUP BY file_url)"""
 
 
-@query(f"SELECT * FROM {_INSERTED}")
+@query(f"SELECT file_url, seq, {_RECORD} FROM {_INSERTED} JOIN (SELECT seq, {_RECORD} FROM {_HITS}) USING (seq)")
 def inserted_hits(spark, sf_dir):
     _, inserted = curate.insert_or_ignore(*_stored_and_new(spark, sf_dir))
-    return inserted.select("file_url", "seq")
+    return inserted.select("file_url", "seq", *_RECORD.split(", "))
 
 
 @query(f"""

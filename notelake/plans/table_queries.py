@@ -146,9 +146,10 @@ def pages_of_stored_hits(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events""")
+SELECT event_id, user_id, event_type, props FROM events
+UNION ALL SELECT event_id, user_id, event_type, props FROM events""")
 def append_after_truncate(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     path = fresh_path(spark, "events") + ".csv"
     for mode in ("overwrite", "overwrite", "append"):
         tables.write_csv(events, path, mode)
@@ -493,9 +494,9 @@ def peak_notebook_cells(spark, sf_dir):
     return ranking.drill_down(lines, peak, "l_orderkey")
 
 
-@query("SELECT conv_id, turn, role FROM conversations ORDER BY conv_id, turn LIMIT 5")
+@query("SELECT conv_id, turn, role, text FROM conversations ORDER BY conv_id, turn LIMIT 5")
 def preview_cells(spark, sf_dir):
-    cells = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    cells = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return ranking.preview(cells, ["conv_id", "turn"])
 
 
@@ -509,10 +510,11 @@ def sorted_cells(spark, sf_dir):
 
 
 @query("""
-SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def documents_with_labels(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return docs.join(
+        table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
 
 
 @query("""

@@ -8,19 +8,9 @@ METRICS = (
     "PO", "LCO", "CO", "TCO", "LCI", "CI", "TCI", "V", "MSC", "TC",
 )
 
-# Metrics whose notebook value is the largest cell value; all others add up.
+# Metrics whose notebook value is the largest cell value; all others add up.
 PEAK_METRICS = ("NBD", "UOPRND", "UOPRAT", "LCO", "LCI")
 
 # Table schemas as DDL.
-VOCAB = "function string"
-VOCAB_WITH_CATEGORY = "function string, category string"
 CELLS = "notebook_hash string, cell_id string, cell_pos int, source string"
-METRIC_CELLS = "notebook_hash string, cell_id string, " + ", ".join(f"{m} long" for m in METRICS)
-HITS = (
-    "id long, repo_name string, repo_url string, file_url string, "
-    "search_query string, keyword string, found_at timestamp"
-)
-LINK_MAP = "repo_name string, repo_url string, file_link string, hash string"
 OP_COUNTS = "category string, function string, count long"
-CSV_COUNTS = "repo_name string, repo_url string, csv_count long, found_at timestamp"
-CSV_FILES = "repo_name string, file_url string"

@@ -1,11 +1,11 @@
-"""Every registered query against its SQL, at the smallest scale."""
+"""Every registered query against its SQL; at a scale where rounding and ties show."""
 
 import pytest
 
 from compare import differences, duck
 from notelake.plans.queries import ORACLES, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
