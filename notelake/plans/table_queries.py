@@ -135,12 +135,14 @@ _PAGES = ((1, 100, 50), (2, 700, 300), (3, 0, 900))
 
 @query(" UNION ALL ".join(_PAGED.format(n, limit or "NULL", offset) for n, limit, offset in _PAGES))
 def pages_of_stored_hits(spark, sf_dir):
-    """Stored in two runs: hits after the middle are appended to a table that is there."""
+    """Stored in two runs: hits after the middle, about, are appended to a table that is there."""
     hits, path = event_hits(spark, sf_dir), fresh_path(spark, "paged")
-    middle = hits.agg(F.expr("percentile_disc(0.5) within group (order by id)")).first()[0]
-    paging.write_paged(hits.where(F.col("id") <= middle), path, 256)
-    paging.append_paged(hits.where(F.col("id") > middle), path, 256)
-    pages = [paging.read_page(spark, path, limit, offset, 256).withColumn("page", F.lit(n))
+    size = paging.rows_per_folder(hits.count(), 256)
+    # Any id parts the runs as well as the exact middle, which would gather all ids in one task.
+    middle = F.lit(next(iter(hits.approxQuantile("id", [0.5], 0.01)), None))
+    paging.write_paged(hits.where(F.col("id") <= middle), path, size)
+    paging.append_paged(hits.where(F.col("id") > middle), path, size)
+    pages = [paging.read_page(spark, path, limit, offset, size).withColumn("page", F.lit(n))
              for n, limit, offset in _PAGES]
     return pages[0].unionByName(pages[1]).unionByName(pages[2])
 

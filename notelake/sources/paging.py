@@ -14,11 +14,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from notelake.operators.ordering import global_index
 
 ROWS_PER_CHUNK = 1 << 20
+# So many folders a table has at most when ``rows_per_folder`` sizes them: every read lists them all.
+MOST_CHUNKS = 1 << 10
 # Texts of a hit that a page shows, "" where they are missing.
 PAGE_TEXTS = ("repo_name", "file_url", "keyword")
 STORED = "id long, repo_name string, file_url string, keyword string, position long, chunk long"
 
 
+def rows_per_folder(rows: int, least: int = ROWS_PER_CHUNK) -> int:
+    """``least``, or as many more as keep a table of ``rows`` within ``MOST_CHUNKS`` folders."""
+    return max(least, -(-rows // MOST_CHUNKS))
+
+
 def page_columns(rows: DataFrame) -> DataFrame:
     """The columns of a page; rows without a link are dropped after paging."""
     return rows.select("id", *[F.coalesce(t, F.lit("")).alias(t) for t in PAGE_TEXTS]).where(

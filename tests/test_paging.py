@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from notelake.plans.queries import QUERIES
 from notelake.sources import paging, tables
 
 
@@ -58,3 +59,16 @@ def test_positions_have_no_gaps_and_ids_have_to_follow(spark, stored, tmp_path):
     assert paging.read_page(spark, empty, 5).collect() == []
     paging.append_paged(hits_of(spark, [4, 2]), empty)
     assert [r.id for r in paging.read_page(spark, empty, 5).collect()] == [2, 4]
+
+
+def test_folders_do_not_grow_with_the_table(spark, monkeypatch):
+    paths, write = [], paging.write_paged
+    monkeypatch.setattr(paging, "MOST_CHUNKS", 5, raising=False)
+    monkeypatch.setattr(paging, "write_paged",
+                        lambda hits, path, *rest: (paths.append(path), write(hits, path, *rest)))
+    events = "/root/testdata/sf0.01"
+    total = spark.read.parquet(f"{events}/events.parquet").count()
+    found = QUERIES["pages_of_stored_hits"](spark, events)
+    assert found.where("page = 3").count() == total - 900
+    assert spark.read.parquet(*paths).select("chunk").distinct().count() <= 5
+    assert paging.rows_per_folder(100, 256) == 256
