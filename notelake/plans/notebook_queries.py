@@ -37,17 +37,23 @@ def notebook_cells(spark, sf_dir):
         md.withColumn("cell_type", F.lit("markdown")))
 
 
+# Folders of notebook files: listing costs a call for each, and each is listed in one call.
+FOLDERS = 64
+
+
 def _notebook_files(spark, sf_dir):
-    """Write one folder and file per document; Spark names the files, the folder is the name."""
+    """Write one file per document, named by it, in a fixed number of folders."""
     path = fresh_path(spark, "notebooks")
-    fx.conversation_notebooks(spark, sf_dir).select(
-        "content", F.col("notebook_hash").alias("name")).write.partitionBy("name").text(path)
+    folder = F.pmod(F.xxhash64("notebook_hash"), F.lit(FOLDERS)).cast("string")
+    write_notebook_files(fx.conversation_notebooks(spark, sf_dir).select(
+        F.concat_ws("/", folder, "notebook_hash").alias("notebook_hash"), F.lit(0).alias("line"),
+        F.col("content").alias("json")), path)
     return path
 
 
 def _named(cells):
-    """Relative names name=<document>/part-..., as far as the query knows them."""
-    name = F.regexp_extract("notebook_hash", r"^name=([^/]+)/part-[^/]+$", 1)
+    """Relative names <folder>/<document>.ipynb."""
+    name = F.regexp_extract("notebook_hash", r"^[0-9]+/([^/]+)\.ipynb$", 1)
     return cells.withColumn("notebook_hash", name)
 
 
@@ -56,7 +62,7 @@ def scanned_notebook_files(spark, sf_dir):
     # A root that has to be resolved first.
     root = _notebook_files(spark, sf_dir)
     odd = f"{root}/../{root.rsplit('/', 1)[1]}/./"
-    return _named(cellops.explode_cells(scan_notebooks(spark, odd, pattern="*.txt")))
+    return _named(cellops.explode_cells(scan_notebooks(spark, odd)))
 
 
 @query(f"""
@@ -533,8 +539,8 @@ WHERE cell_type <> 'raw'""")
 def streamed_notebook_files(spark, sf_dir):
     target = fresh_path(spark, "cells")
     streams.ingest_stream(
-        spark, _notebook_files(spark, sf_dir), target, fresh_path(spark, "progress"),
-        pattern="*.txt").awaitTermination()
+        spark, _notebook_files(spark, sf_dir), target,
+        fresh_path(spark, "progress")).awaitTermination()
     return _named(spark.read.parquet(target))
 
 

@@ -2,12 +2,15 @@
 
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from notelake.operators import cells as cellops
 from notelake.plans.fixtures import conversation_cells
+from notelake.plans import notebook_queries
+from notelake.plans.queries import QUERIES
 from notelake.sources.notebook_files import scan_packed, write_notebook_files
 from notelake.sources.notebooks import scan_notebooks
 
@@ -71,3 +74,16 @@ def test_a_failed_task_leaves_nothing(spark, tmp_path, rebuilt, buckets):
 def test_no_notebooks(spark, tmp_path, rebuilt):
     write_notebook_files(rebuilt.where("false"), str(tmp_path / "none"))
     assert os.listdir(tmp_path) == ["none"] and scan_notebooks(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["scanned_notebook_files", "streamed_notebook_files"])
+def test_folders_do_not_grow_with_the_notebooks(spark, monkeypatch, name):
+    monkeypatch.setattr(notebook_queries, "FOLDERS", 3, raising=False)
+    roots, made = [], notebook_queries._notebook_files
+    monkeypatch.setattr(notebook_queries, "_notebook_files",
+                        lambda *args: roots.append(made(*args)) or roots[-1])
+    found = QUERIES[name](spark, "/root/testdata/sf0.01")
+    files = [f for f in Path(roots[0]).rglob("*") if f.is_file() and not f.name.startswith((".", "_"))]
+    notebooks = found.select("notebook_hash").distinct().count()
+    assert len(files) >= notebooks > 3
+    assert len({f.parent for f in files}) == 3
