@@ -31,13 +31,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# So many rows at most, about, make a task of ``spread``.
+ROWS_PER_TASK = 50_000
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Give a scan of few partitions one per core, ahead of work that is heavy on the CPU.
+    """Deal the rows of a scan evenly, ahead of work that is heavy on the CPU.
 
-    Meant for frames read straight from files (their plan has no shuffle, so counting partitions
-    runs nothing). A large table has more partitions than cores and is returned as it is.
+    There is a partition per core at least, and one per ``ROWS_PER_TASK`` rows, so that no task grows
+    with the table, however its files and row groups are cut. Meant for frames read straight from
+    files, whose rows are counted from the footers.
     """
     if scan.isStreaming:
         return scan
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() * 2 > cores else scan.repartition(cores)
+    return scan.repartition(max(cores, -(-scan.count() // ROWS_PER_TASK)))

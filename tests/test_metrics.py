@@ -4,20 +4,26 @@ import ast
 import glob
 import os
 import random
+import warnings
 from collections import Counter
+from functools import partial
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from notelake import session
+from notelake.functions import cellsyntax
 from notelake.functions.cellsyntax import Vocabulary, cell_facts
 from notelake.operators import metrics
 from notelake.operators.aggregates import notebook_rollup, op_counts, op_summary, run_totals
 from notelake.plans.fixtures import (
     CELL_CASES, MPL_OPS, PANDAS_OPS, SEABORN_OPS, UNPARSABLE_CASES, pandas_vocab,
 )
+from notelake.plans import fixtures as fx
 from notelake.schemas import METRICS
 
-VOCAB = Vocabulary(frozenset(PANDAS_OPS), frozenset(MPL_OPS), frozenset(SEABORN_OPS))
+VOCAB = Vocabulary(frozenset(fx.PANDAS_OPS), frozenset(fx.MPL_OPS), frozenset(fx.SEABORN_OPS))
 
 
 def measure(spark, sources, vocab=VOCAB):
@@ -262,3 +268,56 @@ def test_vocabularies_are_trimmed_and_read_whole(spark):
     cells = spark.createDataFrame([("n", "0", "df.head()")],
                                   "notebook_hash string, cell_id string, source string")
     assert metrics.cell_metrics(cells, metrics.vocabulary(padded)).first()["PO"] == 1
+
+
+LITERAL_CELLS = [
+    "a = 'x' + 1", "a = 'y' + 2", "f('a', 'a', 3, 3, 16, 0x10)", "f('it', \"it's\")", "x = ('a' 'b')",
+    "x = ('a'\n  'c')", "f'{1}' + '2'", "rb'1'", "u'1' + '1'", "'''a 1'''", '"""it\'s 1"""', "x = 1 # '2'",
+    "'# 1'", "x['a'][0]", "[1, 'a']", "{1: 'a', **b}", "x = 1.5 + 1", "1e5, 1j, 1_000, 00, 007", "x1 = 1",
+    "x = 'a\\n' + 'b'", "1 .real", "1if x else 2", "'a'if x else'b'", "print 'a', 1", "print('a' 1)", "1 = x",
+    "'é' + 'ü'", "é = 'a'", "a·1 = 1", "x = '1\t2'", "match x:\n    case 1: 'a'\n    case -2: 'b'", "f(1, 1)",
+    "df.groupby('a').head(1)", "df.head(1).merge(df.head(2), on='k')", "x = 1000000000000000000 + 1",
+    "1000000000000000000000 + 5", "x = '⟦0⟧' + y('⟦1⟧')", "a = '1'\nb = 1", "def f(a=1, b='c'):\n    'doc'",
+    "def f():\n    'é'\n    return - 1", "x = 'a' % 1", "x = '\x7f'", "'a'\n\n'b'", "1\n2", "x = \"a'b\" + 'c\"d'",
+    "f(a='x', b=0)", "x[1:2, ::3]", "lambda x=1: 'a'", "with open('a') as f: 1", "import a.b as c; c('1', 2)",
+    "plt.plot(1, 'r'); sns.heatmap(2)", "a = b'x' + b\"y\"", "'unclosed + 1", "x = '\0'", "", "1", "''",
+]
+
+
+def test_templates_give_what_a_parse_gives():
+    """Cells that differ in literals only share a parse; names, values, times and order stay the same."""
+    vocab = cellsyntax.Vocabulary(frozenset(fx.PANDAS_OPS), frozenset(fx.MPL_OPS), frozenset(fx.SEABORN_OPS))
+    made = []
+
+    def template(*key):
+        made.append(key)
+        return cellsyntax._template(*key, vocab)
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for code in LITERAL_CELLS:
+            error, facts = cellsyntax._facts_by_template(code, vocab, template)
+            wanted, parsed = cellsyntax.cell_facts(code, vocab)
+            assert error == wanted, code
+            assert {k: list(v.items()) for k, v in facts.items()} == {
+                k: list(v.items()) for k, v in parsed.items()}, code
+    assert made[0] == made[1] and len(made) > 15
+
+
+def test_cells_that_differ_in_literals_are_parsed_once(monkeypatch):
+    parsed, parse = [], cellsyntax._parse
+    monkeypatch.setattr(cellsyntax, "_parse", lambda code: parsed.append(code) or parse(code))
+    codes = pa.array([f"df['{n}'].head({n})" for n in range(100)])
+    run = partial(cellsyntax.cell_facts, vocab=Vocabulary(frozenset(["head"])))
+    shared = cellsyntax.remembering(Vocabulary(frozenset(["head"])))
+    facts = cellsyntax._facts_of_batch(codes, shared, run).to_pylist()
+    assert len(parsed) == 1
+    assert [{o["name"] for o in f["operand"]} for f in facts] == [
+        {f"CONST:{n}", f"CONST:'{n}'"} for n in range(100)]
+
+
+def test_no_task_grows_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100, raising=False)
+    spark.range(2000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = session.spread(spark.read.parquet(str(tmp_path / "t"))).groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in rows.collect()) <= 200
