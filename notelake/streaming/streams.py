@@ -116,10 +116,27 @@ def metrics_stream(
             .trigger(availableNow=True).start())
 
 
+# Rows and bytes in which repeated links are thinned out together; a task holds so many at a time.
+THINNED_ROWS, THINNED_BYTES = 200_000, 64 << 20
+
+
+def _gathered(batches):
+    """The rows of Arrow batches in fewer ones."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= THINNED_ROWS or size >= THINNED_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _first_of_each_hash(order: str | None):
-    """Keep one row per hash of an Arrow batch: the first, or the first by ``order``."""
+    """Keep one row per hash of the rows gathered: the first, or the first by ``order``."""
     def run(batches):
-        for batch in batches:
+        for batch in _gathered(batches):
             rows = np.arange(batch.num_rows)
             if order is not None:
                 rows = pc.sort_indices(batch.column(order), null_placement="at_end").to_numpy()

@@ -3,6 +3,7 @@
 import json
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from notelake.operators import metrics
@@ -109,6 +110,20 @@ def test_first_seen_links(spark, tmp_path):
     assert spark.read.parquet(out).count() == 7
 
 
+def test_links_are_thinned_across_arrow_batches(monkeypatch):
+    rows = [(f"h{n % 7}", -n) for n in range(1000)]
+    batch = pa.RecordBatch.from_pylist([{"hash": h, "seq": n} for h, n in rows])
+    small = [batch.slice(at, 10) for at in range(0, 1000, 10)]
+    for order, wanted in ((None, rows[:7]), ("seq", rows[-7:])):
+        out = [(r["hash"], r["seq"]) for b in streams._first_of_each_hash(order)(iter(small))
+               for r in b.to_pylist()]
+        assert sorted(out) == sorted(wanted)
+        assert list(streams._first_of_each_hash(order)(iter([batch.slice(0, 0)]))) == []
+    monkeypatch.setattr(streams, "THINNED_ROWS", 500)
+    held = [b.num_rows for b in streams._gathered(iter(small))]
+    assert held == [500, 500]
+
+
 def test_first_seen_links_with_a_known_map(spark, tmp_path):
     """Links mapped by an earlier run are not first again, nor after a restart."""
     path, out, progress = (str(tmp_path / n) for n in ("hits", "out", "progress"))
