@@ -7,15 +7,17 @@ larger ones by HALF; where the counts of counts are too ragged for a ratio below
 What the discount of P(w) leaves is the probability of an unknown word (one class, as in the base
 score). alpha(h) is exactly what makes P(.|h) sum to 1; a history never seen has alpha 1.
 
-How it runs: a first pass counts words (combined in each task, then by Spark). A second pass sends
-each bigram, with the documents it is in, to the partition of the table that its word belongs to;
-words of ``HEAVY`` tokens and more are spread by bigram instead, and bigrams of as many, counted in a
-pass of their own, by document. Both are broadcast with their counts: at most one in ``HEAVY`` tokens
-each. So no word or bigram fills a partition, however common. A partition knows c(hw) and c(w), so it backs off per token on
-its own: all but the factors that depend on the counts of counts, of which it keeps how often they
-apply, and the sums per history. Only bigrams never seen need alpha of a history of another
-partition; they follow in a join. Documents are known by a hash of their tokens, so that copies are
-scored once per slice of input.
+How it runs: a first pass counts words (combined in each task, then by Spark). A second pass stores the
+documents in slices of ``TOKENS`` tokens, as places in the list of the slice's words. A slice sends each
+of its bigrams once, with its count, to the partition of the table that its word belongs to; words of
+``HEAVY`` tokens and more are spread by bigram instead, and bigrams of as many, counted in a pass of
+their own, are not sent: both are broadcast with their counts, at most one in ``HEAVY`` tokens each. So
+no word or bigram fills a partition, however common, and what is sent grows with the bigrams of slices,
+not with the documents or partitions that hold them. A partition adds up c(hw) and c(w) and answers each
+slice with the counts alone, in the order in which it asked. Sums per history go on to partitions by
+history, together with the histories of bigrams never seen, and those answer with alpha; alphas of heavy
+histories, again one in ``HEAVY`` tokens, go to all. A slice meets its answers in a cogroup and scores
+its documents there.
 
 Edge cases: a null or empty text is the end alone. Rows without an id are held out (the crc32 of the
 empty text). With no training rows every probability is 1. Repeated rows count as often as they are
@@ -28,16 +30,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
 from notelake.llm.components import stored
-from notelake.llm.texts import Texts, Words, held_out, map_texts, mix, pieces
+from notelake.llm.texts import Texts, Words, give_back, held_out, mix, pieces
 
 K = 5
 HALF = 0.5
 START, END = 1, 2  # no hash of a word is as small, but by chance
 HEAVY = 50_000  # tokens, learned from or not, from which a word or bigram is dealt out
 FLUSH = 800_000  # tokens that a task gathers before it sends them on
+TOKENS = 2_000_000  # tokens per slice of documents, about
 BUCKET = 2_000_000  # tokens per partition of the table, about
 
 
@@ -105,6 +109,10 @@ class Words1:
         at = np.minimum(np.searchsorted(self.heavy, words), len(self.heavy) - 1)
         return np.where(self.heavy[at] == words, self.heavy_count[at], -1)
 
+    def heavy_history(self, h: np.ndarray) -> np.ndarray:
+        """Whether histories are heavy; a start is as heavy as END."""
+        return self.count_heavy(np.where(h == START, END, h)) >= 0
+
     def count_pairs(self, w: np.ndarray, h: np.ndarray) -> np.ndarray:
         """Count of heavy bigrams, -1 for others."""
         keys, ws, hs, counts = self.pairs
@@ -220,184 +228,316 @@ def unplanes(data: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<i4" if width <= 4 else "<i8")
 
 
-# Words as the gaps between sorted ones, each with its number of histories.
-SENT = ("bucket int, gaps binary, runs binary, h binary, docs binary, doc binary, times binary, "
-        "content binary, train binary")
-
-
-def send(tokens: list, words: Words1, buckets: int):
-    """Rows of SENT from some (w, h, content, train) slices: one per bucket."""
-    w, h, content, train = (np.concatenate(x) for x in zip(*tokens))
-    tokens.clear()
-    # Copies: one document with the number of training rows among them.
-    contents, doc = np.unique(content, return_inverse=True)
-    doc = doc.astype(np.int32)
-    ends = w == END
-    in_training = np.bincount(doc[ends], train[ends], len(contents)).astype(np.int64)
-    copies = np.bincount(doc[ends], minlength=len(contents))
-    place = mix(np.where(words.count_heavy(w) >= 0, w * 31 + h, w).astype(np.uint64))
-    common = np.flatnonzero(words.count_pairs(w, h) >= 0)
-    place[common] = mix(place[common] + content[common].astype(np.uint64))
-    del content, common
-    bucket = (place % np.uint64(buckets)).astype(np.int32)
-    del place, ends, train
-    order = np.lexsort((doc, h, w, bucket))
-    bucket, w, h, doc = bucket[order], w[order], h[order], doc[order]
-    del order
-    new = np.ones(len(w), bool)
-    new[1:] = (bucket[1:] != bucket[:-1]) | (w[1:] != w[:-1]) | (h[1:] != h[:-1])
-    new_doc = new.copy()
-    new_doc[1:] |= doc[1:] != doc[:-1]
-    at_doc = np.flatnonzero(new_doc)
-    times = np.diff(np.append(at_doc, len(w))) // copies[doc[at_doc]]
-    doc = doc[at_doc]
-    at = np.flatnonzero(new)
-    docs = np.diff(np.append(np.searchsorted(at_doc, at), len(at_doc)))
-    w, h, bucket = w[at], h[at], bucket[at]
-    doc_at = np.concatenate([[0], np.cumsum(docs)])
-    cut = np.flatnonzero(np.append(True, np.diff(bucket) != 0)) if len(bucket) else []
-    for a, b in zip(cut, [*cut[1:], len(bucket)]):
-        c, d = doc_at[a], doc_at[b]
-        used, local = np.unique(doc[c:d], return_inverse=True)
-        own = np.flatnonzero(np.diff(w[a:b], prepend=-1))
-        yield (int(bucket[a]), planes(np.diff(w[a:b][own], prepend=0), 7),
-               planes(np.diff(own, append=b - a), 4), planes(h[a:b], 7), planes(docs[a:b], 4),
-               planes(local, 4), planes(times[c:d], 4), planes(contents[used], 8),
-               planes(in_training[used], 4))
+# A slice of documents: its distinct words (sorted), the place of each token among them, the tokens,
+# and which texts are learned from.
+SLICE = "slice bigint, words binary, places binary, sizes binary, train binary"
+# Words as the gaps between sorted ones, each with its number of histories; per bigram its history and
+# how often documents learned from hold it.
+SENT = "bucket int, slice bigint, gaps binary, runs binary, h binary, doc binary"
 
 
-def bigrams(docs: DataFrame, words: Words1, buckets: int, key: str, text: str, of: int) -> DataFrame:
-    """Bigrams with their documents, in rows of SENT."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
-    names = [part.split()[0] for part in SENT.split(", ")]
+def squeeze(values: np.ndarray, width: int) -> bytes:
+    """``planes`` with entropy coding, for what is large; the number of values comes first."""
+    return len(values).to_bytes(8, "little") + pa.compress(
+        planes(values, width), "zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, width: int) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little") * width
+    return unplanes(pa.decompress(data[8:], size, "zstd", asbytes=True), width)
 
-    def rows(held):
-        columns = zip(*send(held, sent.value, buckets))
-        kinds = [pa.int32()] + [pa.binary()] * 8
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+def slices(docs: DataFrame, key: str, text: str, of: int) -> DataFrame:
+    """Documents as rows of SLICE, with their keys (``ids``), in runs of about ``TOKENS`` tokens."""
+    kind = docs.schema[key].dataType.simpleString()
+    names = [part.split()[0] for part in SLICE.split(", ")] + ["ids"]
+    limit = TOKENS
+
+    def row(held, number):
+        w, sizes, train = (np.concatenate(x) for x in list(zip(*held))[:3])
+        ids = pa.concat_arrays([x[3] for x in held])
+        held.clear()
+        own, place = np.unique(w, return_inverse=True)
+        name = (TaskContext.get().partitionId() << 32) + number
+        values = (name, squeeze(np.diff(own, prepend=0), 7), squeeze(place, 4), squeeze(sizes, 4),
+                  squeeze(train, 1))
+        kinds = [pa.int64()] + [pa.binary()] * 4
+        whole = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array([v], k) for v, k in zip(values, kinds)), whole], names)
 
     def run(batches):
-        held, size = [], 0
+        held, size, number = [], 0, 0
         for batch in batches:
             for part in pieces(batch):
                 tokens = Tokens(part.column(1))
                 train = np.asarray(part.column(0).to_numpy(zero_copy_only=False), bool)
-                held.append((tokens.w, tokens.h, tokens.content[tokens.d], train[tokens.d]))
+                held.append((tokens.w, tokens.sizes, train, part.column(2)))
                 size += len(tokens.w)
-                if size > FLUSH:
-                    yield rows(held)  # which empties the list
-                    size = 0
-        if size:
-            yield rows(held)
+                if size > limit:
+                    yield row(held, number)  # which empties the list
+                    size, number = 0, number + 1
+        if held:
+            yield row(held, number)
+        give_back()
+
+    return docs.select((~held_out(key, of)).alias("train"), F.col(text).cast("string").alias("t"),
+                       F.col(key).alias("id")).mapInArrow(run, f"{SLICE}, ids array<{kind}>")
+
+
+class Slice:
+    """A row of SLICE: documents ``d`` and words ``at`` of tokens, and its distinct bigrams: words
+    ``of`` and histories ``before`` (places in ``words``, -1 for the start), in ``pair`` for each token.
+
+    Bigrams in the broadcast list have their count in ``known``; ``sent`` are the others in the order
+    in which they go to their buckets.
+    """
+
+    def __init__(self, row: dict, words: Words1, buckets: int):
+        self.words = np.cumsum(unsqueeze(row["words"], 7))
+        self.at = unsqueeze(row["places"], 4)
+        self.sizes = unsqueeze(row["sizes"], 4).astype(np.int64)
+        self.train = unsqueeze(row["train"], 1) > 0
+        self.d = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        code = self.at.astype(np.int64) * (len(self.words) + 1)
+        code[1:] += self.at[:-1] + 1
+        first = np.cumsum(self.sizes) - self.sizes
+        code[first] = self.at[first].astype(np.int64) * (len(self.words) + 1)
+        code, pair = np.unique(code, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        self.of, self.before = np.divmod(code, len(self.words) + 1)
+        self.before -= 1
+        del code, pair
+        self.w = self.words[self.of]
+        self.h = np.where(self.before < 0, START, self.words[self.before])
+        self.known = words.count_pairs(self.w, self.h)
+        place = mix(np.where(words.count_heavy(self.w) >= 0, self.w * 31 + self.h, self.w)
+                    .astype(np.uint64))
+        bucket = (place % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable").astype(np.int32)
+        self.sent = order[self.known[order] < 0]
+        self.bucket = bucket[self.sent]
+
+    def parts(self):
+        """(begin, end) in ``sent`` of each bucket."""
+        cut = np.flatnonzero(np.append(True, np.diff(self.bucket) != 0)) if len(self.sent) else []
+        return zip(cut, [*cut[1:], len(self.sent)])
+
+
+def deal(held: DataFrame, words: Words1, buckets: int) -> DataFrame:
+    """Rows of SENT: the bigrams of every slice, one row per bucket."""
+    sent = held.sparkSession.sparkContext.broadcast(words)
+    names = [part.split()[0] for part in SENT.split(", ")]
+    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 4
+
+    def rows(row):
+        own = Slice(row, sent.value, buckets)
+        n = np.bincount(own.pair, own.train[own.d], len(own.w)).astype(np.int64)[own.sent]
+        w, h = own.w[own.sent], own.h[own.sent]
+        for a, b in own.parts():
+            new = np.flatnonzero(np.diff(w[a:b], prepend=-1))
+            yield (int(own.bucket[a]), row["slice"], planes(np.diff(w[a:b][new], prepend=0), 7),
+                   planes(np.diff(new, append=b - a), 4), planes(h[a:b], 7), planes(n[a:b], 4))
 
-    return source(docs, key, text, of).mapInArrow(run, SENT)
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                columns = list(zip(*rows(batch.slice(i, 1).to_pylist()[0])))
+                if columns:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        give_back()
+
+    return held.drop("ids").mapInArrow(run, SENT)
+
+
+def bigrams(docs: DataFrame, words: Words1, buckets: int, key: str, text: str, of: int) -> DataFrame:
+    """Bigrams of documents, in rows of SENT."""
+    return deal(slices(docs, key, text, of), words, buckets)
 
 
 COUNTS = [f"n{r}" for r in range(1, K + 1)]
-# kind 0: a document (key: content). 1: a history. 2: an unseen bigram (key: history). 3: counts of
-# counts (n1..n5, and of K + 1 in ``many``).
-FOUND = ("kind int, key bigint, content bigint, x double, y double, many bigint, ends int, "
-         + ", ".join(f"{c} int" for c in COUNTS))
+# kind 0: what a slice asked (key: slice): counts of its bigrams (a) and of their words (b), as sent.
+# 1: sums per history (key: bucket of histories): histories, sums of P(w) (b) and counts (c).
+# 2: histories (a) before unseen bigrams, with their slices (b) (key: bucket of histories).
+# 3: counts of counts (n1..n5, and of K + 1 in ``many``).
+FOUND = ("kind int, key bigint, at int, a binary, b binary, c binary, many bigint, "
+         + ", ".join(f"{c} bigint" for c in COUNTS))
+FOUND_ARROW = pa.schema(
+    [("kind", pa.int32()), ("key", pa.int64()), ("at", pa.int32()), ("a", pa.binary()),
+     ("b", pa.binary()), ("c", pa.binary()), ("many", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
+OTHERS = (0,) * (1 + K)
+
+
+def groups(keys: np.ndarray):
+    """(key, where it is) for every different key."""
+    order = np.argsort(keys, kind="stable")
+    cut = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)) if len(keys) else []
+    for begin, end in zip(cut, [*cut[1:], len(keys)]):
+        yield int(keys[order[begin]]), order[begin:end]
+
 
+def history_buckets(buckets: int) -> int:
+    """Sums are fewer than the bigrams they are of."""
+    return -(-buckets // 8)
 
-def evaluate(table: pa.Table, words: Words1) -> pa.Table:
+
+def history_bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(h.astype(np.uint64)) % np.uint64(history_buckets(buckets))).astype(np.int64)
+
+
+def history_sums(h: np.ndarray, c: np.ndarray, p: np.ndarray, buckets: int):
+    """Rows of FOUND, kind 1, from different seen bigrams with their counts and P(w)."""
+    histories, of = np.unique(h, return_inverse=True)
+    m = len(histories)
+    mass = np.bincount(of, p, m)
+    counts = np.stack([np.bincount(of, c, m), np.bincount(of, c > K, m),
+                       *(np.bincount(of, c == r, m) for r in range(1, K + 1))]).astype(np.int64)
+    for b, at in groups(history_bucket(histories, buckets)):
+        yield (1, b, 0, squeeze(np.diff(histories[at], prepend=0), 7),
+               squeeze(mass[at].view(np.int64), 8), squeeze(counts[:, at].reshape(-1), 8), *OTHERS)
+
+
+def evaluate(table: pa.Table, words: Words1, buckets: int) -> pa.Table:
     """All that one partition of the table knows; see FOUND."""
 
     def joined(name: str, width: int) -> list[np.ndarray]:
         return [unplanes(x.as_buffer(), width) for x in table.column(name)]
 
-    w = np.concatenate([np.repeat(np.cumsum(gaps), runs)
-                        for gaps, runs in zip(joined("gaps", 7), joined("runs", 4))])
+    gaps, runs = joined("gaps", 7), joined("runs", 4)
+    w = np.concatenate([np.repeat(np.cumsum(g), r) for g, r in zip(gaps, runs)])
     h = np.concatenate(joined("h", 7))
-    contents = joined("content", 8)
-    shift = np.cumsum([0, *map(len, contents)]).astype(np.int32)
-    doc = np.concatenate([x + s for x, s in zip(joined("doc", 4), shift)])
-    content = np.concatenate(contents)
-    train = np.concatenate(joined("train", 4))
-    times = np.concatenate(joined("times", 4))
-    entry = np.repeat(np.arange(len(w), dtype=np.int32), np.concatenate(joined("docs", 4)))
-    count = np.bincount(entry, times * train[doc], len(w)).astype(np.int64)
+    counted = joined("doc", 4)
+    ends = np.cumsum([len(x) for x in counted])
+    count = np.concatenate(counted)
+    del counted, gaps
     # Entries of one bigram, then of one word.
     order = np.lexsort((h, w))
     new_w = np.append(True, np.diff(w[order]) != 0)
     new = new_w | np.append(True, np.diff(h[order]) != 0)
     pair, word = np.empty(len(w), np.int32), np.empty(len(w), np.int32)
     pair[order], word[order] = np.cumsum(new) - 1, np.cumsum(new_w) - 1
+    first = order[new]  # an entry of each bigram
     del order, new, new_w
     c_pair = np.bincount(pair, count).astype(np.int64)
-    c_word = np.bincount(word, count).astype(np.int64)[word]
-    heavy = words.count_heavy(w)
-    c_word = np.where(heavy >= 0, heavy, c_word)
-    first = np.empty(len(c_pair), np.int64)
-    first[pair] = np.arange(len(w))  # an entry of each bigram
-    # Heavy bigrams are in many partitions; their sums per history are added by ``of_pairs``.
-    known = words.count_pairs(w[first], h[first])
-    common = known >= 0
-    c_pair = np.where(common, known, c_pair)
-    # Terms per entry.
-    c = c_pair[pair]
-    base = np.log10((c_word + 0.1) / (words.total + 0.1 * (words.types + 1)))
-    p_word = words.probability(c_word)
-    seen = np.log10(np.where(c > K, c - HALF, np.maximum(c, 1)))
-    own = np.where(c > 0, seen, np.log10(np.maximum(p_word, 1e-300)))
-    own -= np.where((w != END) & (c_word > 0), np.log10(np.maximum(c_word, 1)), 0.0)
-    # Sums per document, over the slices of input that hold it.
-    contents, which = np.unique(content, return_inverse=True)
-    at, n = which[doc], len(contents)
-
-    def per_doc(values: np.ndarray) -> np.ndarray:
-        return np.bincount(at, times * values[entry], n)
-
-    def whole(values: np.ndarray, kind=np.int32) -> np.ndarray:
-        return np.rint(per_doc(values)).astype(kind)
-
-    names = [part.split()[0] for part in FOUND.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
-    kinds += [pa.int32()] * (1 + K)
-
-    def part(*columns: np.ndarray) -> pa.Table:
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    parts = [part(np.zeros(n, np.int32), contents, np.zeros(n, np.int64), per_doc(base), per_doc(own),
-              whole(c_word > 0, np.int64), whole(w == END), *(whole(c == r) for r in range(1, K + 1)))]
-    # Histories of the bigrams seen.
-    some = first[(c_pair > 0) & ~common]
-    histories, of = np.unique(h[some], return_inverse=True)
-    m, cs = len(histories), c[some]
-    parts.append(part(np.ones(m, np.int32), histories, np.zeros(m, np.int64), np.bincount(of, p_word[some], m),
-                  np.bincount(of, np.where(cs > K, cs - HALF, 0.0), m),
-                  np.bincount(of, cs, m).astype(np.int64), np.zeros(m, np.int32),
-                  *(np.bincount(of, cs == r, m).astype(np.int32) for r in range(1, K + 1))))
-    # Documents with bigrams never seen.
-    unseen = np.flatnonzero(c[entry] == 0)
-    c_pair = c_pair[~common]
-    small, zeros = np.zeros(len(unseen), np.int32), np.zeros(len(unseen))
-    parts.append(part(small + np.int32(2), h[entry[unseen]], content[doc[unseen]], zeros, zeros,
-                      times[unseen].astype(np.int64), small, *[small] * K))
-    no_key, nothing = np.zeros(1, np.int64), np.zeros(1)
-    parts.append(part(np.full(1, 3, np.int32), no_key, no_key, nothing, nothing,
-                      no_key + np.count_nonzero(c_pair == K + 1), np.zeros(1, np.int32),
-                      *(np.full(1, np.count_nonzero(c_pair == r), np.int32)
-                        for r in range(1, K + 1))))
-    found = pa.concat_tables(parts)
-    return pa.Table.from_batches(found.to_batches(max_chunksize=20_000))  # small messages
-
-
-def of_pairs(docs: DataFrame, words: Words1) -> DataFrame:
+    c_word = np.bincount(word, count).astype(np.int64)
+    bucket = table.column("bucket")[0].as_py()
+    own = table.column("slice").to_numpy()
+    rows = []
+    for name, run, begin, end in zip(own, runs, [0, *ends[:-1]], ends):
+        # Of words in the broadcast list a partition sees a part only.
+        heads = begin + np.cumsum(run) - run
+        rows.append((0, int(name), bucket, planes(c_pair[pair[begin:end]], 4),
+                     planes(c_word[word[heads]], 4), None, *OTHERS))
+    some = first[c_pair > 0]
+    heavy = words.count_heavy(w[some])
+    p = words.probability(np.where(heavy >= 0, heavy, c_word[word[some]]))
+    rows.extend(history_sums(h[some], c_pair[c_pair > 0], p, buckets))
+    # Histories of the broadcast list have their weights sent to all slices.
+    unseen = np.flatnonzero(c_pair[pair] == 0)
+    unseen = unseen[~words.heavy_history(h[unseen])]
+    asked = own[np.searchsorted(ends, unseen, "right")]
+    for b, at in groups(history_bucket(h[unseen], buckets)):
+        rows.append((2, b, 0, planes(h[unseen[at]], 7), planes(asked[at], 8), None, *OTHERS))
+    rows.append((3, 0, 0, None, None, None, int(np.count_nonzero(c_pair == K + 1)),
+                 *(int(np.count_nonzero(c_pair == r)) for r in range(1, K + 1))))
+    return found_table(rows)
+
+
+def found_table(rows: list[tuple]) -> pa.Table:
+    found = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), FOUND_ARROW)],
+                     schema=FOUND_ARROW)
+    return pa.Table.from_batches(found.to_batches(max_chunksize=2_000))  # small messages
+
+
+def of_pairs(docs: DataFrame, words: Words1, buckets: int) -> DataFrame:
     """Rows of FOUND for the heavy bigrams: their parts of the sums per history and of the counts of
     counts."""
     _, w, h, c = (x[words.pairs[3] > 0] for x in words.pairs)
-    p = words.probability(words.count_heavy(w))
-    rows = [(1, int(h[i]), 0, float(p[i]), float(c[i] - HALF) if c[i] > K else 0.0, int(c[i]), 0,
-             *(int(c[i] == r) for r in range(1, K + 1))) for i in range(len(c))]
-    rows.append((3, 0, 0, 0.0, 0.0, int((c == K + 1).sum()), 0,
+    rows = list(history_sums(h, c, words.probability(words.count_heavy(w)), buckets))
+    rows.append((3, 0, 0, None, None, None, int((c == K + 1).sum()),
                  *(int((c == r).sum()) for r in range(1, K + 1))))
     return docs.sparkSession.createDataFrame(rows, FOUND)
 
 
-def log_sum(factors: list[float]) -> Column:
-    """Sum of n_r log10 d(r)."""
-    return sum((F.col(c) * float(np.log10(d)) for c, d in zip(COUNTS, factors)), F.lit(0.0))
+# log10 alpha of histories, for a slice that asked or, without one, for all.
+WEIGHED = "slice bigint, at int, a binary, b binary"
+WEIGHED_ARROW = pa.schema(
+    [("slice", pa.int64()), ("at", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
+
+
+def weigh(table: pa.Table, words: Words1, factors: list[float]) -> pa.Table:
+    """Rows of WEIGHED from all rows of FOUND of one bucket of histories."""
+    kind = table.column("kind").to_numpy()
+    a, b, c = (table.column(x) for x in "abc")
+    sums, asked = np.flatnonzero(kind == 1), np.flatnonzero(kind == 2)
+    rows = []
+    if len(sums):
+        h = np.concatenate([np.cumsum(unsqueeze(a[i].as_py(), 7)) for i in sums])
+        p = np.concatenate([unsqueeze(b[i].as_py(), 8).view(np.float64) for i in sums])
+        counts = np.concatenate(
+            [unsqueeze(c[i].as_py(), 8).reshape(2 + K, -1) for i in sums], axis=1)
+        known, of = np.unique(h, return_inverse=True)
+        p = np.bincount(of, p)
+        total, above, *small = (np.bincount(of, x) for x in counts)
+        kept = total - HALF * above
+        for r, (n, d) in enumerate(zip(small, factors)):
+            kept -= (r + 1) * (1 - d) * n
+        weight = np.log10((1 - kept / total) / (1 - p))
+        heavy = np.flatnonzero(words.heavy_history(known))
+        if len(heavy):
+            rows.append((None, 0, planes(known[heavy], 7), weight[heavy].tobytes()))
+        if len(asked):
+            h = np.concatenate([unplanes(a[i].as_buffer(), 7) for i in asked])
+            name = np.concatenate([unplanes(b[i].as_buffer(), 8) for i in asked])
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            name, at = name[known[at] == h], at[known[at] == h]
+            for one, of in groups(name):
+                own = np.unique(at[of])
+                rows.append((one, -1, planes(known[own], 7), weight[own].tobytes()))
+    columns = list(zip(*rows)) or [()] * 4
+    weighed = pa.table([pa.array(x, f.type) for x, f in zip(columns, WEIGHED_ARROW)],
+                       schema=WEIGHED_ARROW)
+    return pa.Table.from_batches(weighed.to_batches(max_chunksize=2_000), WEIGHED_ARROW)
+
+
+def finish(row: dict, answers: pa.Table, words: Words1, buckets: int, factors: list[float],
+           common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """n_tokens, n_known, base score and score of the documents of a slice, from the answers to it (in
+    any order: at is the bucket, or -1 for weights) and the weights of heavy histories."""
+    own = Slice(row, words, buckets)
+    at = answers.column("at").to_numpy()
+    a, b = answers.column("a"), answers.column("b")
+    by_bucket = {int(at[i]): i for i in range(len(at)) if at[i] >= 0}
+    c_pair = own.known.copy()
+    c_word = words.count_heavy(own.words)
+    light = c_word < 0
+    for begin, end in own.parts():
+        i = by_bucket[int(own.bucket[begin])]
+        c_pair[own.sent[begin:end]] = unplanes(a[i].as_buffer(), 4)
+        of = own.of[own.sent[begin:end]]
+        of = of[np.flatnonzero(np.diff(of, prepend=-1))]
+        count = unplanes(b[i].as_buffer(), 4)
+        c_word[of] = np.where(light[of], count, c_word[of])
+    weights = [i for i in range(len(at)) if at[i] < 0]
+    known = np.concatenate([common[0], *(unplanes(a[i].as_buffer(), 7) for i in weights)])
+    weight = np.concatenate([common[1], *(np.frombuffer(b[i].as_buffer(), "<f8") for i in weights)])
+    order = np.argsort(known)
+    known, weight = known[order], weight[order]
+    # Terms per word and per bigram, then per token.
+    base = np.log10((c_word + 0.1) / (words.total + 0.1 * (words.types + 1)))
+    after = np.where(own.before < 0, words.texts, c_word[own.before])
+    small = np.concatenate([[1.0], np.arange(1, K + 1) * np.array(factors)])
+    less = np.where(c_pair > K, c_pair - HALF, small[np.minimum(c_pair, K)])
+    term = np.log10(less / np.maximum(after, 1))
+    unseen = np.flatnonzero(c_pair == 0)
+    term[unseen] = np.log10(np.maximum(words.probability(c_word[own.of[unseen]]), 1e-300))
+    if len(known):
+        place = np.minimum(np.searchsorted(known, own.h[unseen]), len(known) - 1)
+        term[unseen] += np.where(known[place] == own.h[unseen], weight[place], 0.0)
+    n = len(own.sizes)
+    return (own.sizes, np.bincount(own.d, c_word[own.at] > 0, n).astype(np.int64),
+            np.bincount(own.d, base[own.at], n), np.bincount(own.d, term[own.pair], n))
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", of: int = 10) -> DataFrame:
@@ -410,37 +550,37 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", of: int = 10
     words.pairs = heavy_pairs(docs, words, key, text, of)
     buckets = max(1, -(-words.tokens // BUCKET))
     sent = spark.sparkContext.broadcast(words)
+    held = stored(slices(docs, key, text, of), "slices")
     found = stored(
-        bigrams(docs, words, buckets, key, text, of).repartitionById(buckets, F.col("bucket"))
-        .groupBy("bucket").applyInArrow(lambda t: evaluate(t, sent.value), FOUND), "bigrams")
-    found = found.unionByName(of_pairs(docs, words))
+        deal(held, words, buckets).repartitionById(buckets, F.col("bucket")).groupBy("bucket")
+        .applyInArrow(lambda t: evaluate(t, sent.value, buckets), FOUND), "bigrams")
+    answers = found.where("kind = 0").select(F.col("key").alias("slice"), "at", "a", "b")
+    found = found.where("kind > 0").unionByName(of_pairs(docs, words, buckets))
     sums = found.where("kind = 3").agg(*(F.sum(c) for c in [*COUNTS, "many"])).first()
     factors = discounts({r + 1: n or 0 for r, n in enumerate(sums)})
-    totals = found.where("kind = 1").groupBy("key").agg(
-        F.sum("x").alias("p"), F.sum("y").alias("above"), F.sum("many").alias("c"),
-        *(F.sum(c).alias(c) for c in COUNTS))
-    kept = F.col("above") + sum(
-        (F.col(c) * (r + 1) * d for r, (c, d) in enumerate(zip(COUNTS, factors))), F.lit(0.0))
-    alpha = (1 - kept / F.col("c")) / (1 - F.col("p"))
-    weights = totals.select("key", F.log10(F.col("c") * alpha).alias("weight"))
-    backed = found.where("kind = 2").groupBy("key", "content").agg(F.sum("many").alias("many")).join(
-        weights, "key").groupBy("content").agg(F.sum(F.col("many") * F.col("weight")).alias("off"))
-    scores = found.where("kind = 0").groupBy(F.col("key").alias("content")).agg(
-        F.sum("x").alias("x"), F.sum("y").alias("y"), F.sum("many").alias("known"),
-        F.sum("ends").alias("ends"), *(F.sum(c).alias(c) for c in COUNTS))
-    start = -float(np.log10(words.texts)) if words.texts else 0.0
-    scores = scores.join(backed, "content", "left").select(
-        "content", (F.col("known") / F.col("ends")).cast("bigint").alias("n_known"),
-        (F.col("x") / F.col("ends")).alias("base_score"),
-        ((F.col("y") + log_sum(factors) + F.coalesce("off", F.lit(0.0))) / F.col("ends") + start)
-        .alias("score"))
-
-    def work(batch: pa.RecordBatch):
-        tokens = Tokens(batch.column(1))
-        return batch.column(0), tokens.content, tokens.sizes.astype(np.int64)
-
+    weights = stored(
+        found.where("kind in (1, 2)").select(
+            F.col("key").cast("int").alias("home"), "kind", "a", "b", "c")
+        .repartitionById(history_buckets(buckets), F.col("home")).groupBy("home")
+        .applyInArrow(lambda t: weigh(t, sent.value, factors), WEIGHED), "weights")
+    rows = weights.where("slice is null").collect()  # at most one in HEAVY tokens
+    common = spark.sparkContext.broadcast((
+        np.concatenate([np.zeros(0, np.int64), *(unplanes(r["a"], 7) for r in rows)]),
+        np.concatenate([np.zeros(0), *(np.frombuffer(r["b"], "<f8") for r in rows)])))
+    answers = answers.unionByName(weights.where("slice is not null"))
     kind = docs.schema[key].dataType.simpleString()
-    named = map_texts(docs, key, text, f"{key} {kind}, content bigint, n_tokens bigint", work)
-    return named.join(scores, "content", "left").select(
+    names = [key, "n_tokens", "n_known", "base_score", "score"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        for row in left.drop_columns("ids").to_pylist():
+            parts.append(finish(row, right, sent.value, buckets, factors, common.value))
+        ids = pa.concat_arrays([x.flatten() for x in left.column("ids").chunks])
+        return pa.table([ids, *(pa.array(np.concatenate(x)) for x in zip(*parts))], names)
+
+    scores = held.repartition(buckets, "slice").groupBy("slice").cogroup(
+        answers.repartition(buckets, "slice").groupBy("slice")).applyInArrow(
+        run, f"{key} {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scores.select(
         key, held_out(key, of).alias("held_out"), "n_tokens", "n_known",
         F.lit(words.total).cast("bigint").alias("train_tokens"), "base_score", "score")

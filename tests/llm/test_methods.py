@@ -345,6 +345,37 @@ def test_katz_deals_out_what_is_common(spark, monkeypatch):
     assert buckets > 5 and len(postings) == buckets and max(postings) < 3 * sum(postings) / buckets
 
 
+def test_katz_sends_a_bigram_once_per_slice(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices("abcde", k=rng.randint(0, 30)) + [f"w{i % 40}"] * (i % 3))
+             for i in range(300)]
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)] * 2,
+                                 "name string, text string")
+    words = katz.learn_words(katz.count_words(docs, "name", "text", 10))
+    sent = katz.bigrams(docs.repartition(1), words, 50, "name", "text", 10).collect()
+    tokens = [["<s>", *t.split(), "</s>"] for t in texts]
+    # However many documents hold them.
+    assert sum(len(r.doc) // 4 for r in sent) == len({p for t in tokens for p in zip(t, t[1:])})
+
+    def scores():
+        return sorted((r.name, r.held_out, r.n_tokens, r.n_known, round(r.base_score, 6),
+                       round(r.score, 6)) for r in katz.score(docs, "name", "text").collect())
+
+    whole = scores()
+    assert len(whole) == 600
+    monkeypatch.setattr(katz, "TOKENS", 100)
+    monkeypatch.setattr(katz, "BUCKET", 100)
+    monkeypatch.setattr(katz, "HEAVY", 500)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 20)
+    try:
+        names = [r.slice for r in katz.slices(docs, "name", "text", 10).collect()]
+        assert len(set(names)) == len(names) > 20 and scores() == whole
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_articles_of_pages(spark):
     import html
 
