@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -574,12 +575,17 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", of: int = 10
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = []
         for row in left.drop_columns("ids").to_pylist():
-            parts.append(finish(row, right, sent.value, buckets, factors, common.value))
+            own = right.filter(pc.equal(right.column("slice"), row["slice"]))
+            parts.append(finish(row, own, sent.value, buckets, factors, common.value))
         ids = pa.concat_arrays([x.flatten() for x in left.column("ids").chunks])
         return pa.table([ids, *(pa.array(np.concatenate(x)) for x in zip(*parts))], names)
 
-    scores = held.repartition(buckets, "slice").groupBy("slice").cogroup(
-        answers.repartition(buckets, "slice").groupBy("slice")).applyInArrow(
+    # Slices are dealt out in turn, so that no task gets many of them.
+    tasks = held.agg(F.max(F.shiftright("slice", 32))).first()[0] or 0
+    turn = F.shiftright("slice", 32) + F.col("slice").bitwiseAND(0xFFFFFFFF) * (tasks + 1)
+    at_home = (x.withColumn("home", (turn % buckets).cast("int"))
+               .repartitionById(buckets, F.col("home")).groupBy("home") for x in (held, answers))
+    scores = next(at_home).cogroup(next(at_home)).applyInArrow(
         run, f"{key} {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
     return scores.select(
         key, held_out(key, of).alias("held_out"), "n_tokens", "n_known",
